@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from gearbox.sources.fs import path_exists, require_path
 
+_NO_TOKEN = "\u0001"  # a nullValue no real field contains
+
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet file or directory (or one part by its URI).
@@ -53,11 +55,13 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     paths = [path] if isinstance(path, str) else list(path)
     for p in paths:
         require_path(spark, p, "CSV input")
+    # An empty unquoted field reads as NULL; a quoted empty field stays "".
+    # (With the default nullValue "" Spark would turn both into NULL.)
     reader = (spark.read.option("header", True)
               .option("ignoreLeadingWhiteSpace", False)
-              .option("ignoreTrailingWhiteSpace", False))
-    if null_value is not None:
-        reader = reader.option("nullValue", null_value)
+              .option("ignoreTrailingWhiteSpace", False)
+              .option("emptyValue", "")
+              .option("nullValue", null_value if null_value is not None else _NO_TOKEN))
     if schema is not None:
         reader = reader.schema(schema)
     elif infer_schema:
