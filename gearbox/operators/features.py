@@ -25,7 +25,7 @@ from gearbox.operators.stats import category_frequencies
 
 # --------------------------------------------------------------------------- E1
 def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """E1 in table form: ``(column, value, count, index)``.
+    """E1 in table form: ``(feature, value, count, index)``.
 
     Same order as ``StringIndexer(stringOrderType="frequencyDesc")``: most
     frequent value first, ties by value ascending, 0-based; nulls get no index.
@@ -34,14 +34,14 @@ def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     bound as the fitted ``StringIndexerModel`` that keeps it on the driver.
     """
     freq = category_frequencies(df, columns).where(F.col("value").isNotNull())
-    w = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value"))
+    w = Window.partitionBy("feature").orderBy(F.desc("count"), F.asc("value"))
     return freq.withColumn("index", (F.row_number().over(w) - 1).cast("int"))
 
 
 def feature_width(df: DataFrame, categoricals: Sequence[str], n_numeric: int) -> DataFrame:
     """E4 without fitting: ``n_numeric + sum(cardinality - 1)`` (dropLast one-hots)."""
     freq = category_frequencies(df, categoricals).where(F.col("value").isNotNull())
-    return freq.agg((F.lit(n_numeric) + F.count(F.lit(1)) - F.countDistinct("column")).cast("int").alias("width"))
+    return freq.agg((F.lit(n_numeric) + F.count(F.lit(1)) - F.countDistinct("feature")).cast("int").alias("width"))
 
 
 def vector_width(transformed: DataFrame, features_col: str = "features") -> int:
@@ -94,8 +94,8 @@ def _nonzero_entries(df: DataFrame, key: str, vec: str, extra: Sequence[Column]
 
 
 def one_hot_entries(encoded: DataFrame, key: str, categoricals: Sequence[str]) -> DataFrame:
-    """E2 as rows: ``(key, column, slot)`` for every one-hot position set to 1."""
-    parts = [_nonzero_entries(encoded, key, v, [F.lit(c).alias("column")]).select(key, "column", "slot")
+    """E2 as rows: ``(key, feature, slot)`` for every one-hot position set to 1."""
+    parts = [_nonzero_entries(encoded, key, v, [F.lit(c).alias("feature")]).select(key, "feature", "slot")
              for c, v in zip(categoricals, vec_cols(categoricals))]
     out = parts[0]
     for p in parts[1:]:

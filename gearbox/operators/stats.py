@@ -33,35 +33,36 @@ def approx_percentiles(df: DataFrame, col: str, probs: Sequence[float] = (0.33,
     return df.select(arr.alias("_q")).select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
-def exact_percentiles(df: DataFrame, col: str, percents: Sequence[int] = (33, 67)) -> dict[int, float | None]:
-    """A2x: for each integer percent ``p`` the smallest value whose 1-based rank
-    ``rn`` satisfies ``rn * 100 >= p * n`` (nulls excluded).
+def exact_percentiles(df: DataFrame, col: str, percents: Sequence[int] = (33, 67),
+                      names: Sequence[str] | None = None) -> DataFrame:
+    """A2x: one row; for each integer percent ``p`` the smallest value whose
+    1-based rank ``rn`` satisfies ``rn * 100 >= p * n`` (nulls excluded).
 
     Ranks come from ``with_global_index`` (range partitioning, no
-    single-task window).  Only the requested values reach the driver.
+    single-task window); only ``n`` (summed from one row per partition)
+    reaches the driver, and the answer is picked out by an aggregation.
     """
+    names = list(names or [f"p{p}" for p in percents])
     values = df.select(col).where(F.col(col).isNotNull())
     indexed, counts = with_global_index(values, [col], "_rank0")
     n = counts.agg(F.sum("_gx_n")).first()[0] or 0
-    if n == 0:
-        return {p: None for p in percents}
-    wanted = {p: (p * n + 99) // 100 - 1 for p in percents}  # ceil(p*n/100), 0-based
-    got = {r["_rank0"]: r[col] for r in
-           indexed.where(F.col("_rank0").isin(sorted(set(wanted.values())))).select("_rank0", col).collect()}
-    return {p: got[k] for p, k in wanted.items()}
+    wanted = [(p * n + 99) // 100 - 1 if n else -1 for p in percents]  # ceil(p*n/100), 0-based
+    picked = indexed.where(F.col("_rank0").isin(sorted(set(wanted))))
+    return picked.agg(*[F.max(F.when(F.col("_rank0") == k, F.col(col))).alias(nm)
+                        for k, nm in zip(wanted, names)])
 
 
 def category_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column, value, count)`` for several categorical columns in one pass.
+    """``(feature, value, count)`` for several categorical columns in one pass.
 
     The columns are unpivoted with a generator and counted with a single
     ``groupBy``; partial aggregation collapses a hot value before the
     shuffle, so a value holding a third of the rows costs no skew.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
                       for c in columns])
     return (df.select(F.inline(pairs))
-              .groupBy("column", "value")
+              .groupBy("feature", "value")
               .agg(F.count(F.lit(1)).alias("count")))
 
 

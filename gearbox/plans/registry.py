@@ -70,10 +70,16 @@ _CTE_ORDER = ["listings", "listings_raw", "keyed", "terciles"]
 
 
 def sql(body: str, *ctes: str) -> str:
+    """Prefix ``body`` with the named fixture CTEs; a body that starts with its
+    own ``WITH`` list is merged into the same list."""
     need = [c for c in _CTE_ORDER if c in ctes]
+    body = body.strip()
     if not need:
-        return body.strip()
-    return "WITH " + ",\n".join(f"{c} AS ({_CTES[c]})" for c in need) + "\n" + body.strip()
+        return body
+    head = "WITH " + ",\n".join(f"{c} AS ({_CTES[c]})" for c in need)
+    if body[:5].lower() == "with ":
+        return head + ",\n" + body[5:]
+    return head + "\n" + body
 
 
 NOT_NULL_LISTINGS = _not_null_sql(LISTINGS)
