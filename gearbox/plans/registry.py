@@ -88,3 +88,4 @@ NOT_NULL_RAW = _not_null_sql(LISTINGS_RAW)
 # Import the modules that register queries (order = registry order).
 from gearbox.plans import queries_core  # noqa: E402,F401
 from gearbox.plans import queries_io  # noqa: E402,F401
+from gearbox.plans import queries_models  # noqa: E402,F401
