@@ -70,8 +70,10 @@ def encoder_stages(categoricals: Sequence[str], numerics: Sequence[str], handle_
     stages: list = [
         StringIndexer(inputCols=list(categoricals), outputCols=index_cols(categoricals),
                       stringOrderType="frequencyDesc", handleInvalid=handle_invalid),
+        # an unseen value already has a valid index (the indexer's extra label),
+        # so the encoder itself never sees an invalid index
         OneHotEncoder(inputCols=index_cols(categoricals), outputCols=vec_cols(categoricals), dropLast=True,
-                      handleInvalid="keep" if handle_invalid == "keep" else "error"),
+                      handleInvalid="error"),
     ]
     if scale_numeric:
         stages += [VectorAssembler(inputCols=list(numerics), outputCol="_numeric_raw"),

@@ -23,6 +23,7 @@ from gearbox.schema import LISTINGS, LISTINGS_RAW
 from gearbox.session import scratch_path, sf_path
 from gearbox.sinks.writers import write_csv, write_parquet, write_single_file
 from gearbox.sources.fixtures import listings, listings_raw, table
+from gearbox.streaming.parts import clean_parts_stream, read_stream_output
 from gearbox.sources.readers import (
     range_source,
     read_csv,
@@ -232,3 +233,17 @@ def q_concat_parts(spark, sf_dir):
     raw = listings_raw(spark, sf_dir)
     return union_parts([raw.where(F.col("slot") >= 10).drop("seller_type"), raw.where(F.col("slot") < 10)])
 
+
+
+@register("stream_clean_parts", ("F5", "F4", "S5"), sql("""
+select listing_id, slot, try_cast(price as double) as price, mileage, seller_type, make, transmission
+from listings_raw where try_cast(price as double) is not null""", "listings", "listings_raw"))
+def q_stream_clean_parts(spark, sf_dir):
+    """The clean job as a stream: CSV parts in a folder -> micro-batches ->
+    clean Parquet (and quarantine Parquet); read back the clean table."""
+    base = scratch_path(spark, "stream_parts")
+    write_csv(listings_raw(spark, sf_dir).repartition(3), f"{base}/incoming")
+    q = clean_parts_stream(spark, f"{base}/incoming", f"{base}/clean", f"{base}/quarantine", LISTINGS_RAW,
+                           checkpoint=f"{base}/_checkpoint")
+    q.awaitTermination()
+    return read_stream_output(spark, f"{base}/clean")
