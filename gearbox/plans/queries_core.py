@@ -42,7 +42,7 @@ from gearbox.operators.stats import (
 from gearbox.plans.price_bands import band_thresholds, banded_listings, price_band_summary
 from gearbox.plans.registry import NOT_NULL_LISTINGS, register, sql
 from gearbox.schema import GBT_CATEGORICALS, KEY, MLP_CATEGORICALS, NUMERIC_FEATURES
-from gearbox.sources.fixtures import listings, table
+from gearbox.sources.fixtures import listings_table, table
 
 
 @register("price_band_summary", ("F2", "A2x", "E5", "A1"), sql("""
@@ -52,19 +52,19 @@ from listings, terciles
 where """ + NOT_NULL_LISTINGS + """
 group by 1""", "listings", "terciles"))
 def q_price_band_summary(spark, sf_dir):
-    return price_band_summary(listings(spark, sf_dir))
+    return price_band_summary(listings_table(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------- shared inputs
-def keyed_listings(spark, sf_dir):
+def keyed_listings_table(spark, sf_dir):
     """listings + keyed 80/20 ``split`` + 3-way ``fold`` (both from md5 of the key)."""
-    return kfold(keyed_split(listings(spark, sf_dir), KEY), KEY, 3)
+    return kfold(keyed_split(listings_table(spark, sf_dir), KEY), KEY, 3)
 
 
 def baseline_scored(spark, sf_dir, key="engine_hp"):
     """Train mean price per ``key`` (overall train mean for unseen keys),
     scored on every row; ``label`` = price."""
-    data = keyed_listings(spark, sf_dir)
+    data = keyed_listings_table(spark, sf_dir)
     train = data.where(F.col("split") == "train")
     model, overall = group_mean_model(train, key)
     return predict_group_mean(data, model, overall, key).withColumnRenamed("price", "label")
@@ -110,7 +110,7 @@ fold_avg as (select key_col, alpha, round(avg(rmse), 4) as avg_rmse, count(*) as
 
 
 def _cv_fold_average(spark, sf_dir):
-    train = keyed_listings(spark, sf_dir).where(F.col("split") == "train")
+    train = keyed_listings_table(spark, sf_dir).where(F.col("split") == "train")
     return fold_average(cv_group_mean(train, CV_KEYS, CV_ALPHAS), ["key_col", "alpha"])
 
 
@@ -142,17 +142,17 @@ def q_rebalance_content(spark, sf_dir):
 
 @register("random_split", ("L5",))
 def q_random_split(spark, sf_dir):
-    return random_split(listings(spark, sf_dir).select(KEY, "price"), (0.8, 0.2), seed=42)
+    return random_split(listings_table(spark, sf_dir).select(KEY, "price"), (0.8, 0.2), seed=42)
 
 
 @register("keyed_split", ("L5x",), sql("select listing_id, split from keyed", "listings", "keyed"))
 def q_keyed_split(spark, sf_dir):
-    return keyed_split(listings(spark, sf_dir), KEY).select(KEY, "split")
+    return keyed_split(listings_table(spark, sf_dir), KEY).select(KEY, "split")
 
 
 @register("kfold_assign", ("L6",), sql("select listing_id, fold from keyed", "listings", "keyed"))
 def q_kfold_assign(spark, sf_dir):
-    return kfold(listings(spark, sf_dir), KEY, 3).select(KEY, "fold")
+    return kfold(listings_table(spark, sf_dir), KEY, 3).select(KEY, "fold")
 
 
 @register("first_rows", ("T1",), sql("select * from orders order by o_orderkey limit 5"))
@@ -169,19 +169,19 @@ select count(*) as n_rows,
 from keyed""", "listings", "keyed"))
 def q_row_counts(spark, sf_dir):
     s, f = F.col("split"), F.col("fold")
-    return row_counts(keyed_listings(spark, sf_dir), {
+    return row_counts(keyed_listings_table(spark, sf_dir), {
         "n_train": s == "train", "n_test": s == "test",
         "n_fold0": f == 0, "n_fold1": f == 1, "n_fold2": f == 2})
 
 
 @register("percentile_approx", ("A2",))
 def q_percentile_approx(spark, sf_dir):
-    return approx_percentiles(drop_any_null(listings(spark, sf_dir)), "price", (0.33, 0.67))
+    return approx_percentiles(drop_any_null(listings_table(spark, sf_dir)), "price", (0.33, 0.67))
 
 
 @register("tercile_thresholds", ("A2x",), sql("select p33, p67 from terciles", "listings", "terciles"))
 def q_tercile_thresholds(spark, sf_dir):
-    return exact_percentiles(drop_any_null(listings(spark, sf_dir)), "price", (33, 67))
+    return exact_percentiles(drop_any_null(listings_table(spark, sf_dir)), "price", (33, 67))
 
 
 @register("map_sum_ratio", ("A3", "V1", "X5"), sql("""
@@ -199,13 +199,13 @@ def q_map_sum_ratio(spark, sf_dir):
     f"select '{c}' as feature, {c} as value, count(*) as count from listings group by {c}"
     for c in MLP_CATEGORICALS), "listings"))
 def q_category_frequencies(spark, sf_dir):
-    return category_frequencies(listings(spark, sf_dir), MLP_CATEGORICALS)
+    return category_frequencies(listings_table(spark, sf_dir), MLP_CATEGORICALS)
 
 
 # --------------------------------------------------------------------------- features
 @register("category_index", ("E1",), sql(f"select * from {_index_sql(MLP_CATEGORICALS)}", "listings"))
 def q_category_index(spark, sf_dir):
-    return category_index(listings(spark, sf_dir), MLP_CATEGORICALS)
+    return category_index(listings_table(spark, sf_dir), MLP_CATEGORICALS)
 
 
 @register("one_hot", ("E1", "E2"), sql(f"""
@@ -215,7 +215,7 @@ join {_index_sql(GBT_CATEGORICALS)} i on i.feature = l.feature and i.value = l.v
 join (select feature, count(*) as card from {_index_sql(GBT_CATEGORICALS)} group by feature) k on k.feature = i.feature
 where i.index < k.card - 1""", "listings"))
 def q_one_hot(spark, sf_dir):
-    df = listings(spark, sf_dir)
+    df = listings_table(spark, sf_dir)
     model = Pipeline(stages=encoder_stages(GBT_CATEGORICALS, NUMERIC_FEATURES)[:2]).fit(df)
     return one_hot_entries(model.transform(df), KEY, GBT_CATEGORICALS)
 
@@ -242,7 +242,7 @@ where i.index < o.card - 1"""
 
 @register("assemble", ("E1", "E2", "E3", "E6", "E7"), sql(_assemble_sql(), "listings"))
 def q_assemble(spark, sf_dir):
-    df = listings(spark, sf_dir)
+    df = listings_table(spark, sf_dir)
     model = fit_encoders(df, GBT_CATEGORICALS, NUMERIC_FEATURES)
     return assembled_entries(model.transform(df), KEY)
 
@@ -252,7 +252,7 @@ select cast({len(NUMERIC_FEATURES)} + sum(c - 1) as integer) as width
 from ({" union all ".join(f"select count(distinct {c}) as c from listings" for c in MLP_CATEGORICALS)})""",
     "listings"))
 def q_feature_width(spark, sf_dir):
-    return feature_width(listings(spark, sf_dir), MLP_CATEGORICALS, len(NUMERIC_FEATURES))
+    return feature_width(listings_table(spark, sf_dir), MLP_CATEGORICALS, len(NUMERIC_FEATURES))
 
 
 @register("price_bands", ("E5", "A2x", "F2"), sql(f"""
@@ -260,7 +260,7 @@ select listing_id, price,
        cast(case when price >= p67 then 2 when price >= p33 then 1 else 0 end as double) as label
 from listings, terciles where {NOT_NULL_LISTINGS}""", "listings", "terciles"))
 def q_price_bands(spark, sf_dir):
-    return banded_listings(listings(spark, sf_dir)).select(KEY, "price", "label")
+    return banded_listings(listings_table(spark, sf_dir)).select(KEY, "price", "label")
 
 
 # --------------------------------------------------------------------------- metrics (baseline model)

@@ -22,7 +22,7 @@ from gearbox.plans.registry import NOT_NULL_RAW, register, sql
 from gearbox.schema import LISTINGS, LISTINGS_RAW
 from gearbox.session import scratch_path, sf_path
 from gearbox.sinks.writers import write_csv, write_parquet, write_single_file
-from gearbox.sources.fixtures import listings, listings_raw, table
+from gearbox.sources.fixtures import listings, listings_raw, listings_table, table
 from gearbox.streaming.parts import clean_parts_stream, read_stream_output
 from gearbox.sources.readers import (
     range_source,
@@ -76,7 +76,7 @@ def q_multi_path_union(spark, sf_dir):
 
 @register("csv_typed_roundtrip", ("S4", "K6"), sql("select * from listings", "listings"))
 def q_csv_typed_roundtrip(spark, sf_dir):
-    path = write_csv(listings(spark, sf_dir), scratch_path(spark, "listings_csv"))
+    path = write_csv(listings_table(spark, sf_dir), scratch_path(spark, "listings_csv"))
     return read_csv(spark, path, schema=LISTINGS)
 
 
@@ -108,10 +108,17 @@ def q_range_source(spark, sf_dir):
     return range_source(spark, n)
 
 
+@register("prepared_table", ("S1", "P1", "P2", "P7"), sql("select * from listings", "listings"))
+def q_prepared_table(spark, sf_dir):
+    """The prepared listing table, derived from the raw tables by joins (not
+    the materialised copy): what every other listing query reads."""
+    return listings(spark, sf_dir)
+
+
 # --------------------------------------------------------------------------- sinks
 @register("parquet_sink", ("K1",), sql("select * from listings", "listings"))
 def q_parquet_sink(spark, sf_dir):
-    return spark.read.parquet(write_parquet(listings(spark, sf_dir), scratch_path(spark, "listings_parquet")))
+    return spark.read.parquet(write_parquet(listings_table(spark, sf_dir), scratch_path(spark, "listings_parquet")))
 
 
 @register("single_file_sink", ("K2", "L3"), sql("select *, 1 as n_files from orders"))
@@ -148,7 +155,7 @@ def q_union_csv_sink(spark, sf_dir):
 @register("csv_to_parquet_job", ("K8", "S4", "K1"), sql("select * from listings", "listings"))
 def q_csv_to_parquet_job(spark, sf_dir):
     base = scratch_path(spark, "csv_to_parquet")
-    csv_path = write_csv(listings(spark, sf_dir), f"{base}/combined.csv")
+    csv_path = write_csv(listings_table(spark, sf_dir), f"{base}/combined.csv")
     return csv_to_parquet_job(spark, csv_path, f"{base}/combined.parquet", schema=LISTINGS)
 
 
@@ -162,7 +169,7 @@ def q_repartition_job(spark, sf_dir):
 @register("project_alias", ("P1", "P7"), sql("""
 select listing_id, price as target, year, mileage from listings""", "listings"))
 def q_project_alias(spark, sf_dir):
-    return listings(spark, sf_dir).select("listing_id", F.col("price").alias("target"), "year", "mileage")
+    return listings_table(spark, sf_dir).select("listing_id", F.col("price").alias("target"), "year", "mileage")
 
 
 @register("cast_target", ("P3", "X3"), sql("""
@@ -175,7 +182,7 @@ def q_cast_target(spark, sf_dir):
 @register("rename_drop", ("P4", "P5", "P2"), sql("""
 select * exclude (slot, price), price as label from listings""", "listings"))
 def q_rename_drop(spark, sf_dir):
-    return listings(spark, sf_dir).withColumnRenamed("price", "label").drop("slot")
+    return listings_table(spark, sf_dir).withColumnRenamed("price", "label").drop("slot")
 
 
 @register("resolve_column", ("P6", "X6", "F1"), sql(f"""

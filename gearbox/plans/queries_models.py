@@ -31,7 +31,7 @@ from gearbox.plans.training import gbt_run, mlp_run, prepare, run_report
 from gearbox.plans.price_bands import band_thresholds
 from gearbox.operators.features import price_bands
 from gearbox.schema import GBT_CATEGORICALS, KEY, MLP_CATEGORICALS, NUMERIC_FEATURES, TARGET
-from gearbox.sources.fixtures import listings
+from gearbox.sources.fixtures import listings_table
 
 _RUNS: dict[tuple, object] = {}
 
@@ -44,11 +44,11 @@ def _cached(spark, sf_dir, kind, build):
 
 
 def _gbt(spark, sf_dir):
-    return _cached(spark, sf_dir, "gbt", lambda: gbt_run(listings(spark, sf_dir), GBT_QUICK))
+    return _cached(spark, sf_dir, "gbt", lambda: gbt_run(listings_table(spark, sf_dir), GBT_QUICK))
 
 
 def _mlp(spark, sf_dir):
-    return _cached(spark, sf_dir, "mlp", lambda: mlp_run(listings(spark, sf_dir), MLP_QUICK))
+    return _cached(spark, sf_dir, "mlp", lambda: mlp_run(listings_table(spark, sf_dir), MLP_QUICK))
 
 
 @register("gbt_regression", ("M1", "E6", "E7", "P4"))
@@ -77,7 +77,7 @@ def q_batch_scoring(spark, sf_dir):
 
 @register("gbt_cv", ("M4", "M6", "A7", "L6"))
 def q_gbt_cv(spark, sf_dir):
-    data = prepare(listings(spark, sf_dir), GBT_CATEGORICALS).withColumnRenamed(TARGET, "label")
+    data = prepare(listings_table(spark, sf_dir), GBT_CATEGORICALS).withColumnRenamed(TARGET, "label")
     train = data.where(F.col("split") == "train")
     cvm, _, maps, _ = cross_validate(train, NUMERIC_FEATURES, GBT_CATEGORICALS,
                                      lambda w: gbt({"subsamplingRate": 0.8}), GBT_QUICK_GRID,
@@ -87,7 +87,7 @@ def q_gbt_cv(spark, sf_dir):
 
 @register("mlp_cv", ("M5", "M6", "A7", "L6"))
 def q_mlp_cv(spark, sf_dir):
-    data = prepare(listings(spark, sf_dir), MLP_CATEGORICALS)
+    data = prepare(listings_table(spark, sf_dir), MLP_CATEGORICALS)
     train = data.where(F.col("split") == "train")
     low, high = band_thresholds(train, TARGET)
     banded = price_bands(train, low, high, TARGET, "label").drop(TARGET)
@@ -103,7 +103,7 @@ def q_model_comparison(spark, sf_dir):
     rows = []
     for name, preset in (("mlp_small", {"hidden": [16], "maxIter": 20, "blockSize": 128}),
                          ("mlp_medium", {"hidden": [32, 16], "maxIter": 30, "blockSize": 128})):
-        run = mlp_run(listings(spark, sf_dir), preset)
+        run = mlp_run(listings_table(spark, sf_dir), preset)
         m = classification_metrics(run.scored.where(F.col("split") == "test")).first()
         rows.append((name, m["accuracy"], m["weighted_precision"], m["weighted_f1"],
                      round(run.fitted.train_seconds, 2)))

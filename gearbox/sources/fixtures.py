@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gearbox.schema import LISTINGS, LISTINGS_RAW
-from gearbox.session import sf_path
+from gearbox.session import scratch_path, sf_path
+from gearbox.sources.fs import file_fingerprint, path_exists
 
 # The planted price formula's part-type codes.
 TYPE_CODES = {"ECONOMY": 0, "STANDARD": 1, "SMALL": 2, "MEDIUM": 3, "LARGE": 4}
@@ -92,16 +93,41 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*[F.col(f.name).cast(f.dataType) for f in LISTINGS.fields])
 
 
-def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+SOURCE_TABLES = ("lineitem", "part", "orders", "customer", "supplier", "nation", "region")
+_MATERIALISED: dict[tuple, str] = {}
+
+
+def listings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``listings`` written once per session as Parquet in the shared folder
+    and read back: the prepared table every downstream job scans, like a
+    prepare-then-train flow that writes its combined table first.
+
+    The cache key includes the size and modification time of every source
+    file, so changed inputs are re-derived; a written table also cuts the
+    lineage (a lost executor re-reads Parquet, it does not redo the joins).
+    """
+    fp = tuple(file_fingerprint(spark, sf_path(sf_dir, t)) for t in SOURCE_TABLES)
+    key = (spark.sparkContext.applicationId, sf_dir, fp)
+    path = _MATERIALISED.get(key)
+    if path is None or not path_exists(spark, path):
+        path = scratch_path(spark, "listings")
+        listings(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _MATERIALISED[key] = path
+    return spark.read.schema(LISTINGS).parquet(path)
+
+
+def listings_raw(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """Planted defects by ``slot``: 0 null price, 1 empty, 2 spaces, 3 junk text,
-    5 null seller_type, 6 null mileage."""
+    5 null seller_type, 6 null mileage.  ``base`` defaults to the prepared
+    ``listings_table``."""
     s = F.col("slot")
     price_text = (F.when(s == 0, F.lit(None).cast("string"))
                   .when(s == 1, F.lit(""))
                   .when(s == 2, F.lit("  "))
                   .when(s == 3, F.lit("n/a"))
                   .otherwise(F.col("price").cast("bigint").cast("string")))
-    df = listings(spark, sf_dir).select(
+    src = base if base is not None else listings_table(spark, sf_dir)
+    df = src.select(
         "listing_id", "slot", price_text.alias("price"),
         F.when(s == 6, F.lit(None)).otherwise(F.col("mileage")).alias("mileage"),
         F.when(s == 5, F.lit(None)).otherwise(F.col("seller_type")).alias("seller_type"),

@@ -36,3 +36,14 @@ def data_files(spark: SparkSession, path: str, suffix: str) -> list[str]:
         if st.isFile() and name.endswith(suffix) and not name.startswith(("_", ".")):
             out.append(st.getPath().toString())
     return sorted(out)
+
+
+def file_fingerprint(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(total bytes, newest modification time) of a file or folder tree."""
+    fs, hpath = _fs_and_path(spark, path)
+    summary = fs.getContentSummary(hpath)
+    newest = 0
+    it = fs.listFiles(hpath, True)
+    while it.hasNext():
+        newest = max(newest, it.next().getModificationTime())
+    return int(summary.getLength()), int(newest)
