@@ -31,6 +31,7 @@ from gearbox.sources.readers import (
     read_first_available,
     read_parquet,
     read_part,
+    schema_table,
     sql_view_scan,
 )
 
@@ -89,6 +90,26 @@ def q_csv_string_roundtrip(spark, sf_dir):
     return read_csv(spark, path)
 
 
+@register("csv_null_tokens", ("S10", "S4"), sql("""
+select listing_id, slot, case when price in ('n/a', 'NA', 'None') then null else price end as price,
+       mileage, seller_type, make, transmission
+from listings_raw""", "listings", "listings_raw"))
+def q_csv_null_tokens(spark, sf_dir):
+    path = write_csv(listings_raw(spark, sf_dir), scratch_path(spark, "raw_tokens_csv"))
+    return read_csv(spark, path, schema=LISTINGS_RAW, null_tokens=["n/a", "NA", "None"])
+
+
+@register("schema_inspection", ("P8",), sql("""
+select cast(row_number() over () as integer) as position, column_name,
+       case column_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double'
+                        when 'VARCHAR' then 'string' when 'TIMESTAMP' then 'timestamp_ntz'
+                        else lower(column_type) end as data_type,
+       "null" = 'YES' as nullable
+from (describe select * from lineitem)"""))
+def q_schema_inspection(spark, sf_dir):
+    return schema_table(read_parquet(spark, sf_path(sf_dir, "lineitem")))
+
+
 @register("first_available_source", ("S6", "S7"))
 def q_first_available_source(spark, sf_dir):
     base = scratch_path(spark, "first_available")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gearbox.sources.fs import path_exists, require_path
@@ -17,6 +18,30 @@ from gearbox.sources.fs import path_exists, require_path
 _NO_TOKEN = "\u0001"  # a nullValue no real field contains
 
 
+def _as_text(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+
+
+def schema_table(df: DataFrame) -> DataFrame:
+    """The schema as rows ``(position, column_name, data_type, nullable)``
+    (from the plan's schema: no job runs; bounded by the column count)."""
+    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
+
+
+def require_schema(df: DataFrame, expected: T.StructType, check_nullable: bool = False) -> DataFrame:
+    """Assert the columns, order and types of ``df`` on read; ``ValueError`` lists the differences."""
+    def norm(fs):
+        return [(f.name, f.dataType.simpleString()) + ((f.nullable,) if check_nullable else ()) for f in fs]
+    got, want = norm(df.schema.fields), norm(expected.fields)
+    if got != want:
+        diff = [f"{g} != {w}" for g, w in zip(got, want) if g != w]
+        if len(got) != len(want):
+            diff.append(f"{len(got)} columns, expected {len(want)}")
+        raise ValueError("schema mismatch: " + "; ".join(diff))
+    return df
+
+
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet file or directory (or one part by its URI).
 
@@ -41,7 +66,8 @@ def read_existing_parquet(spark: SparkSession, paths: Sequence[str]) -> DataFram
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
-             infer_schema: bool = False, null_value: str | None = None) -> DataFrame:
+             infer_schema: bool = False, null_value: str | None = None,
+             null_tokens: Sequence[str] | None = None) -> DataFrame:
     """CSV with a header line.
 
     * ``schema`` given: typed read, no inference pass (the scalable mode).
@@ -51,7 +77,19 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     Empty fields read as NULL; quoted empty strings stay empty strings, and
     leading/trailing spaces are kept, so blank values survive a round trip.
     ``null_value`` adds a token (for example ``"NA"``) that reads as NULL.
+    ``null_tokens`` (several tokens, like pandas' ``NA``/``None``/``n/a``
+    defaults): fields equal to any token become NULL in every column; with
+    a ``schema`` the columns are read as text first and then converted with
+    ``try_cast``, so a token never fails a numeric column.
     """
+    if null_tokens:
+        text = read_csv(spark, path, schema=_as_text(schema) if schema is not None else None)
+        tokens = list(null_tokens)
+        cleaned = text.select(*[F.when(F.col(c).isin(tokens), F.lit(None)).otherwise(F.col(c)).alias(c)
+                                for c in text.columns])
+        if schema is None:
+            return cleaned
+        return cleaned.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
     paths = [path] if isinstance(path, str) else list(path)
     for p in paths:
         require_path(spark, p, "CSV input")

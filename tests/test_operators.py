@@ -291,3 +291,28 @@ def test_classification_metrics_equal_evaluator_with_unpredicted_class(spark):
 def test_row_counts_single_pass(spark, lst):
     r = row_counts(kfold(lst, KEY), {f"f{i}": F.col("fold") == i for i in range(3)}).first()
     assert r["f0"] + r["f1"] + r["f2"] == r["n_rows"] == lst.count()
+
+
+def test_require_schema_and_schema_table(spark, raw):
+    from pyspark.sql import types as T
+    from gearbox.schema import LISTINGS_RAW
+    from gearbox.sources.readers import require_schema, schema_table
+    assert require_schema(raw, LISTINGS_RAW) is raw
+    with pytest.raises(ValueError):
+        require_schema(raw.withColumn("slot", F.col("slot").cast("int")), LISTINGS_RAW)
+    with pytest.raises(ValueError):
+        require_schema(raw.drop("make"), LISTINGS_RAW)
+    rows = schema_table(raw).orderBy("position").collect()
+    assert [r["column_name"] for r in rows] == raw.columns
+    assert rows[0]["data_type"] == "string" and rows[1]["data_type"] == "bigint"
+    assert isinstance(LISTINGS_RAW["price"].dataType, T.StringType)
+
+
+def test_null_tokens_like_pandas(spark, raw, tmp_dir):
+    from gearbox.schema import LISTINGS_RAW
+    path = write_csv(raw, os.path.join(tmp_dir, "tok"))
+    got = read_csv(spark, path, schema=LISTINGS_RAW, null_tokens=["n/a", "NA"])
+    assert got.where(F.col("price").isNull()).count() == raw.where(F.col("slot").isin(0, 3)).count()
+    assert got.where(F.col("price") == "").count() == raw.where(F.col("slot") == 1).count()
+    single = read_csv(spark, path, schema=LISTINGS_RAW, null_value="n/a")
+    assert single.where(F.col("price").isNull()).count() == raw.where(F.col("slot").isin(0, 3)).count()
