@@ -16,12 +16,23 @@ work spread over all partitions:
    number of partitions, not by the data;
 5. index = offset of the row's partition + position inside the partition.
 
-Equal keys always land in the same partition; with a non-unique key the
-order among ties is arbitrary but fixed by the checkpoint.
+Hot values: a range partitioner sends equal keys to one partition, so a
+value holding a third of the rows would make one task sort a third of the
+data.  Unless ``tiebreak=False``, the input row's own
+``monotonically_increasing_id`` (taken before the shuffle) is appended to the
+sort key; ties then spread over as many partitions as their share needs.
+The order among ties is arbitrary but fixed by the checkpoint.
+
+Partition count: ``num_partitions``, or the optimizer's size estimate of the
+input divided by ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (at
+least ``spark.sql.shuffle.partitions``), so the sort inside each partition
+stays near the advisory size at any input size.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,8 +42,31 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def _bytes(text: str) -> int:
+    t = text.strip().lower()
+    digits = "".join(ch for ch in t if ch.isdigit())
+    unit = t[len(digits):].strip() or "b"
+    return int(digits) * _UNITS.get(unit, 1)
+
+
+def target_partitions(df: DataFrame) -> int:
+    """Partitions for a shuffle of ``df``: size estimate / advisory size,
+    never below ``spark.sql.shuffle.partitions``."""
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    advisory = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # no estimate available: keep the configured count
+        return base
+    return max(base, math.ceil(size / max(advisory, 1)))
+
+
 def with_global_index(df: DataFrame, order: list[Column | str], index_col: str = "row_index",
-                      num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+                      num_partitions: int | None = None, tiebreak: bool = True) -> tuple[DataFrame, DataFrame]:
     """Return ``(indexed, partition_counts)``.
 
     ``indexed`` is ``df`` plus a 0-based ``index_col`` following ``order``.
@@ -43,11 +77,16 @@ def with_global_index(df: DataFrame, order: list[Column | str], index_col: str =
     spark = df.sparkSession
     shared_dir(spark)  # make sure a reliable checkpoint folder is set
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or target_partitions(df)
+    if tiebreak:
+        df = df.withColumn("_gx_tie", F.monotonically_increasing_id())
+        cols = cols + [F.col("_gx_tie")]
     tagged = (df.repartitionByRange(n, *cols)
                 .sortWithinPartitions(*cols)
                 .withColumn("_gx_mid", F.monotonically_increasing_id())
                 .checkpoint(eager=True))
+    if tiebreak:
+        tagged = tagged.drop("_gx_tie")
     pid = F.shiftright(F.col("_gx_mid"), _POS_BITS)
     counts = tagged.groupBy(pid.alias("_gx_pid")).agg(F.count(F.lit(1)).alias("_gx_n"))
     before = Window.orderBy("_gx_pid").rowsBetween(Window.unboundedPreceding, -1)
