@@ -31,7 +31,7 @@ from gearbox.sources.readers import (
     read_first_available,
     read_parquet,
     read_part,
-    schema_table,
+    schema_profile,
     sql_view_scan,
 )
 
@@ -99,18 +99,21 @@ def q_csv_null_tokens(spark, sf_dir):
     return read_csv(spark, path, schema=LISTINGS_RAW, null_tokens=["n/a", "NA", "None"])
 
 
-@register("schema_inspection", ("P8",), sql("""
-select cast(row_number() over () as integer) as position, column_name,
-       case column_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double'
-                        when 'VARCHAR' then 'string' when 'TIMESTAMP' then 'timestamp_ntz'
-                        else lower(column_type) end as data_type,
-       "null" = 'YES' as nullable
-from (describe select * from lineitem)"""))
+@register("schema_inspection", ("P8", "A1"), sql("""
+with d as (select cast(row_number() over () as integer) as position, column_name,
+                  case column_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int'
+                                   when 'DOUBLE' then 'double' when 'VARCHAR' then 'string'
+                                   when 'TIMESTAMP' then 'timestamp_ntz' else lower(column_type) end as data_type,
+                  "null" = 'YES' as nullable
+           from (describe select * from lineitem)),
+c as (unpivot (select count(columns(*)) from lineitem) on columns(*) into name column_name value non_null)
+select d.position, d.column_name, d.data_type, d.nullable, c.non_null
+from d join c on c.column_name = d.column_name"""))
 def q_schema_inspection(spark, sf_dir):
-    return schema_table(read_parquet(spark, sf_path(sf_dir, "lineitem")))
+    return schema_profile(read_parquet(spark, sf_path(sf_dir, "lineitem")))
 
 
-@register("first_available_source", ("S6", "S7"))
+@register("first_available_source", ("S6", "S7"), sql("select * from orders"))
 def q_first_available_source(spark, sf_dir):
     base = scratch_path(spark, "first_available")
     csv_path = write_csv(_orders(spark, sf_dir), f"{base}/combined.csv")

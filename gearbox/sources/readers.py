@@ -29,6 +29,16 @@ def schema_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
 
 
+def schema_profile(df: DataFrame) -> DataFrame:
+    """P8 + A1: the schema rows plus ``non_null`` values per column, counted
+    for all columns in ONE aggregation and unpivoted (one row per column)."""
+    counts = df.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(df.columns)])
+    long = counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("non_null"))
+        for i, c in enumerate(df.columns)])))
+    return schema_table(df).join(long, "column_name")
+
+
 def require_schema(df: DataFrame, expected: T.StructType, check_nullable: bool = False) -> DataFrame:
     """Assert the columns, order and types of ``df`` on read; ``ValueError`` lists the differences."""
     def norm(fs):

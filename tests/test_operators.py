@@ -24,7 +24,7 @@ from gearbox.operators.layout import (
     union_parts,
 )
 from gearbox.operators.metrics import classification_metrics, regression_metrics
-from gearbox.operators.ordering import with_global_index
+from gearbox.operators.ordering import target_partitions, with_global_index
 from gearbox.operators.stats import exact_percentiles, row_counts
 from gearbox.plans.jobs import clean_part_job, csv_to_parquet_job, quarantine_job
 from gearbox.schema import GBT_CATEGORICALS, KEY, LISTINGS, MLP_CATEGORICALS, NUMERIC_FEATURES
@@ -316,3 +316,30 @@ def test_null_tokens_like_pandas(spark, raw, tmp_dir):
     assert got.where(F.col("price") == "").count() == raw.where(F.col("slot") == 1).count()
     single = read_csv(spark, path, schema=LISTINGS_RAW, null_value="n/a")
     assert single.where(F.col("price").isNull()).count() == raw.where(F.col("slot").isin(0, 3)).count()
+
+
+def test_random_split_depends_on_layout_keyed_split_does_not(spark, lst):
+    """Defect D2 of the original: same seed, different partitioning, different rows."""
+    base = lst.select(KEY, "slot", "price")
+    r1 = {tuple(r) for r in random_split(base.coalesce(1)).where("split = 'train'").collect()}
+    r4 = {tuple(r) for r in random_split(base.repartition(4, KEY)).where("split = 'train'").collect()}
+    k1 = {tuple(r) for r in keyed_split(base.coalesce(1), KEY).where("split = 'train'").collect()}
+    k4 = {tuple(r) for r in keyed_split(base.repartition(4, KEY), KEY).where("split = 'train'").collect()}
+    assert k1 == k4
+    assert r1 != r4
+
+
+def test_schema_profile_counts_non_null(spark, raw):
+    from gearbox.sources.readers import schema_profile
+    prof = {r["column_name"]: r["non_null"] for r in schema_profile(raw).collect()}
+    assert prof["price"] == raw.where(F.col("price").isNotNull()).count()
+    assert prof["listing_id"] == raw.count()
+
+
+def test_global_index_spreads_a_hot_value(spark):
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise((F.col("id") % 100).cast("double")).alias("x"))
+    _, counts = with_global_index(df, ["x"], "i", num_partitions=6)
+    sizes = [r["_gx_n"] for r in counts.collect()]
+    assert len(sizes) == 6 and max(sizes) < 2 * min(sizes)
+    assert target_partitions(df) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
