@@ -16,9 +16,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gearbox.session import shared_dir
+
 
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
                        by: Sequence[str] = ()) -> DataFrame:
@@ -64,8 +66,14 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
 def group_mean_model(train: DataFrame, key: str, target: str = "price") -> tuple[DataFrame, Column]:
     """Mean target per key (one row per distinct key) and the overall mean as a
     scalar-subquery Column (evaluated once) for keys never seen in training."""
-    model = train.groupBy(key).agg(F.avg(target).alias("_key_mean"))
-    overall = train.select(F.avg(target)).scalar()
+    shared_dir(train.sparkSession)
+    # one row per key; materialised once so the model and the overall mean
+    # do not each re-read the training rows
+    stats = (train.groupBy(key).agg(F.sum(target).alias("_s"), F.count(target).alias("_c"))
+             .checkpoint(eager=True))
+    model = stats.select(key, (F.col("_s") / F.col("_c")).alias("_key_mean"))
+    # overall mean from the per-key sums (one row per key), not another pass over the rows
+    overall = stats.select(F.sum("_s") / F.sum("_c")).scalar()
     return model, overall
 
 
@@ -86,18 +94,24 @@ def cv_group_mean(train: DataFrame, keys: Sequence[str], alphas: Sequence[float]
     """
     long = train.select(fold_col, target, F.inline(F.array(*[
         F.struct(F.lit(k).alias("key_col"), F.col(k).cast("string").alias("key_value")) for k in keys])))
-    per_fold_key = long.groupBy(fold_col, "key_col", "key_value").agg(
-        F.sum(target).alias("_s"), F.count(F.lit(1)).alias("_c"))
-    per_key = per_fold_key.groupBy("key_col", "key_value").agg(F.sum("_s").alias("_key_sum"), F.sum("_c").alias("_key_cnt"))
-    per_fold = train.groupBy(fold_col).agg(F.sum(target).alias("_fs"), F.count(F.lit(1)).alias("_fc"))
-    total_s = train.select(F.sum(target)).scalar()
-    total_c = train.select(F.count(F.lit(1))).scalar()
-    # training-folds mean for each held-out fold (one row per fold)
-    fold_mean = per_fold.select(fold_col, ((total_s - F.col("_fs")) / (total_c - F.col("_fc"))).alias("_m"))
-    # statistics of the training folds for each (held-out fold, key)
-    comp = (per_fold_key.join(per_key, ["key_col", "key_value"])
-            .select(fold_col, "key_col", "key_value",
-                    (F.col("_key_sum") - F.col("_s")).alias("_ks"), (F.col("_key_cnt") - F.col("_c")).alias("_kc")))
+    shared_dir(train.sparkSession)
+    # the only aggregation over the rows: folds x vocabulary rows, materialised once
+    per_fold_key = (long.groupBy(fold_col, "key_col", "key_value")
+                    .agg(F.sum(target).alias("_s"), F.count(F.lit(1)).alias("_c"))
+                    .checkpoint(eager=True))
+    # statistics of the training folds for each (held-out fold, key): all folds
+    # minus this one; the window groups hold one row per fold (at most k rows)
+    same_key = Window.partitionBy("key_col", "key_value")
+    comp = per_fold_key.select(fold_col, "key_col", "key_value",
+                               (F.sum("_s").over(same_key) - F.col("_s")).alias("_ks"),
+                               (F.sum("_c").over(same_key) - F.col("_c")).alias("_kc"))
+    # per-fold totals from one key column's block (each row appears once per block)
+    per_fold = (per_fold_key.where(F.col("key_col") == F.lit(keys[0])).groupBy(fold_col)
+                .agg(F.sum("_s").alias("_fs"), F.sum("_c").alias("_fc")))
+    everything = Window.partitionBy()  # one row per fold: k rows
+    # training-folds mean for each held-out fold
+    fold_mean = per_fold.select(fold_col, ((F.sum("_fs").over(everything) - F.col("_fs"))
+                                           / (F.sum("_fc").over(everything) - F.col("_fc"))).alias("_m"))
     scored = (long.join(comp, [fold_col, "key_col", "key_value"])
                   .join(fold_mean, fold_col))
     sq = []
