@@ -96,13 +96,14 @@ def _nonzero_entries(df: DataFrame, key: str, vec: str, extra: Sequence[Column]
 
 
 def one_hot_entries(encoded: DataFrame, key: str, categoricals: Sequence[str]) -> DataFrame:
-    """E2 as rows: ``(key, feature, slot)`` for every one-hot position set to 1."""
-    parts = [_nonzero_entries(encoded, key, v, [F.lit(c).alias("feature")]).select(key, "feature", "slot")
-             for c, v in zip(categoricals, vec_cols(categoricals))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("slot", F.col("slot").cast("int"))
+    """E2 as rows: ``(key, feature, slot)`` for every one-hot position set to 1
+    (all one-hot columns unpivoted in one pass over the rows)."""
+    blocks = F.array(*[F.struct(F.lit(c).alias("feature"), vector_to_array(F.col(v)).alias("_arr"))
+                       for c, v in zip(categoricals, vec_cols(categoricals))])
+    return (encoded.select(F.col(key), F.inline(blocks))
+            .select(key, "feature", F.posexplode("_arr").alias("slot", "value"))
+            .where(F.col("value") != 0)
+            .select(key, "feature", F.col("slot").cast("int").alias("slot")))
 
 
 def assembled_entries(encoded: DataFrame, key: str, features_col: str = "features") -> DataFrame:
