@@ -66,13 +66,22 @@ def category_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("count")))
 
 
-def map_sum_ratio(df: DataFrame, key: Column) -> DataFrame:
+def map_sum_ratio(df: DataFrame, key: Column | None = None, seed: int | None = None) -> DataFrame:
     """A3: map every row to a point in the square [-1, 1)^2, sum the points
     that fall in the unit circle, and report ``4 * inside / n`` (the
-    Monte Carlo estimate of pi).  Points derive from the row key by hashing,
-    so the result is reproducible and engine-independent."""
-    x = hash_unit(key, "x") * 2 - 1
-    y = hash_unit(key, "y") * 2 - 1
+    Monte Carlo estimate of pi).
+
+    With ``key`` the point derives from the row key by hashing (reproducible,
+    engine-independent); without it from ``rand(seed)`` like the original
+    (reproducible only for the same partitioning).
+    """
+    if key is not None:
+        x = hash_unit(key, "x") * 2 - 1
+        y = hash_unit(key, "y") * 2 - 1
+    else:
+        s = 42 if seed is None else seed
+        x = F.rand(s) * 2 - 1
+        y = F.rand(s + 1) * 2 - 1
     inside = F.when(x * x + y * y <= 1, 1).otherwise(0)
     return (df.select(inside.alias("_in"))
               .agg(F.count(F.lit(1)).alias("n"), F.sum("_in").alias("inside"))

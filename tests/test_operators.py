@@ -343,3 +343,36 @@ def test_global_index_spreads_a_hot_value(spark):
     sizes = [r["_gx_n"] for r in counts.collect()]
     assert len(sizes) == 6 and max(sizes) < 2 * min(sizes)
     assert target_partitions(df) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_percentile_approx_rank_error_bound(spark, lst):
+    from gearbox.operators.stats import approx_percentiles
+    acc = 1000
+    got = approx_percentiles(lst, "price", (0.33, 0.67), accuracy=acc).first()
+    prices = sorted(r[0] for r in lst.select("price").collect())
+    n = len(prices)
+    for p, v in ((0.33, got["p33"]), (0.67, got["p67"])):
+        lo = sum(1 for x in prices if x < v) / n
+        hi = sum(1 for x in prices if x <= v) / n
+        assert lo - 1.0 / acc <= p <= hi + 1.0 / acc
+
+
+def test_map_sum_ratio_seeded_and_keyed(spark):
+    from gearbox.operators.stats import map_sum_ratio
+    df = spark.range(0, 50000, 1, 4)
+    a = map_sum_ratio(df, seed=7).first()
+    b = map_sum_ratio(df, seed=7).first()
+    k = map_sum_ratio(df, F.col("id")).first()
+    assert a == b and abs(a["pi_estimate"] - np.pi) < 0.05 and abs(k["pi_estimate"] - np.pi) < 0.05
+
+
+def test_unseen_category_error_or_keep(spark, lst):
+    train = lst.where(F.col("make") != "Brand#1")
+    test = lst.where(F.col("make") == "Brand#1")
+    assert test.count() > 0
+    strict = fit_encoders(train, GBT_CATEGORICALS, NUMERIC_FEATURES)
+    with pytest.raises(Exception):
+        strict.transform(test).select("features").collect()
+    keep = fit_encoders(train, GBT_CATEGORICALS, NUMERIC_FEATURES, handle_invalid="keep")
+    assert keep.transform(test).select("features").count() == test.count()
+    assert vector_width(keep.transform(test)) == vector_width(strict.transform(train)) + len(GBT_CATEGORICALS)
