@@ -33,23 +33,71 @@ def approx_percentiles(df: DataFrame, col: str, probs: Sequence[float] = (0.33,
     return df.select(arr.alias("_q")).select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
+FULL_SORT_MAX_ROWS = 2_000_000
+last_percentile_path = ""  # "bracket" or "full": which method answered the last call (for tests)
+
+
+def _record(path: str) -> None:
+    global last_percentile_path
+    last_percentile_path = path
+
+
+def _pick_by_index(indexed: DataFrame, wanted: Sequence[int], names: Sequence[str]) -> DataFrame:
+    picked = indexed.where(F.col("_rank0").isin(sorted(set(wanted))))
+    return picked.agg(*[F.max(F.when(F.col("_rank0") == k, F.col("_v"))).alias(nm)
+                        for k, nm in zip(wanted, names)])
+
+
 def exact_percentiles(df: DataFrame, col: str, percents: Sequence[int] = (33, 67),
-                      names: Sequence[str] | None = None) -> DataFrame:
+                      names: Sequence[str] | None = None, accuracy: int = 10000,
+                      full_sort_max_rows: int = FULL_SORT_MAX_ROWS) -> DataFrame:
     """A2x: one row; for each integer percent ``p`` the smallest value whose
     1-based rank ``rn`` satisfies ``rn * 100 >= p * n`` (nulls excluded).
 
-    Ranks come from ``with_global_index`` (range partitioning, no
-    single-task window); only ``n`` (summed from one row per partition)
-    reaches the driver, and the answer is picked out by an aggregation.
+    Large inputs are not sorted.  One aggregation gives ``n`` and
+    ``percentile_approx`` values at ``p/100 +- 3/accuracy``; their rank error
+    (at most ``n/accuracy``) guarantees the exact answer lies between them.
+    A second aggregation counts the rows below each bracket, and only the
+    rows inside the brackets (about ``6 n / accuracy``) get the distributed
+    global index (``with_global_index``).  Inputs up to
+    ``full_sort_max_rows`` rows index all values directly, and so does any
+    bracket that fails its consistency check, so the result is always exact.
+    Only counts and the requested values reach the driver.
     """
     names = list(names or [f"p{p}" for p in percents])
-    values = df.select(col).where(F.col(col).isNotNull())
-    indexed, counts = with_global_index(values, [col], "_rank0")
-    n = counts.agg(F.sum("_gx_n")).first()[0] or 0
-    wanted = [(p * n + 99) // 100 - 1 if n else -1 for p in percents]  # ceil(p*n/100), 0-based
-    picked = indexed.where(F.col("_rank0").isin(sorted(set(wanted))))
-    return picked.agg(*[F.max(F.when(F.col("_rank0") == k, F.col(col))).alias(nm)
-                        for k, nm in zip(wanted, names)])
+    values = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
+    eps = 1.0 / accuracy
+    probs = [q for p in percents for q in (max(0.0, p / 100 - 3 * eps), min(1.0, p / 100 + 3 * eps))]
+    head = values.agg(F.count(F.lit(1)).alias("n"),
+                      F.percentile_approx("_v", probs, accuracy).alias("q")).first()
+    n = head["n"]
+    if n == 0:
+        return values.agg(*[F.max("_v").alias(nm) for nm in names])
+    ks = [(p * n + 99) // 100 for p in percents]  # 1-based ranks, ceil(p*n/100)
+    if n > max(full_sort_max_rows, accuracy):
+        brackets = [(head["q"][2 * i], head["q"][2 * i + 1]) for i in range(len(percents))]
+        below = values.agg(*[F.count_if(F.col("_v") < lo).alias(f"b{i}")
+                             for i, (lo, _) in enumerate(brackets)]).first()
+        inside = None
+        for lo, hi in brackets:
+            term = (F.col("_v") >= lo) & (F.col("_v") <= hi)
+            inside = term if inside is None else inside | term
+        indexed, _ = with_global_index(values.where(inside), ["_v"], "_rank0")
+        firsts = indexed.agg(*(
+            [F.min(F.when(F.col("_v") >= lo, F.col("_rank0"))).alias(f"f{i}") for i, (lo, _) in enumerate(brackets)]
+            + [F.count_if((F.col("_v") >= lo) & (F.col("_v") <= hi)).alias(f"c{i}")
+               for i, (lo, hi) in enumerate(brackets)])).first()
+        wanted, ok = [], True
+        for i, k in enumerate(ks):
+            r = k - below[f"b{i}"]  # rank of the answer inside its bracket
+            ok = ok and firsts[f"f{i}"] is not None and 1 <= r <= firsts[f"c{i}"]
+            wanted.append((firsts[f"f{i}"] or 0) + r - 1)
+        if ok:
+            _record("bracket")
+            return _pick_by_index(indexed, wanted, names)
+    _record("full")
+    indexed, _ = with_global_index(values, ["_v"], "_rank0")
+    return _pick_by_index(indexed, [k - 1 for k in ks], names)
 
 
 def category_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -53,3 +53,16 @@ def test_one_hot_blocks_sum_to_zero_or_one(spark):
     sums = [F.aggregate(vector_to_array(c), F.lit(0.0), lambda a, x: a + x).alias(c) for c in vec_cols(MLP_CATEGORICALS)]
     bad = enc.select(*sums).where(" or ".join(f"`{c}` not in (0.0, 1.0)" for c in vec_cols(MLP_CATEGORICALS)))
     assert bad.count() == 0
+
+
+@SETTINGS
+@given(st.lists(st.integers(min_value=0, max_value=60), min_size=120, max_size=600),
+       st.sampled_from([1, 3]), st.sampled_from([(33, 67), (1, 50, 99), (100,)]))
+def test_bracketed_exact_percentiles_equal_brute_force(spark, values, parts, percents):
+    df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(parts)
+    got = exact_percentiles(df, "x", percents, accuracy=20, full_sort_max_rows=0).first()
+    from gearbox.operators import stats
+    assert stats.last_percentile_path == "bracket"
+    s = sorted(values)
+    for p in percents:
+        assert got[f"p{p}"] == next(v for rn, v in enumerate(s, 1) if rn * 100 >= p * len(s))
