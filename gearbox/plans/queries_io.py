@@ -275,6 +275,6 @@ def q_stream_clean_parts(spark, sf_dir):
     base = scratch_path(spark, "stream_parts")
     write_csv(listings_raw(spark, sf_dir).repartition(3), f"{base}/incoming")
     q = clean_parts_stream(spark, f"{base}/incoming", f"{base}/clean", f"{base}/quarantine", LISTINGS_RAW,
-                           checkpoint=f"{base}/_checkpoint")
+                           checkpoint=f"{base}/_checkpoint", max_files_per_trigger=1)
     q.awaitTermination()
     return read_stream_output(spark, f"{base}/clean")

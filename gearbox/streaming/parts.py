@@ -41,7 +41,8 @@ def read_parts_stream(spark: SparkSession, in_dir: str, schema: T.StructType,
 
 def clean_parts_stream(spark: SparkSession, in_dir: str, clean_dir: str, quarantine_dir: str,
                        schema: T.StructType, target: str = "price", checkpoint: str | None = None,
-                       available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+                       available_now: bool = True, processing_time: str | None = None,
+                       max_files_per_trigger: int | None = None) -> StreamingQuery:
     """F4 + F5 on a stream of CSV parts.  Returns the started query."""
     ckpt = checkpoint or f"{shared_dir(spark).rstrip('/')}/gearbox-streams/clean_parts"
 
@@ -55,7 +56,7 @@ def clean_parts_stream(spark: SparkSession, in_dir: str, clean_dir: str, quarant
         finally:
             batch.unpersist()
 
-    w = (read_parts_stream(spark, in_dir, schema).writeStream
+    w = (read_parts_stream(spark, in_dir, schema, max_files_per_trigger).writeStream
          .foreachBatch(per_batch).option("checkpointLocation", ckpt))
     if available_now and not processing_time:
         w = w.trigger(availableNow=True)

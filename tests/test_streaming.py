@@ -21,8 +21,12 @@ def test_stream_matches_batch_and_picks_up_new_parts(spark, tmp_dir):
     clean_parts_stream(*args, checkpoint=ckpt).awaitTermination()
     first = read_stream_output(spark, clean).count()
     write_csv(raw.where(F.col("slot") >= 10), os.path.join(incoming, "b"))
-    clean_parts_stream(*args, checkpoint=ckpt).awaitTermination()
+    q = clean_parts_stream(*args, checkpoint=ckpt, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert q.lastProgress is not None
     got = read_stream_output(spark, clean)
+    batches = spark.read.parquet(clean).select("batch_id").distinct().count()
+    assert batches >= 2
     expect = drop_target_null(cast_target(raw))
     assert got.count() == expect.count() > first > 0
     assert got.exceptAll(expect).count() == 0
