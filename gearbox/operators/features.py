@@ -17,9 +17,10 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gearbox.operators.ordering import with_global_index
 from gearbox.operators.stats import category_frequencies
 
 
@@ -29,13 +30,15 @@ def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Same order as ``StringIndexer(stringOrderType="frequencyDesc")``: most
     frequent value first, ties by value ascending, 0-based; nulls get no index.
-    The window is partitioned by column over the (already aggregated)
-    frequency table, so one task holds one column's vocabulary, the same
-    bound as the fitted ``StringIndexerModel`` that keeps it on the driver.
+    The frequency table gets one distributed global index over
+    ``(feature, count desc, value)`` (no task holds a whole vocabulary);
+    each feature's first index, one row per input column, is subtracted.
     """
     freq = category_frequencies(df, columns).where(F.col("value").isNotNull())
-    w = Window.partitionBy("feature").orderBy(F.desc("count"), F.asc("value"))
-    return freq.withColumn("index", (F.row_number().over(w) - 1).cast("int"))
+    indexed, _ = with_global_index(freq, [F.col("feature"), F.desc("count"), F.asc("value")], "_g")
+    starts = indexed.groupBy("feature").agg(F.min("_g").alias("_start"))  # len(columns) rows
+    return (indexed.join(F.broadcast(starts), "feature")
+            .select("feature", "value", "count", (F.col("_g") - F.col("_start")).cast("int").alias("index")))
 
 
 def feature_width(df: DataFrame, categoricals: Sequence[str], n_numeric: int) -> DataFrame:
