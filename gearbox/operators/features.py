@@ -20,7 +20,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gearbox.operators.ordering import with_global_index
+from gearbox.operators.ordering import partitions_for_rows, with_global_index
+from gearbox.session import shared_dir
 from gearbox.operators.stats import category_frequencies
 
 
@@ -34,8 +35,14 @@ def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ``(feature, count desc, value)`` (no task holds a whole vocabulary);
     each feature's first index, one row per input column, is subtracted.
     """
-    freq = category_frequencies(df, columns).where(F.col("value").isNotNull())
-    indexed, _ = with_global_index(freq, [F.col("feature"), F.desc("count"), F.asc("value")], "_g")
+    # the frequency table is small (sum of vocabularies): materialise it and
+    # size the range partitioning from its real row count, not from the
+    # plan estimate of the scan it came from
+    shared_dir(df.sparkSession)
+    freq = category_frequencies(df, columns).where(F.col("value").isNotNull()).checkpoint(eager=True)
+    parts = partitions_for_rows(df.sparkSession, freq.count())
+    indexed, _ = with_global_index(freq, [F.col("feature"), F.desc("count"), F.asc("value")], "_g",
+                                   num_partitions=parts)
     starts = indexed.groupBy("feature").agg(F.min("_g").alias("_start"))  # len(columns) rows
     return (indexed.join(F.broadcast(starts), "feature")
             .select("feature", "value", "count", (F.col("_g") - F.col("_start")).cast("int").alias("index")))

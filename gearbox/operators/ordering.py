@@ -65,6 +65,13 @@ def target_partitions(df: DataFrame) -> int:
     return max(base, math.ceil(size / max(advisory, 1)))
 
 
+def partitions_for_rows(spark, rows: int, row_bytes: int = 64) -> int:
+    """Partitions for ``rows`` rows of about ``row_bytes`` bytes at the advisory size
+    (for inputs whose row count is known but whose plan estimate is not)."""
+    advisory = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
+    return max(1, math.ceil(rows * row_bytes / max(advisory, 1)))
+
+
 def with_global_index(df: DataFrame, order: list[Column | str], index_col: str = "row_index",
                       num_partitions: int | None = None, tiebreak: bool = True) -> tuple[DataFrame, DataFrame]:
     """Return ``(indexed, partition_counts)``.

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gearbox.functions.columns import hash_unit
-from gearbox.operators.ordering import with_global_index
+from gearbox.operators.ordering import partitions_for_rows, with_global_index
 
 
 def row_counts(df: DataFrame, conditions: Mapping[str, Column] | None = None) -> DataFrame:
@@ -82,7 +82,9 @@ def exact_percentiles(df: DataFrame, col: str, percents: Sequence[int] = (33, 67
         for lo, hi in brackets:
             term = (F.col("_v") >= lo) & (F.col("_v") <= hi)
             inside = term if inside is None else inside | term
-        indexed, _ = with_global_index(values.where(inside), ["_v"], "_rank0")
+        expected = 6 * n * len(percents) // accuracy + 1  # rows inside the brackets, at most
+        indexed, _ = with_global_index(values.where(inside), ["_v"], "_rank0",
+                                       num_partitions=partitions_for_rows(df.sparkSession, expected, 16))
         firsts = indexed.agg(*(
             [F.min(F.when(F.col("_v") >= lo, F.col("_rank0"))).alias(f"f{i}") for i, (lo, _) in enumerate(brackets)]
             + [F.count_if((F.col("_v") >= lo) & (F.col("_v") <= hi)).alias(f"c{i}")
