@@ -98,7 +98,8 @@ def exact_percentiles(df: DataFrame, col: str, percents: Sequence[int] = (33, 67
             _record("bracket")
             return _pick_by_index(indexed, wanted, names)
     _record("full")
-    indexed, _ = with_global_index(values, ["_v"], "_rank0")
+    indexed, _ = with_global_index(values, ["_v"], "_rank0",
+                                   num_partitions=partitions_for_rows(df.sparkSession, n, 16))
     return _pick_by_index(indexed, [k - 1 for k in ks], names)
 
 
