@@ -80,7 +80,7 @@ def q_gbt_cv(spark, sf_dir):
     data = prepare(listings_table(spark, sf_dir), GBT_CATEGORICALS).withColumnRenamed(TARGET, "label")
     train = data.where(F.col("split") == "train")
     cvm, _, maps, _ = cross_validate(train, NUMERIC_FEATURES, GBT_CATEGORICALS,
-                                     lambda w: gbt({"subsamplingRate": 0.8}), GBT_QUICK_GRID,
+                                     lambda w: gbt({}), GBT_QUICK_GRID,
                                      regression_evaluator())
     return cv_table(spark, cvm, maps, GBT_QUICK_GRID, "rmse")
 
