@@ -42,7 +42,8 @@ def quarantine_job(spark: SparkSession, input_parquet: str, input_csv: str, out_
     write_parquet(missing, out_parquet)
     written = spark.read.parquet(out_parquet)
     csv = write_single_file(written, out_csv, fmt="csv", max_rows=csv_max_rows)
-    return QuarantineResult(csv["rows"], written, csv)
+    count = csv["rows"] if csv["rows"] is not None else written.count()
+    return QuarantineResult(count, written, csv)
 
 
 def clean_part_job(spark: SparkSession, in_csv: str, out_parquet: str, target: str = "price") -> DataFrame:

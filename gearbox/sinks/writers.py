@@ -47,14 +47,17 @@ def write_single_file(df: DataFrame, path: str, fmt: str = "parquet",
                       max_rows: int = DEFAULT_SINGLE_FILE_MAX_ROWS, oversize: str = "split") -> dict:
     """K2/K3: one data file under ``path`` for a bounded extract.
 
+    The guard counts at most ``max_rows + 1`` rows (``limit`` stops every
+    partition early), so an oversized input is detected without counting it.
     ``oversize="split"`` writes a larger input as an ordinary multi-file
     directory instead; ``oversize="error"`` raises.  Returns
-    ``{"path", "rows", "files"}``.  The row count is one cheap aggregation.
+    ``{"path", "rows", "files", "single"}``; ``rows`` is exact for a single
+    file and ``None`` for the multi-file fallback.
     """
-    rows = df.count()
-    single = rows <= max_rows
+    capped = df.limit(max_rows + 1).count()
+    single = capped <= max_rows
     if not single and oversize == "error":
-        raise ValueError(f"{rows} rows exceed the single-file limit of {max_rows}")
+        raise ValueError(f"more than {max_rows} rows: too many for a single file")
     out = df.coalesce(1) if single else df
     if fmt == "parquet":
         write_parquet(out, path)
@@ -63,7 +66,7 @@ def write_single_file(df: DataFrame, path: str, fmt: str = "parquet",
     else:
         raise ValueError(f"unknown format {fmt}")
     files = data_files(df.sparkSession, path, "." + fmt if fmt == "csv" else ".parquet")
-    return {"path": path, "rows": rows, "files": files}
+    return {"path": path, "rows": capped if single else None, "files": files, "single": single}
 
 
 def write_if_nonempty(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
