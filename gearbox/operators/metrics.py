@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gearbox.operators.joins import sized_broadcast
 from gearbox.session import shared_dir
 
 
@@ -71,7 +72,8 @@ def group_mean_model(train: DataFrame, key: str, target: str = "price") -> tuple
     # do not each re-read the training rows
     stats = (train.groupBy(key).agg(F.sum(target).alias("_s"), F.count(target).alias("_c"))
              .checkpoint(eager=True))
-    model = stats.select(key, (F.col("_s") / F.col("_c")).alias("_key_mean"))
+    # broadcast to the scored rows only when the counted table is small enough
+    model = sized_broadcast(stats.select(key, (F.col("_s") / F.col("_c")).alias("_key_mean")))
     # overall mean from the per-key sums (one row per key), not another pass over the rows
     overall = stats.select(F.sum("_s") / F.sum("_c")).scalar()
     return model, overall
@@ -112,8 +114,9 @@ def cv_group_mean(train: DataFrame, keys: Sequence[str], alphas: Sequence[float]
     # training-folds mean for each held-out fold
     fold_mean = per_fold.select(fold_col, ((F.sum("_fs").over(everything) - F.col("_fs"))
                                            / (F.sum("_fc").over(everything) - F.col("_fc"))).alias("_m"))
+    comp = sized_broadcast(comp, rows=per_fold_key.count())  # same rows as per_fold_key
     scored = (long.join(comp, [fold_col, "key_col", "key_value"])
-                  .join(fold_mean, fold_col))
+                  .join(F.broadcast(fold_mean), fold_col))  # one row per fold: bounded by k
     sq = []
     for a in alphas:
         pred = F.when(F.col("_kc") + F.lit(a) > 0,

@@ -376,3 +376,17 @@ def test_unseen_category_error_or_keep(spark, lst):
     keep = fit_encoders(train, GBT_CATEGORICALS, NUMERIC_FEATURES, handle_invalid="keep")
     assert keep.transform(test).select("features").count() == test.count()
     assert vector_width(keep.transform(test)) == vector_width(strict.transform(train)) + len(GBT_CATEGORICALS)
+
+
+def test_sized_broadcast_only_under_the_limit(spark):
+    from gearbox.operators.joins import sized_broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no automatic broadcasts
+    try:
+        big = spark.range(0, 20000).withColumnRenamed("id", "k")
+        small = spark.range(0, 100).withColumnRenamed("id", "k")
+        plan = big.join(sized_broadcast(small), "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+        plan = big.join(sized_broadcast(small, max_bytes=100), "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
