@@ -35,11 +35,8 @@ def is_missing(df: DataFrame, name: str) -> Column:
     rather than casting every value to text.
     """
     c = F.col(name)
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, T.StringType):
+    if isinstance(df.schema[name].dataType, T.StringType):
         return c.isNull() | (F.trim(c) == F.lit(""))
-    if isinstance(dtype, _FLOATING):
-        return c.isNull()
     return c.isNull()
 
 

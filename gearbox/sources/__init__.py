@@ -1,4 +1,4 @@
-from gearbox.sources.fixtures import listings, listings_raw, table
+from gearbox.sources.fixtures import listings, listings_raw, listings_table, table
 from gearbox.sources.fs import data_files, path_exists, require_path
 from gearbox.sources.readers import (
     range_source,
@@ -7,11 +7,14 @@ from gearbox.sources.readers import (
     read_first_available,
     read_parquet,
     read_part,
+    require_schema,
+    schema_profile,
+    schema_table,
     sql_view_scan,
 )
 
 __all__ = [
-    "data_files", "listings", "listings_raw", "path_exists", "range_source", "read_csv",
-    "read_existing_parquet", "read_first_available", "read_parquet", "read_part",
-    "require_path", "sql_view_scan", "table",
+    "data_files", "listings", "listings_raw", "listings_table", "path_exists", "range_source", "read_csv",
+    "read_existing_parquet", "read_first_available", "read_parquet", "read_part", "require_path",
+    "require_schema", "schema_profile", "schema_table", "sql_view_scan", "table",
 ]
