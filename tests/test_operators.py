@@ -390,3 +390,27 @@ def test_sized_broadcast_only_under_the_limit(spark):
         assert "BroadcastHashJoin" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_listings_table_rederived_when_sources_change(spark, tmp_dir):
+    import shutil
+    import time as _time
+
+    import pyarrow.parquet as pq
+    from gearbox.sources.fixtures import SOURCE_TABLES, listings_table
+    src = os.path.join(tmp_dir, "sf")
+    os.makedirs(src)
+    for t in SOURCE_TABLES:
+        shutil.copy(os.path.join(SF_SMALL, f"{t}.parquet"), os.path.join(src, f"{t}.parquet"))
+    first = listings_table(spark, src)
+    assert listings_table(spark, src).inputFiles() == first.inputFiles()  # reused
+    before = {r["seller_type"] for r in first.select("seller_type").distinct().collect()}
+    region = pq.read_table(os.path.join(src, "region.parquet")).to_pandas()
+    region["r_name"] = region["r_name"] + "_X"
+    _time.sleep(1.1)  # a visibly newer modification time
+    pq.write_table(__import__("pyarrow").Table.from_pandas(region, preserve_index=False),
+                   os.path.join(src, "region.parquet"))
+    second = listings_table(spark, src)
+    assert second.inputFiles() != first.inputFiles()
+    after = {r["seller_type"] for r in second.select("seller_type").distinct().collect()}
+    assert after == {b + "_X" for b in before}
