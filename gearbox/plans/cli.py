@@ -93,7 +93,7 @@ def split_csv(spark: SparkSession, a) -> dict:
     return _emit({"job": "split", "parts": sizes})
 
 
-def merge_csv(spark: SparkSession, a) -> dict:
+def merge_csv_parts(spark: SparkSession, a) -> dict:
     merged = union_parts([read_csv(spark, p, infer_schema=a.infer_schema) for p in a.inputs])
     write_csv(merged, a.output_csv)
     out = {"job": "merge", "rows": spark.read.option("header", True).csv(a.output_csv).count()}
@@ -216,7 +216,7 @@ def run(spark: SparkSession, a) -> dict:
     if job == "split":
         return split_csv(spark, a)
     if job == "merge":
-        return merge_csv(spark, a)
+        return merge_csv_parts(spark, a)
     if job == "csv-to-parquet":
         df = csv_to_parquet_job(spark, a.input, a.output, infer_schema=not a.no_infer, single_file=a.single_file)
         return _emit({"job": job, "rows": df.count(), "columns": df.columns})
