@@ -248,7 +248,8 @@ def run(spark: SparkSession, a) -> dict:
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
     # batch jobs: no web UI server
-    builder = SparkSession.builder.appName(f"gearbox-{a.job}").config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(f"gearbox-{a.job}").config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if a.master:
         builder = builder.master(a.master)
     spark = builder.getOrCreate()
