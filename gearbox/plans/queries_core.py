@@ -20,6 +20,7 @@ from gearbox.operators.layout import (
     contiguous_split,
     keyed_split,
     kfold,
+    partition_sizes,
     random_split,
     rebalance,
     repartition_rows,
@@ -140,6 +141,14 @@ def q_rebalance_content(spark, sf_dir):
     return rebalance(li, 4, key=F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey"))
 
 
+@register("partition_counts", ("L4", "L2"))
+def q_partition_counts(spark, sf_dir):
+    """Rows per physical partition after a keyed rebalance into 8 partitions
+    (layout-dependent, so rows-only: 8 rows whose counts sum to the table)."""
+    li = table(spark, sf_dir, "lineitem")
+    return partition_sizes(rebalance(li, 8, key=F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")))
+
+
 @register("random_split", ("L5",))
 def q_random_split(spark, sf_dir):
     return random_split(listings_table(spark, sf_dir).select(KEY, "price"), (0.8, 0.2), seed=42)

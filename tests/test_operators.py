@@ -414,3 +414,15 @@ def test_listings_table_rederived_when_sources_change(spark, tmp_dir):
     assert second.inputFiles() != first.inputFiles()
     after = {r["seller_type"] for r in second.select("seller_type").distinct().collect()}
     assert after == {b + "_X" for b in before}
+
+
+def test_read_one_part_by_file_uri(spark, tmp_dir):
+    from gearbox.sources.readers import read_part
+    orders = table(spark, SF_SMALL, "orders")
+    parts = contiguous_split(orders, ["o_orderkey"], 3)
+    base = write_parquet(parts, os.path.join(tmp_dir, "parts"), partition_by=["part"])
+    direct = read_parquet(spark, "file://" + os.path.join(base, "part=2"))
+    pruned = read_part(spark, base, 2)
+    assert direct.count() == pruned.count() == parts.where("part = 2").count()
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "part" in plan
