@@ -15,6 +15,7 @@ with counts, thresholds or metrics.  Jobs:
   find-null       rows with a missing target -> Parquet + single CSV extract
   inspect         schema profile + missing-target count of a table
   pi              Monte Carlo estimate over N generated samples
+  stream-clean    CSV parts arriving in a folder -> clean + quarantine Parquet, incrementally
   gbt / mlp       train, score and report a model on a listing table
   gbt-cv / mlp-cv grid search with 3-fold cross-validation
 """
@@ -192,6 +193,14 @@ def parser() -> argparse.ArgumentParser:
     s = sub.add_parser("inspect")
     s.add_argument("input"), s.add_argument("--target", default=TARGET)
 
+    s = sub.add_parser("stream-clean")
+    s.add_argument("input_dir"), s.add_argument("--clean-dir", required=True)
+    s.add_argument("--quarantine-dir", required=True), s.add_argument("--checkpoint")
+    s.add_argument("--schema", required=True, help='DDL, e.g. "listing_id string, price string"')
+    s.add_argument("--target", default=TARGET)
+    s.add_argument("--processing-time", help="run as a service with this trigger interval, e.g. '1 minute'")
+    s.add_argument("--max-files-per-trigger", type=int)
+
     s = sub.add_parser("pi")
     s.add_argument("--samples", type=int, default=1_000_000)
 
@@ -239,6 +248,17 @@ def run(spark: SparkSession, a) -> dict:
         df = read_parquet(spark, a.input)
         prof = [r.asDict() for r in schema_profile(df).orderBy("position").collect()]
         return _emit({"job": job, "schema": prof, "missing_target": missing_rows(df, a.target).count()})
+    if job == "stream-clean":
+        from pyspark.sql.types import StructType
+        from gearbox.streaming.parts import clean_parts_stream
+        schema = StructType.fromDDL(a.schema) if hasattr(StructType, "fromDDL") else spark.createDataFrame(
+            [], a.schema).schema
+        q = clean_parts_stream(spark, a.input_dir, a.clean_dir, a.quarantine_dir, schema, a.target,
+                               checkpoint=a.checkpoint, processing_time=a.processing_time,
+                               max_files_per_trigger=a.max_files_per_trigger)
+        q.awaitTermination()
+        progress = q.lastProgress or {}
+        return _emit({"job": job, "batch": progress.get("batchId"), "rows_last_batch": progress.get("numInputRows")})
     if job == "pi":
         out = map_sum_ratio(spark.range(a.samples), F.col("id")).first().asDict()
         return _emit({"job": job, **out})

@@ -75,3 +75,17 @@ def test_model_jobs(spark, tmp_dir, argv):
     out = job(spark, argv[0], src, *argv[1:], "--report", os.path.join(tmp_dir, "report"))
     assert {m["split"] for m in out["metrics"]} == {"train", "test"}
     assert spark.read.parquet(os.path.join(tmp_dir, "report")).count() > 10
+
+
+def test_stream_clean_job(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    raw = listings_raw(spark, SF_SMALL)
+    write_csv(raw, os.path.join(tmp_dir, "in", "a"))
+    ddl = "listing_id string, slot bigint, price string, mileage double, seller_type string, make string, " \
+          "transmission string"
+    out = job(spark, "stream-clean", os.path.join(tmp_dir, "in", "*"), "--clean-dir", os.path.join(tmp_dir, "c"),
+              "--quarantine-dir", os.path.join(tmp_dir, "q"), "--checkpoint", os.path.join(tmp_dir, "ck"),
+              "--schema", ddl)
+    assert out["batch"] is not None
+    clean = spark.read.parquet(os.path.join(tmp_dir, "c"))
+    assert clean.count() == raw.where(F.col("price").try_cast("double").isNotNull()).count()
