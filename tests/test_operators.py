@@ -426,3 +426,11 @@ def test_read_one_part_by_file_uri(spark, tmp_dir):
     assert direct.count() == pruned.count() == parts.where("part = 2").count()
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "part" in plan
+
+
+def test_rebalance_without_key_and_bucket_skip(spark, lst):
+    r = rebalance(lst, 3)
+    assert r.count() == lst.count() and len(partition_sizes(r).collect()) == 3
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "x double")
+    got = [r["b"] for r in df.select(bucket("x", [0.0, 5.0, float("inf")], "skip").alias("b")).collect()]
+    assert got == [None, 0.0, None]
