@@ -52,17 +52,22 @@ def _bytes(text: str) -> int:
     return int(digits) * _UNITS.get(unit, 1)
 
 
-def target_partitions(df: DataFrame) -> int:
-    """Partitions for a shuffle of ``df``: size estimate / advisory size,
-    never below ``spark.sql.shuffle.partitions``."""
+def size_partitions(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` divided by the advisory
+    partition size (0 when no estimate is available)."""
     spark = df.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     advisory = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
     try:
         size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # no estimate available: keep the configured count
-        return base
-    return max(base, math.ceil(size / max(advisory, 1)))
+    except Exception:  # no estimate available
+        return 0
+    return math.ceil(size / max(advisory, 1))
+
+
+def target_partitions(df: DataFrame) -> int:
+    """Partitions for a shuffle of ``df``: size estimate / advisory size,
+    never below ``spark.sql.shuffle.partitions``."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size_partitions(df))
 
 
 def partitions_for_rows(spark, rows: int, row_bytes: int = 64) -> int:
