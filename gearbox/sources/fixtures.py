@@ -8,9 +8,10 @@ in ``listings_raw``, planted nulls, blanks and junk text.  One row per
 Join plan: ``lineitem`` is the fact table.  Dimension sides are
 pre-joined on their own keys (customer with nation/region, supplier with
 nation/region, part with its brand share) so each fact row meets each key
-once.  No broadcast hints: Catalyst broadcasts a side only when its
-statistics fall under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
-re-plans with the real shuffle sizes; large sides stay sort-merge joins.
+once.  No broadcast hints on data-sized sides: Catalyst broadcasts a side
+only when its statistics fall under ``spark.sql.autoBroadcastJoinThreshold``,
+and AQE re-plans with the real shuffle sizes; large sides stay sort-merge
+joins.  The one hint is the per-brand table, broadcast after counting it.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gearbox.schema import LISTINGS, LISTINGS_RAW
-from gearbox.session import scratch_path, sf_path
+from gearbox.operators.joins import sized_broadcast
+from gearbox.session import scratch_path, sf_path, shared_dir
 from gearbox.sources.fs import file_fingerprint, path_exists
 
 # The planted price formula's part-type codes.
@@ -44,10 +46,16 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
 
-    # brand share = parts of the brand / all parts (scalar subquery, evaluated once)
-    n_parts = part.select(F.count(F.lit(1))).scalar()
-    brands = part.groupBy("p_brand").agg(
-        (F.count(F.lit(1)).cast("double") / n_parts).alias("brand_popularity"))
+    # brand share = parts of the brand / all parts.  The brand table has one
+    # row per brand (a handful), but its plan estimate is the part table's:
+    # joining it as planned would shuffle all parts on a low-cardinality key.
+    # Materialise the counts (one pass over p_brand), take the total from
+    # them, and broadcast them after counting.
+    shared_dir(spark)
+    brand_counts = part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    n_parts = brand_counts.select(F.sum("_n")).scalar()
+    brands = sized_broadcast(brand_counts.select(
+        "p_brand", (F.col("_n").cast("double") / n_parts).alias("brand_popularity")))
     part_dim = part.join(brands, "p_brand")
 
     cust_dim = (customer.join(geo, customer.c_nationkey == geo.n_nationkey)
