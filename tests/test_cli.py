@@ -89,3 +89,14 @@ def test_stream_clean_job(spark, tmp_dir):
     assert out["batch"] is not None
     clean = spark.read.parquet(os.path.join(tmp_dir, "c"))
     assert clean.count() == raw.where(F.col("price").try_cast("double").isNotNull()).count()
+
+
+def test_gbt_cv_job_quick_grid(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "listings")
+    write_parquet(listings_table(spark, SF_SMALL), src)
+    out = job(spark, "gbt-cv", src, "--grid", "quick", "--output", os.path.join(tmp_dir, "cv"))
+    configs = out["configs"]
+    assert len(configs) == 8 and sum(c["best"] for c in configs) == 1
+    best = [c for c in configs if c["best"]][0]
+    assert best["avg_rmse"] == min(c["avg_rmse"] for c in configs)
+    assert spark.read.parquet(os.path.join(tmp_dir, "cv")).count() == 8
