@@ -56,6 +56,7 @@ from gearbox.plans.price_bands import band_thresholds
 from gearbox.plans.training import gbt_run, mlp_run, prepare, run_report
 from gearbox.schema import GBT_CATEGORICALS, MLP_CATEGORICALS, NUMERIC_FEATURES, TARGET
 from gearbox.sinks.writers import write_csv, write_parquet, write_single_file
+from gearbox.sources.fs import rename_path
 from gearbox.sources.readers import read_csv, read_existing_parquet, read_parquet, schema_profile
 from gearbox.operators.features import price_bands
 
@@ -78,19 +79,22 @@ def file_order(df: DataFrame) -> list:
 
 
 def split_csv(spark: SparkSession, a) -> dict:
+    """One pass: contiguous split in file order, one ``partitionBy`` write,
+    then each ``part=<i>`` folder renamed to ``part_node<i>.csv``."""
     df = read_csv(spark, a.input, infer_schema=a.infer_schema)
     keyed = df.select("*", *[c.alias(f"_order{i}") for i, c in enumerate(file_order(df))])
     order_cols = [f"_order{i}" for i in range(3)]
-    parts = contiguous_split(keyed, order_cols, a.parts).drop(*order_cols).persist()
-    try:
-        sizes = {}
-        for p in range(1, a.parts + 1):
-            out = f"{a.output.rstrip('/')}/part_node{p}.csv"
-            part = parts.where(F.col("part") == p).drop("part")
-            write_csv(part, out)
-            sizes[out] = spark.read.option("header", True).csv(out).count()
-    finally:
-        parts.unpersist()
+    parts = contiguous_split(keyed, order_cols, a.parts).drop(*order_cols)
+    out = a.output.rstrip("/")
+    write_csv(parts, f"{out}/_split", partition_by=["part"])
+    written = spark.read.option("header", True).csv(f"{out}/_split")
+    counts = {r["part"]: r["count"] for r in written.groupBy("part").count().collect()}
+    sizes = {}
+    for p in range(1, a.parts + 1):
+        dst = f"{out}/part_node{p}.csv"
+        if p in counts:
+            rename_path(spark, f"{out}/_split/part={p}", dst)
+        sizes[dst] = counts.get(p, 0)
     return _emit({"job": "split", "parts": sizes})
 
 

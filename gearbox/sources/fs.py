@@ -47,3 +47,12 @@ def file_fingerprint(spark: SparkSession, path: str) -> tuple[int, int]:
     while it.hasNext():
         newest = max(newest, it.next().getModificationTime())
     return int(summary.getLength()), int(newest)
+
+
+def rename_path(spark: SparkSession, src: str, dst: str) -> str:
+    """Rename a file or folder on its filesystem (metadata-only on HDFS)."""
+    fs, hsrc = _fs_and_path(spark, src)
+    _, hdst = _fs_and_path(spark, dst)
+    if not fs.rename(hsrc, hdst):
+        raise OSError(f"could not rename {src} to {dst}")
+    return dst
