@@ -253,7 +253,7 @@ where i.index < o.card - 1"""
 def q_assemble(spark, sf_dir):
     df = listings_table(spark, sf_dir)
     model = fit_encoders(df, GBT_CATEGORICALS, NUMERIC_FEATURES)
-    return assembled_entries(model.transform(df), KEY)
+    return assembled_entries(model.transform(df), KEY, numerics=NUMERIC_FEATURES, categoricals=GBT_CATEGORICALS)
 
 
 @register("feature_width", ("E4",), sql(f"""

@@ -434,3 +434,13 @@ def test_rebalance_without_key_and_bucket_skip(spark, lst):
     df = spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "x double")
     got = [r["b"] for r in df.select(bucket("x", [0.0, 5.0, float("inf")], "skip").alias("b")).collect()]
     assert got == [None, 0.0, None]
+
+
+def test_index_based_entries_equal_vector_expansion(spark, lst):
+    from gearbox.operators.features import assembled_entries
+    train = lst.where(F.col("make") != "Brand#1")
+    enc = fit_encoders(train, GBT_CATEGORICALS, NUMERIC_FEATURES, handle_invalid="keep").transform(lst)
+    fast = assembled_entries(enc, KEY, numerics=NUMERIC_FEATURES, categoricals=GBT_CATEGORICALS)
+    slow = assembled_entries(enc, KEY)
+    assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+    assert fast.count() == slow.count()
