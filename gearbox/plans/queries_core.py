@@ -1,4 +1,4 @@
-"""Registered queries: price bands, statistics, features."""
+"""Registered queries: price bands, layout and splits, statistics, features, metrics and CV in SQL form."""
 
 from __future__ import annotations
 
