@@ -47,16 +47,12 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
 
 
 def word_count(text: Column) -> Column:
-    """Number of ``[^\\x20\\x09-\\x0D]+`` words: positions where a word begins."""
-    t = F.coalesce(text, F.lit(""))
-    spaced = F.translate(t, "\t\n\x0b\x0c\r", "     ")
-    # every run of non-spaces leaves one mark
-    return F.when(spaced == "", F.lit(0)).otherwise(
-        F.size(F.filter(F.split(spaced, " "), lambda w: w != ""))).cast("long")
-
-
-def with_columns_struct(fields: list[tuple[str, T.DataType]]) -> T.StructType:
-    return T.StructType([T.StructField(n, t) for n, t in fields])
+    """Number of ``[^\\x20\\x09-\\x0D]+`` words (0 for null)."""
+    spaced = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
+    gaps = F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.lit(" ")))
+    single = (spaced != "") & ~(spaced.contains("  ") | spaced.startswith(" ") | spaced.endswith(" "))
+    return (F.when(single, gaps + 1)
+            .otherwise(F.size(F.filter(F.split(spaced, " "), lambda w: w != "")))).cast("long")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -9,7 +9,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gearbox.llm import packing, token_counts
+from pyspark.sql import functions as F
+
+from gearbox.llm import mixing, packing, simhash, token_counts
 from gearbox.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +35,46 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+
+
+@query("op3_simhash_near_duplicates")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op5_source_mixing", f"""
+with d as (
+  select doc_id, source, md5('{mixing.SEED}:' || coalesce(cast(doc_id as varchar), '')) as place,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size
+  from documents),
+s as (select source, cast(sum(size) as bigint) as source_size from d group by source),
+w as (
+  select *, [5, 2, 1][cast((row_number() over (order by source nulls last) - 1) % 3 + 1 as int)] as weight,
+    1.5::double * (select sum(source_size)::double from s) as total from s),
+o as (
+  select *, coalesce(sum(2 * source_size) over before, 0) as full_before,
+    sum(weight) over () - coalesce(sum(weight) over before, 0) as weight_left
+  from w
+  window before as (order by 2 * source_size / weight::double, source nulls last rows between unbounded preceding and 1 preceding)),
+c as (select *, (total - full_before) / weight_left * weight > 2 * source_size as capped from o),
+l as (
+  select (any_value(total) - coalesce(sum(2 * source_size) filter (capped), 0))
+    / nullif(sum(weight) filter (not capped), 0) as level from c),
+t as (
+  select source, source_size, case when capped then 2.0 * source_size else level * weight end::double as target
+  from c cross join l),
+r as (
+  select d.doc_id, d.size, t.source_size, t.target, floor(t.target)::bigint as quota,
+    coalesce(sum(d.size) over (partition by d.source order by d.place, d.doc_id nulls last, d.size
+                               rows between unbounded preceding and 1 preceding), 0) as before
+  from d join t on d.source is not distinct from t.source)
+select doc_id, cast(size as bigint) as size, source_size, target,
+  cast(case when source_size = 0 then 0 else (quota // source_size) * size
+    + greatest(0, least(size, quota % source_size - before)) end as bigint) as taken
+from r""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document belongs to its one source."""
+    return (mixing.mix(table(spark, sf_dir, "documents"))
+            .select("doc_id", "size", F.col("source_size")[0].alias("source_size"),
+                    F.col("target")[0].alias("target"), "taken"))
