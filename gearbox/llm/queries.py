@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from gearbox.llm import mixing, packing, simhash, token_counts
+from gearbox.llm import mixing, packing, simhash, token_counts, toxicity
 from gearbox.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix(table(spark, sf_dir, "documents"))
             .select("doc_id", "size", F.col("source_size")[0].alias("source_size"),
                     F.col("target")[0].alias("target"), "taken"))
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~toxicity.held_out("doc_id")))
+    return toxicity.score(docs, model).withColumn("held_out", toxicity.held_out("doc_id"))
