@@ -81,10 +81,12 @@ class WordBpe:
     """
 
     END = "\0"
-    _letters = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff"
+    _mark = "\1"  # an apostrophe that begins a contraction
+    _letters = "a-z\1\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff"
     _signs = re.compile(f"([^\\s{_letters}]+)")
     _digit = re.compile("([0-9\u00b2\u00b3\u00b9\u00bc-\u00be])")
-    _other = re.compile("[\0\x1c-\x1f']")  # the end mark, separators the library reads otherwise, contractions
+    _contraction = re.compile(f"(?<![^\\s0-9\u00b2\u00b3\u00b9\u00bc-\u00be{_letters}])'(s|t|re|ve|m|ll|d)")
+    _other = re.compile("[\0\1\x1c-\x1f]")  # the marks, and separators the library reads otherwise
 
     def __init__(self, path: str):
         self.tokenizer = _load(path)
@@ -103,9 +105,15 @@ class WordBpe:
         """Tokens of a text that holds no special token's string."""
         if self.fast is None or not _latin(text) or self._other.search(text):
             return len(self.tokenizer.encode(text, add_special_tokens=False))
-        low = self._signs.sub(r" \1 ", text.lower())
-        words = self._digit.sub(r" \1 ", low).split()
-        return len(self.fast(self.END.join(words) + self.END)) if words else 0
+        low = text.lower()
+        quoted = "'" in low
+        if quoted:
+            low = self._contraction.sub(f" {self._mark}\\1 ", low)
+        words = self._digit.sub(r" \1 ", self._signs.sub(r" \1 ", low)).split()
+        if not words:
+            return 0
+        closed = self.END.join(words) + self.END
+        return len(self.fast(closed.replace(self._mark, "'") if quoted else closed))
 
 
 # The pre-tokenizer pattern that ``WordBpe.count`` follows.
