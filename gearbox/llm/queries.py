@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from gearbox.llm import mixing, packing, simhash, token_counts, toxicity
+from gearbox.llm import mixing, packing, quality, simhash, spotsigs, token_counts, toxicity
 from gearbox.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(~toxicity.held_out("doc_id")))
     return toxicity.score(docs, model).withColumn("held_out", toxicity.held_out("doc_id"))
+
+
+@query("op6_spotsigs")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited(table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality_resampling")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that are drawn."""
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
