@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from gearbox.llm import mixing, packing, quality, simhash, spotsigs, token_counts, toxicity
+from gearbox.llm import mixing, packing, pii, quality, simhash, spotsigs, token_counts, toxicity
 from gearbox.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that are drawn."""
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_personal_data")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.extract(table(spark, sf_dir, "documents")))
