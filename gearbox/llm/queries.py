@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from gearbox.llm import mixing, packing, pii, quality, simhash, spotsigs, token_counts, toxicity
+from gearbox.llm import line_dedup, mixing, packing, pii, quality, simhash, spotsigs, token_counts, toxicity
 from gearbox.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,31 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_personal_data")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.extract(table(spark, sf_dir, "documents")))
+
+
+@query("op1_line_dedup", """
+with l as (
+  select doc_id, i as pos, line,
+    trim(regexp_replace(line, '[ \\t\\x0b\\x0c\\r]+', ' ', 'g'), ' ') as x
+  from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+               unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as i from documents)),
+d as (
+  select x, min({'d': doc_id, 'p': pos}) as first, string_split(x, ' ') as w, len(string_split(x, ' ')) as n
+  from l where x <> '' group by x),
+g as (
+  select x, first, gap, array_to_string(list_concat(w[1:gap - 1], w[gap + 1:]), ' ') as v
+  from (select x, first, w, unnest(range(1, n + 1)) as gap from d where n >= 5)),
+changed as (select x from (select x, first, min(first) over (partition by v, gap) as e from g) where e < first),
+longer as (select g.x from g join d on d.x = g.v where d.first < g.first),
+shorter as (select d.x from d join g on d.x = g.v where g.first < d.first),
+near as (select x from changed union select x from longer union select x from shorter),
+k as (
+  select l.doc_id, l.pos, l.line,
+    l.x = '' or (d.first = {'d': l.doc_id, 'p': l.pos} and near.x is null) as keep
+  from l left join d on d.x = l.x left join near on near.x = l.x)
+select doc_id, coalesce(string_agg(line, chr(10) order by pos) filter (keep), '') as text,
+  count(*) as n_lines, count(*) filter (not keep) as n_removed
+from k group by doc_id""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.clean(docs, counts=True)
