@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from gearbox.llm import line_dedup, mixing, packing, pii, quality, simhash, spotsigs, token_counts, toxicity
+from gearbox.llm import embedding_dedup, line_dedup, mixing, packing, pii, quality, simhash, spotsigs, token_counts, toxicity
 from gearbox.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,26 @@ from k group by doc_id""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.clean(docs, counts=True)
+
+
+@query("op2_embedding_near_duplicates", """
+with v as (
+  select vec_id, embedding::double[] as e from embeddings),
+g as (
+  select vec_id, e, len(e) as dim, sqrt(list_dot_product(e, e)) as norm from v
+  where len(e) > 0 and len(list_filter(e, lambda c: c is null or not isfinite(c))) = 0),
+u as (select vec_id, dim, list_transform(e, lambda c: c / norm) as e from g where norm > 0),
+p as (
+  select a.vec_id as a, b.vec_id as b from u a join u b
+  on a.dim = b.dim and a.vec_id <> b.vec_id and list_dot_product(a.e, b.e) >= 0.95),
+r as (
+  with recursive t(a, c) as (
+    select a, a from (select distinct a from p)
+    union
+    select p.b, t.c from t join p on p.a = t.a)
+  select a, min(c) as c from t group by a)
+select v.vec_id, (select count(*) from p where p.a = v.vec_id) as n_links,
+  coalesce(r.c, v.vec_id) as component_id, coalesce(r.c, v.vec_id) = v.vec_id as kept
+from v left join r on r.a = v.vec_id""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
