@@ -294,10 +294,9 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     """``<id>, score, predicted`` for every row; ``keep`` names columns to carry along."""
     extra = keep or []
     docs = df.select(F.coalesce(F.col(text_col), F.lit("")).alias("scored_text"), F.col(id_col).alias("scored_id"),
-                     *[F.col(c) for c in extra])
+                     *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(extra)])
     schema = T.StructType([T.StructField(id_col, docs.schema["scored_id"].dataType), T.StructField("score", T.DoubleType()),
-                           T.StructField("predicted", T.IntegerType())]
-                          + [T.StructField(f"kept_{i}", docs.schema[c].dataType) for i, c in enumerate(extra)])
+                           T.StructField("predicted", T.IntegerType()), *docs.schema.fields[2:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.landmarks)
@@ -317,3 +316,10 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 def held_out(id_col):
     """Ids whose crc32 modulo 4 is 2: their labels are never learnt from."""
     return F.crc32(F.encode(F.coalesce(F.col(id_col).cast("string"), F.lit("")), "UTF-8")) % 4 == 2
+
+
+def keep_clean(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+               threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``df`` that the model does not reject."""
+    scored = score(df, model, id_col, text_col, threshold, keep=list(df.columns))
+    return scored.where(F.col("predicted") == 0).select(*[F.col(f"kept_{i}").alias(c) for i, c in enumerate(df.columns)])
