@@ -23,9 +23,8 @@ Scoring reads every whole text: each distinct word of a task is matched once
 and remembered in a bounded table.
 
 Defined results: null and empty texts get the score of a text without any
-match; repeated rows get equal scores; with no labelled rows, or only one
-label, every score is the share of label 1 (0 without rows); an empty table
-gives no rows.
+match; repeated rows get equal scores; where the labels teach nothing (none,
+only one label, no landmark) every score is 0; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -174,7 +173,6 @@ class Model:
     landmarks: list[str] = field(default_factory=list)
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))  # over best matches, whitening folded in
     bias: float = 0.0
-    base: float | None = None  # a constant score instead
 
 
 def train_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
@@ -260,8 +258,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             .orderBy("label", "whole", "x").collect()) if landmarks else []
     y = np.array([1.0 if r["label"] == 1 else -1.0 for r in data])
     if len(set(y.tolist())) < 2:
-        share = rows.agg(F.avg("label")).first()[0]
-        return Model(base=float(share or 0.0))
+        return Model()
     x = np.array([r["x"] for r in data])
     n = np.array([float(r["n"]) for r in data])
     kernel = Matcher(landmarks).matrix(landmarks)
@@ -301,8 +298,8 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.landmarks)
         for b in batches:
-            if model.base is not None:
-                s = np.full(b.num_rows, model.base)
+            if not model.landmarks:
+                s = np.zeros(b.num_rows)
             else:
                 margin = matcher.rows(b.column(0).to_pylist()) @ model.weights + model.bias
                 s = 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
