@@ -39,10 +39,16 @@ MIN_WORDS = 5
 CHUNK = 512
 
 
+def _spaced(text: Column) -> Column:
+    """The text with every white space but newlines as a space."""
+    odd = text.contains("\t") | text.contains("\r") | text.contains("\x0b") | text.contains("\x0c")
+    return F.when(odd, F.translate(text, "\t\x0b\x0c\r", "    ")).otherwise(text)
+
+
 def _words_of(line: Column) -> Column:
-    """The line's words joined by single spaces."""
-    t = F.btrim(F.translate(line, "\t\x0b\x0c\r", "    "))
-    return F.when(t.contains("  "), F.regexp_replace(t, " +", " ")).otherwise(t)
+    """The words of a spaced line joined by single spaces."""
+    untidy = line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    return F.when(untidy, F.btrim(F.regexp_replace(line, " +", " "))).otherwise(line)
 
 
 def _count(joined: Column) -> Column:
@@ -143,14 +149,15 @@ def mark(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     """``id, row_hash, gone``: the positions (from 0) of the lines that go, for
     every document that loses any; ``row_hash`` is the hash of its text."""
     docs = _with_key(df, id_col, text_col)
-    lines = (docs.select("id", "row_hash", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-             .select("id", "row_hash", "pos", _words_of(F.col("line")).alias("joined")).where(F.col("joined") != ""))
+    lines = (docs.select("id", "row_hash", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("pos", "line"))
+             .where(F.btrim("line") != "")  # on the line itself: its words are then put together once
+             .select("id", "row_hash", "pos", _words_of(F.col("line")).alias("joined")))
     hashed = lines.select("id", "row_hash", "pos", F.xxhash64("joined").alias("h1"),
                           F.xxhash64(F.lit("line"), "joined").alias("h2"),
                           _anchors(F.col("joined"), _count(F.col("joined"))).alias("anchors"))
     first = F.struct(F.col("id").isNull().alias("none"), "id", "row_hash", "pos")
-    distinct = hashed.groupBy("h1", "h2").agg(F.min(first).alias("first"), F.first("anchors").alias("anchors"),
-                                              F.count(F.lit(1)).alias("times"))
+    distinct = materialise(hashed.groupBy("h1", "h2").agg(
+        F.min(first).alias("first"), F.first("anchors").alias("anchors"), F.count(F.lit(1)).alias("times")), "line-classes")
     repeated = (hashed.select("h1", "h2", first.alias("own"))
                 .join(distinct.where(F.col("times") > 1).select("h1", "h2", "first"), ["h1", "h2"])
                 .where(F.col("own") != F.col("first")).select(F.col("own").alias("at")))
@@ -162,7 +169,7 @@ def mark(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
               .withColumnsRenamed({"id": "its_id", "row_hash": "its_hash"}))
     candidates = materialise(
         docs.join(places, F.col("id").eqNullSafe(F.col("its_id")) & (F.col("row_hash") == F.col("its_hash")))
-        .dropDuplicates(["id", "row_hash"]).withColumn("lines", F.split("text", "\n"))
+        .dropDuplicates(["id", "row_hash"]).withColumn("lines", F.split(_spaced(F.col("text")), "\n"))
         .select("id", "row_hash", "lines", F.explode("at").alias("pos"))
         .select(F.monotonically_increasing_id().alias("line"), first.alias("first"),
                 F.split(_words_of(F.get("lines", F.col("pos"))), " ").alias("words")), "lines")
