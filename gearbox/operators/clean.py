@@ -10,6 +10,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gearbox.functions.columns import is_missing, not_null_all, resolve_column, to_double
 
@@ -56,3 +57,27 @@ def quarantine_split(df: DataFrame, target: str = "price") -> tuple[DataFrame, D
 def select_ci(df: DataFrame, *names: str) -> DataFrame:
     """P6 helper: select columns by case-insensitive names, keeping stored names."""
     return df.select(*[F.col(resolve_column(df, n)) for n in names])
+
+
+def with_reason(df: DataFrame, target: str = "price", reason_col: str = "reason") -> DataFrame:
+    """Adds why a row's target cannot be used: ``null``, ``blank``, ``unparseable`` or
+    NULL for a usable row; exactly one of clean and quarantine holds every row."""
+    col = resolve_column(df, target)
+    c = F.col(col)
+    reason = F.when(c.isNull(), F.lit("null"))
+    if isinstance(df.schema[col].dataType, T.StringType):
+        value = c.try_cast("double")
+        reason = (reason.when(F.trim(c) == F.lit(""), F.lit("blank"))
+                  .when(value.isNull() | F.isnan(value), F.lit("unparseable")))
+    elif isinstance(df.schema[col].dataType, (T.FloatType, T.DoubleType)):
+        reason = reason.when(F.isnan(c), F.lit("unparseable"))
+    return df.withColumn(reason_col, reason)
+
+
+def clean_and_quarantine(df: DataFrame, target: str = "price") -> tuple[DataFrame, DataFrame]:
+    """F4 + F5 together: ``(clean rows with a double target, quarantined rows as
+    they came with a reason)``; the second is the exact complement of the first."""
+    marked = with_reason(df, target, "reason")
+    col = resolve_column(df, target)
+    clean = marked.where(F.col("reason").isNull()).drop("reason").withColumn(col, to_double(col))
+    return clean, marked.where(F.col("reason").isNotNull())

@@ -16,7 +16,6 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,55 +98,27 @@ def fit_encoders(df: DataFrame, categoricals: Sequence[str], numerics: Sequence[
     return Pipeline(stages=encoder_stages(categoricals, numerics, **kw)).fit(df)
 
 
-def _nonzero_entries(df: DataFrame, key: str, vec: str, extra: Sequence[Column] = ()) -> DataFrame:
-    arr = vector_to_array(F.col(vec))
-    return (df.select(F.col(key), *extra, F.posexplode(arr).alias("slot", "value"))
-              .where(F.col("value") != 0))
-
-
-def _block_size(encoded: DataFrame, vec: str) -> int:
-    return int(encoded.schema[vec].metadata["ml_attr"]["num_attrs"])
+def _entries(vec: str) -> Column:
+    """The stored entries of a vector column as ``array<struct<slot, value>>``: a sparse
+    vector's own indices (cost: its non-zeros), every position of a dense one."""
+    v = F.unwrap_udt(F.col(vec))
+    slots = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    return F.when(F.size(v["values"]) > 0, F.arrays_zip(slots.alias("slot"), v["values"].alias("value"))).otherwise(
+        F.array().cast("array<struct<slot:int,value:double>>"))
 
 
 def one_hot_entries(encoded: DataFrame, key: str, categoricals: Sequence[str]) -> DataFrame:
-    """E2 as rows: ``(key, feature, slot)`` for every one-hot position set to 1.
+    """E2 as rows: ``(key, feature, slot)`` for every one-hot position set to 1, read
+    from the encoder's own vectors."""
+    blocks = F.array(*[F.struct(F.lit(c).alias("feature"), _entries(v).alias("entries"))
+                       for c, v in zip(categoricals, vec_cols(categoricals))])
+    return (encoded.select(F.col(key), F.inline(blocks)).select(key, "feature", F.inline("entries"))
+            .where(F.col("value") != 0).select(key, "feature", F.col("slot").cast("int").alias("slot")))
 
-    Built from the index columns, not by expanding the vectors: a value's
-    slot is its index when the index falls inside the block (``dropLast``
-    leaves the last category all-zero), so the cost per row is the number
-    of columns, not the vector width.
-    """
-    blocks = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(i).cast("int").alias("_i"),
-                                F.lit(_block_size(encoded, v)).alias("_n"))
-                       for c, i, v in zip(categoricals, index_cols(categoricals), vec_cols(categoricals))])
-    return (encoded.select(F.col(key), F.inline(blocks))
-            .where(F.col("_i") < F.col("_n"))
-            .select(key, "feature", F.col("_i").alias("slot")))
-
-
-def assembled_entries(encoded: DataFrame, key: str, features_col: str = "features",
-                      numerics: Sequence[str] | None = None,
-                      categoricals: Sequence[str] | None = None) -> DataFrame:
-    """E3 as rows: ``(key, slot, value)`` for every non-zero feature value.
-
-    With ``numerics`` and ``categoricals`` (unscaled assembly of
-    ``encoder_stages``) the entries come from the numeric columns and the
-    index columns, offset by the block sizes in the metadata, O(columns) per
-    row; otherwise the assembled vector is expanded.
-    """
-    if numerics is None or categoricals is None:
-        return (_nonzero_entries(encoded, key, features_col)
-                .select(key, F.col("slot").cast("int").alias("slot"), "value"))
-    entries, offset = [], len(numerics)
-    for pos, c in enumerate(numerics):
-        entries.append(F.struct(F.lit(pos).alias("slot"), F.col(c).cast("double").alias("value")))
-    for i, v in zip(index_cols(categoricals), vec_cols(categoricals)):
-        size = _block_size(encoded, v)
-        idx = F.col(i).cast("int")
-        entries.append(F.struct(F.when(idx < size, idx + F.lit(offset)).alias("slot"), F.lit(1.0).alias("value")))
-        offset += size
-    return (encoded.select(F.col(key), F.inline(F.array(*entries)))
-            .where(F.col("slot").isNotNull() & (F.col("value") != 0))
+
+def assembled_entries(encoded: DataFrame, key: str, features_col: str = "features") -> DataFrame:
+    """E3 as rows: ``(key, slot, value)`` for every non-zero value of the assembled vector."""
+    return (encoded.select(F.col(key), F.inline(_entries(features_col))).where(F.col("value") != 0)
             .select(key, F.col("slot").cast("int").alias("slot"), "value"))
 
 

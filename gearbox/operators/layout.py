@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gearbox.functions.columns import hash_bucket
 from gearbox.operators.ordering import with_global_index
+from gearbox.operators.stats import values_at_ranks
 
 
 def contiguous_split(df: DataFrame, order: list[Column | str], n: int, part_col: str = "part",
@@ -32,6 +33,18 @@ def contiguous_split(df: DataFrame, order: list[Column | str], n: int, part_col:
     return indexed.withColumn(part_col, (part0 + 1).cast("int")).drop("_row")
 
 
+def contiguous_split_by_key(df: DataFrame, key: str, n: int, part_col: str = "part") -> DataFrame:
+    """W1 for a unique key: the same parts as ``contiguous_split``, from the n - 1
+    keys at which parts begin.  Only the key column is read to find them; the
+    rows themselves are neither shuffled nor copied.  A null key is in part 1."""
+    starts = [b for b in values_at_ranks(df, key, parts=n)]
+    part = F.lit(1)
+    for b in starts:
+        if b is not None:
+            part = part + F.when(F.col(key) >= F.lit(b), F.lit(1)).otherwise(F.lit(0))
+    return df.withColumn(part_col, part.cast("int"))
+
+
 def repartition_rows(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """L1: round-robin repartition (default: the cluster's default parallelism)."""
     n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
@@ -62,13 +75,21 @@ def partition_sizes(df: DataFrame) -> DataFrame:
 
 def random_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 42,
                  names: Sequence[str] = ("train", "test")) -> DataFrame:
-    """``randomSplit`` labelled in one DataFrame (``split`` column).
+    """A random split as a ``split`` column, one scan: a seeded ``rand`` against
+    the running weights.
 
     Depends on partitioning (same seed, different layout -> different rows);
     use ``keyed_split`` when the split must be reproducible.
     """
-    parts = df.randomSplit(list(weights), seed=seed)
-    return reduce(DataFrame.unionByName, [p.withColumn("split", F.lit(nm)) for p, nm in zip(parts, names)])
+    total, upto = float(sum(weights)), 0.0
+    label = None
+    drawn = df.withColumn("_draw", F.rand(seed))
+    for w, name in list(zip(weights, names))[:-1]:
+        upto += w / total
+        cond = F.col("_draw") < upto
+        label = F.when(cond, F.lit(name)) if label is None else label.when(cond, F.lit(name))
+    last = F.lit(names[len(weights) - 1])
+    return drawn.withColumn("split", last if label is None else label.otherwise(last)).drop("_draw")
 
 
 def keyed_split(df: DataFrame, key: str, train_percent: int = 80, split_col: str = "split") -> DataFrame:

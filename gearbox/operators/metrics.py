@@ -35,7 +35,9 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
         *by, "n",
         F.round(F.sqrt(F.col("_sse") / F.col("n")), 4).alias("rmse"),
         F.round(F.col("_sae") / F.col("n"), 4).alias("mae"),
-        F.round(F.lit(1.0) - F.col("_sse") / (F.col("_var") * F.col("n")), 6).alias("r2"))
+        # a constant label leaves nothing to explain: MLlib divides by zero there (-infinity, NaN for no error)
+        F.when(F.col("_var") > 0, F.round(F.lit(1.0) - F.try_divide(F.col("_sse"), F.col("_var") * F.col("n")), 6))
+        .when(F.col("_sse") > 0, F.lit(float("-inf"))).when(F.col("_sse") == 0, F.lit(float("nan"))).alias("r2"))
 
 
 def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -94,35 +96,34 @@ def cv_group_mean(train: DataFrame, keys: Sequence[str], alphas: Sequence[float]
 
     Output: ``key_col, alpha, fold, n, rmse``.
     """
-    long = train.select(fold_col, target, F.inline(F.array(*[
+    long = train.where(F.col(target).isNotNull()).select(fold_col, target, F.inline(F.array(*[
         F.struct(F.lit(k).alias("key_col"), F.col(k).cast("string").alias("key_value")) for k in keys])))
     shared_dir(train.sparkSession)
-    # the only aggregation over the rows: folds x vocabulary rows, materialised once
+    # the only aggregation over the rows: folds x vocabulary rows (a null key is a value like
+    # any other).  A prediction is constant within (fold, key), so count, sum and the centred
+    # sum of squares give every configuration's error without going back to the rows.
     per_fold_key = (long.groupBy(fold_col, "key_col", "key_value")
-                    .agg(F.sum(target).alias("_s"), F.count(F.lit(1)).alias("_c"))
+                    .agg(F.sum(target).alias("_s"), F.count(F.lit(1)).alias("_c"), F.var_pop(target).alias("_v"))
                     .checkpoint(eager=True))
     # statistics of the training folds for each (held-out fold, key): all folds
     # minus this one; the window groups hold one row per fold (at most k rows)
     same_key = Window.partitionBy("key_col", "key_value")
-    comp = per_fold_key.select(fold_col, "key_col", "key_value",
-                               (F.sum("_s").over(same_key) - F.col("_s")).alias("_ks"),
-                               (F.sum("_c").over(same_key) - F.col("_c")).alias("_kc"))
-    # per-fold totals from one key column's block (each row appears once per block)
-    per_fold = (per_fold_key.where(F.col("key_col") == F.lit(keys[0])).groupBy(fold_col)
-                .agg(F.sum("_s").alias("_fs"), F.sum("_c").alias("_fc")))
-    everything = Window.partitionBy()  # one row per fold: k rows
-    # training-folds mean for each held-out fold
-    fold_mean = per_fold.select(fold_col, ((F.sum("_fs").over(everything) - F.col("_fs"))
-                                           / (F.sum("_fc").over(everything) - F.col("_fc"))).alias("_m"))
-    comp = sized_broadcast(comp, rows=per_fold_key.count())  # same rows as per_fold_key
-    scored = (long.join(comp, [fold_col, "key_col", "key_value"])
-                  .join(F.broadcast(fold_mean), fold_col))  # one row per fold: bounded by k
+    # totals per fold and key column, then all folds minus this one: k rows per key column
+    of_fold = Window.partitionBy("key_col", fold_col)
+    of_all = Window.partitionBy("key_col")
+    comp = per_fold_key.select(
+        fold_col, "key_col", "_s", "_c", "_v",
+        (F.sum("_s").over(same_key) - F.col("_s")).alias("_ks"),
+        (F.sum("_c").over(same_key) - F.col("_c")).alias("_kc"),
+        ((F.sum("_s").over(of_all) - F.sum("_s").over(of_fold))
+         / F.nullif(F.sum("_c").over(of_all) - F.sum("_c").over(of_fold), F.lit(0))).alias("_m"))
+    mean = F.col("_s") / F.col("_c")
     sq = []
     for a in alphas:
-        pred = F.when(F.col("_kc") + F.lit(a) > 0,
-                      (F.col("_ks") + F.lit(a) * F.col("_m")) / (F.col("_kc") + F.lit(a))).otherwise(F.col("_m"))
-        sq.append(F.sum((F.col(target) - pred) ** 2).alias(f"_sse{len(sq)}"))
-    agg = scored.groupBy("key_col", fold_col).agg(F.count(F.lit(1)).alias("n"), *sq)
+        pred = F.when(F.col("_kc") + F.lit(a) > 0, F.try_divide(
+            F.col("_ks") + F.lit(a) * F.col("_m"), F.col("_kc") + F.lit(a))).otherwise(F.col("_m"))
+        sq.append(F.sum(F.col("_c") * (F.col("_v") + (mean - pred) * (mean - pred))).alias(f"_sse{len(sq)}"))
+    agg = comp.groupBy("key_col", fold_col).agg(F.sum("_c").alias("n"), *sq)
     stacked = F.inline(F.array(*[F.struct(F.lit(float(a)).alias("alpha"), F.col(f"_sse{i}").alias("_sse"))
                                  for i, a in enumerate(alphas)]))
     return agg.select("key_col", fold_col, "n", stacked).select(

@@ -1,5 +1,5 @@
 """Aggregations: row counts, percentiles (approximate and exact integer-rank),
-category frequencies, distributed map -> sum -> ratio.
+category frequencies.
 
 Each is one aggregation (partial aggregation on the map side, one small
 shuffle); nothing but scalar results reaches the driver.
@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gearbox.functions.columns import hash_unit
-from gearbox.operators.ordering import partitions_for_rows, with_global_index
+from gearbox.session import shared_dir
 
 
 def row_counts(df: DataFrame, conditions: Mapping[str, Column] | None = None) -> DataFrame:
@@ -33,74 +33,87 @@ def approx_percentiles(df: DataFrame, col: str, probs: Sequence[float] = (0.33,
     return df.select(arr.alias("_q")).select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
-FULL_SORT_MAX_ROWS = 2_000_000
-last_percentile_path = ""  # "bracket" or "full": which method answered the last call (for tests)
+def values_at_ranks(df: DataFrame, col: str, percents: Sequence[int] = (), parts: int | None = None,
+                    accuracy: int = 10000) -> list:
+    """The values of ``col`` (nulls excluded) at 1-based ranks ``ceil(p * n / 100)``
+    for each integer percent, or at the first rank of parts 2..``parts`` of
+    ``numpy.array_split``; exact, without sorting the rows.
 
-
-def _record(path: str) -> None:
-    global last_percentile_path
-    last_percentile_path = path
-
-
-def _pick_by_index(indexed: DataFrame, wanted: Sequence[int], names: Sequence[str]) -> DataFrame:
-    picked = indexed.where(F.col("_rank0").isin(sorted(set(wanted))))
-    return picked.agg(*[F.max(F.when(F.col("_rank0") == k, F.col("_v"))).alias(nm)
-                        for k, nm in zip(wanted, names)])
+    One aggregation gives ``n`` and ``percentile_approx`` values around every
+    rank; their rank error (at most ``n / accuracy``) brackets the answer.  A
+    second one counts the rows below each bracket and the rows of every
+    distinct value inside: a value that holds a third of the rows is one row
+    there after partial aggregation.  A running sum over the distinct values of
+    a bracket, in key ranges whose counts are summed first, gives the value at the
+    rank.  Only counts and the answers reach the driver.
+    """
+    values = df.select(F.col(col).alias("v")).where(F.col("v").isNotNull())
+    n = values.count()
+    if n == 0:
+        return [None] * (len(percents) if parts is None else parts - 1)
+    if parts is None:
+        ranks = [max(1, (p * n + 99) // 100) for p in percents]
+    else:
+        q, r = divmod(n, parts)
+        ranks = [min(i * q + min(i, r) + 1, n + 1) for i in range(1, parts)]
+    eps = 3 / accuracy
+    wanted = [k for k in ranks if k <= n]
+    probs = [x for k in wanted for x in (max(0.0, k / n - eps), min(1.0, k / n + eps))]
+    ends = values.agg(F.percentile_approx("v", probs, accuracy).alias("q")).first()["q"] if wanted else []
+    brackets = [(ends[2 * i], ends[2 * i + 1]) for i in range(len(wanted))]
+    # the lowest and highest value are their own brackets: no rank lies outside
+    found = {}
+    if brackets:
+        inside = F.array(*[F.when((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)), F.lit(i))
+                           for i, (lo, hi) in enumerate(brackets)])
+        below = values.agg(*[F.count_if(F.col("v") < F.lit(lo)).alias(f"b{i}") for i, (lo, _) in enumerate(brackets)]).first()
+        counts = (values.select("v", F.explode(F.array_compact(inside)).alias("i"))
+                  .groupBy("i", "v").agg(F.count(F.lit(1)).alias("c")))
+        shared_dir(df.sparkSession)
+        counts = counts.checkpoint(eager=True)
+        for i, k in enumerate(wanted):
+            if k not in found:
+                found[k] = _value_at(counts.where(F.col("i") == i).select("v", "c"), k - below[f"b{i}"])
+    return [found.get(k) for k in ranks]
+
+
+MAX_WINDOW_ROWS = 100_000
+
+
+def _value_at(counts: DataFrame, rank: int):
+    """The value at a 1-based rank among ``(v, c)`` distinct values with counts.
+    While there are many, the bracket is narrowed by quantiles of the distinct
+    values, so that the running sum is over few rows."""
+    while True:
+        n = counts.count()
+        if n <= MAX_WINDOW_ROWS:
+            running = Window.orderBy("v")  # at most MAX_WINDOW_ROWS rows
+            hit = (counts.withColumn("upto", F.sum("c").over(running)).where(F.col("upto") >= rank)
+                   .orderBy("v").limit(1).first())
+            return None if hit is None else hit["v"]
+        cuts = sorted(set(counts.agg(F.percentile_approx("v", [j / 64 for j in range(1, 64)], 1000).alias("q")).first()["q"]))
+        sums = counts.agg(*[F.coalesce(F.sum(F.when(F.col("v") <= F.lit(c), F.col("c"))), F.lit(0)).alias(f"s{j}")
+                            for j, c in enumerate(cuts)]).first()
+        above = next((j for j in range(len(cuts)) if sums[f"s{j}"] >= rank), None)
+        if above is None:
+            rank -= sums[f"s{len(cuts) - 1}"]
+            counts = counts.where(F.col("v") > F.lit(cuts[-1]))
+        else:
+            counts = counts.where(F.col("v") <= F.lit(cuts[above]))
+            if above:
+                rank -= sums[f"s{above - 1}"]
+                counts = counts.where(F.col("v") > F.lit(cuts[above - 1]))
 
 
 def exact_percentiles(df: DataFrame, col: str, percents: Sequence[int] = (33, 67),
-                      names: Sequence[str] | None = None, accuracy: int = 10000,
-                      full_sort_max_rows: int = FULL_SORT_MAX_ROWS) -> DataFrame:
+                      names: Sequence[str] | None = None, accuracy: int = 10000) -> DataFrame:
     """A2x: one row; for each integer percent ``p`` the smallest value whose
-    1-based rank ``rn`` satisfies ``rn * 100 >= p * n`` (nulls excluded).
-
-    Large inputs are not sorted.  One aggregation gives ``n`` and
-    ``percentile_approx`` values at ``p/100 +- 3/accuracy``; their rank error
-    (at most ``n/accuracy``) guarantees the exact answer lies between them.
-    A second aggregation counts the rows below each bracket, and only the
-    rows inside the brackets (about ``6 n / accuracy``) get the distributed
-    global index (``with_global_index``).  Inputs up to
-    ``full_sort_max_rows`` rows index all values directly, and so does any
-    bracket that fails its consistency check, so the result is always exact.
-    Only counts and the requested values reach the driver.
-    """
+    1-based rank ``rn`` satisfies ``rn * 100 >= p * n`` (nulls excluded, no
+    rows: nulls).  See ``values_at_ranks``; one path for tables of all sizes."""
     names = list(names or [f"p{p}" for p in percents])
-    values = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
-    eps = 1.0 / accuracy
-    probs = [q for p in percents for q in (max(0.0, p / 100 - 3 * eps), min(1.0, p / 100 + 3 * eps))]
-    head = values.agg(F.count(F.lit(1)).alias("n"),
-                      F.percentile_approx("_v", probs, accuracy).alias("q")).first()
-    n = head["n"]
-    if n == 0:
-        return values.agg(*[F.max("_v").alias(nm) for nm in names])
-    ks = [(p * n + 99) // 100 for p in percents]  # 1-based ranks, ceil(p*n/100)
-    if n > max(full_sort_max_rows, accuracy):
-        brackets = [(head["q"][2 * i], head["q"][2 * i + 1]) for i in range(len(percents))]
-        below = values.agg(*[F.count_if(F.col("_v") < lo).alias(f"b{i}")
-                             for i, (lo, _) in enumerate(brackets)]).first()
-        inside = None
-        for lo, hi in brackets:
-            term = (F.col("_v") >= lo) & (F.col("_v") <= hi)
-            inside = term if inside is None else inside | term
-        expected = 6 * n * len(percents) // accuracy + 1  # rows inside the brackets, at most
-        indexed, _ = with_global_index(values.where(inside), ["_v"], "_rank0",
-                                       num_partitions=partitions_for_rows(df.sparkSession, expected, 16))
-        firsts = indexed.agg(*(
-            [F.min(F.when(F.col("_v") >= lo, F.col("_rank0"))).alias(f"f{i}") for i, (lo, _) in enumerate(brackets)]
-            + [F.count_if((F.col("_v") >= lo) & (F.col("_v") <= hi)).alias(f"c{i}")
-               for i, (lo, hi) in enumerate(brackets)])).first()
-        wanted, ok = [], True
-        for i, k in enumerate(ks):
-            r = k - below[f"b{i}"]  # rank of the answer inside its bracket
-            ok = ok and firsts[f"f{i}"] is not None and 1 <= r <= firsts[f"c{i}"]
-            wanted.append((firsts[f"f{i}"] or 0) + r - 1)
-        if ok:
-            _record("bracket")
-            return _pick_by_index(indexed, wanted, names)
-    _record("full")
-    indexed, _ = with_global_index(values, ["_v"], "_rank0",
-                                   num_partitions=partitions_for_rows(df.sparkSession, n, 16))
-    return _pick_by_index(indexed, [k - 1 for k in ks], names)
+    found = values_at_ranks(df, col, percents=percents, accuracy=accuracy)
+    kind = df.schema[col].dataType
+    return df.sparkSession.createDataFrame([tuple(found)], T.StructType([T.StructField(nm, kind) for nm in names]))
 
 
 def category_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -115,25 +128,3 @@ def category_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return (df.select(F.inline(pairs))
               .groupBy("feature", "value")
               .agg(F.count(F.lit(1)).alias("count")))
-
-
-def map_sum_ratio(df: DataFrame, key: Column | None = None, seed: int | None = None) -> DataFrame:
-    """A3: map every row to a point in the square [-1, 1)^2, sum the points
-    that fall in the unit circle, and report ``4 * inside / n`` (the
-    Monte Carlo estimate of pi).
-
-    With ``key`` the point derives from the row key by hashing (reproducible,
-    engine-independent); without it from ``rand(seed)`` like the original
-    (reproducible only for the same partitioning).
-    """
-    if key is not None:
-        x = hash_unit(key, "x") * 2 - 1
-        y = hash_unit(key, "y") * 2 - 1
-    else:
-        s = 42 if seed is None else seed
-        x = F.rand(s) * 2 - 1
-        y = F.rand(s + 1) * 2 - 1
-    inside = F.when(x * x + y * y <= 1, 1).otherwise(0)
-    return (df.select(inside.alias("_in"))
-              .agg(F.count(F.lit(1)).alias("n"), F.sum("_in").alias("inside"))
-              .select("n", "inside", F.round(F.lit(4.0) * F.col("inside") / F.col("n"), 6).alias("pi_estimate")))

@@ -7,14 +7,13 @@ cluster's), writes its outputs to the given paths and prints one JSON line
 with counts, thresholds or metrics.  Jobs:
 
   split           CSV -> n contiguous parts in file order (part_node<i>.csv folders)
-  merge           CSV parts -> one CSV folder (+ a bounded single-file Parquet)
-  csv-to-parquet  CSV -> Parquet folder or bounded single file
+  merge           CSV parts -> one CSV folder (+ a Parquet folder)
+  csv-to-parquet  CSV -> Parquet folder
   clean-part      one CSV part: target to double, drop rows without it -> Parquet
   merge-parts     processed Parquet parts that exist -> combined Parquet + split counts
   repartition     Parquet -> SQL view -> round-robin repartition -> Parquet
-  find-null       rows with a missing target -> Parquet + single CSV extract
+  find-null       rows with a missing target -> Parquet + CSV folders
   inspect         schema profile + missing-target count of a table
-  pi              Monte Carlo estimate over N generated samples
   stream-clean    CSV parts arriving in a folder -> clean + quarantine Parquet, incrementally
   gbt / mlp       train, score and report a model on a listing table
   gbt-cv / mlp-cv grid search with 3-fold cross-validation
@@ -32,38 +31,31 @@ from pyspark.sql import functions as F
 from gearbox.operators.clean import missing_rows
 from gearbox.operators.layout import contiguous_split, random_split, union_parts
 from gearbox.operators.models import (
-    GBT_QUICK,
-    GBT_QUICK_GRID,
     GBT_REFERENCE,
     GBT_REFERENCE_GRID,
     MLP_CV_HIDDEN,
     MLP_LARGE,
     MLP_MEDIUM,
-    MLP_QUICK,
-    MLP_QUICK_GRID,
     MLP_REFERENCE_GRID,
     MLP_SMALL,
-    accuracy_evaluator,
-    cross_validate,
-    cv_table,
-    gbt,
-    mlp,
-    regression_evaluator,
 )
-from gearbox.operators.stats import map_sum_ratio
-from gearbox.plans.jobs import clean_part_job, csv_to_parquet_job, load_and_repartition, quarantine_job
-from gearbox.plans.price_bands import band_thresholds
-from gearbox.plans.training import gbt_run, mlp_run, prepare, run_report
-from gearbox.schema import GBT_CATEGORICALS, MLP_CATEGORICALS, NUMERIC_FEATURES, TARGET
-from gearbox.sinks.writers import write_csv, write_parquet, write_single_file
-from gearbox.sources.fs import rename_path
-from gearbox.sources.readers import read_csv, read_existing_parquet, read_parquet, schema_profile
-from gearbox.operators.features import price_bands
-
-GBT_PRESETS = {"reference": GBT_REFERENCE, "quick": GBT_QUICK}
-GBT_GRIDS = {"reference": GBT_REFERENCE_GRID, "quick": GBT_QUICK_GRID}
-MLP_PRESETS = {"large": MLP_LARGE, "medium": MLP_MEDIUM, "small": MLP_SMALL, "quick": MLP_QUICK}
-MLP_GRIDS = {"reference": MLP_REFERENCE_GRID, "quick": MLP_QUICK_GRID}
+from gearbox.plans.jobs import (
+    clean_part_job,
+    csv_to_parquet_job,
+    load_and_repartition,
+    merge_parts_job,
+    quarantine_job,
+)
+from gearbox.plans.training import cv_report, gbt_cv_run, gbt_run, mlp_cv_run, mlp_run, run_report
+from gearbox.schema import TARGET
+from gearbox.sinks.writers import write_csv, write_parquet
+from gearbox.sources.fs import replace_path
+from gearbox.sources.readers import read_csv, read_parquet, schema_profile
+
+GBT_PRESETS = {"reference": GBT_REFERENCE}
+GBT_GRIDS = {"reference": GBT_REFERENCE_GRID}
+MLP_PRESETS = {"large": MLP_LARGE, "medium": MLP_MEDIUM, "small": MLP_SMALL}
+MLP_GRIDS = {"reference": MLP_REFERENCE_GRID}
 
 
 def _emit(obj: dict) -> dict:
@@ -86,14 +78,13 @@ def split_csv(spark: SparkSession, a) -> dict:
     order_cols = [f"_order{i}" for i in range(3)]
     parts = contiguous_split(keyed, order_cols, a.parts).drop(*order_cols)
     out = a.output.rstrip("/")
+    counts = {r["part"]: r["count"] for r in parts.groupBy("part").count().collect()}
     write_csv(parts, f"{out}/_split", partition_by=["part"])
-    written = spark.read.option("header", True).csv(f"{out}/_split")
-    counts = {r["part"]: r["count"] for r in written.groupBy("part").count().collect()}
     sizes = {}
     for p in range(1, a.parts + 1):
         dst = f"{out}/part_node{p}.csv"
         if p in counts:
-            rename_path(spark, f"{out}/_split/part={p}", dst)
+            replace_path(spark, f"{out}/_split/part={p}", dst)
         sizes[dst] = counts.get(p, 0)
     return _emit({"job": "split", "parts": sizes})
 
@@ -103,8 +94,7 @@ def merge_csv_parts(spark: SparkSession, a) -> dict:
     write_csv(merged, a.output_csv)
     out = {"job": "merge", "rows": spark.read.option("header", True).csv(a.output_csv).count()}
     if a.output_parquet:
-        out["parquet"] = write_single_file(read_csv(spark, a.output_csv, infer_schema=a.infer_schema),
-                                           a.output_parquet, fmt="parquet", max_rows=a.max_rows)
+        out["parquet"] = write_parquet(read_csv(spark, a.output_csv, infer_schema=a.infer_schema), a.output_parquet)
     return _emit(out)
 
 
@@ -134,32 +124,26 @@ def model_mlp(spark, a) -> dict:
                   "metrics": [r.asDict() for r in run.metrics.collect()]})
 
 
-def model_gbt_cv(spark, a) -> dict:
-    data = prepare(load_listing(spark, a.input, a.part), GBT_CATEGORICALS).withColumnRenamed(TARGET, "label")
-    train = data.where(F.col("split") == "train")
-    grid = GBT_GRIDS[a.grid]
-    base = {k: v for k, v in GBT_REFERENCE.items() if k not in grid}
-    cvm, _, maps, _ = cross_validate(train, NUMERIC_FEATURES, GBT_CATEGORICALS, lambda w: gbt(base), grid,
-                                     regression_evaluator(), parallelism=a.parallelism)
-    table = cv_table(spark, cvm, maps, grid, "rmse")
+def _cv_out(spark, a, report, job: str) -> dict:
     if a.output:
-        write_parquet(table, a.output)
-    return _emit({"job": "gbt-cv", "configs": [r.asDict() for r in table.collect()]})
+        write_parquet(report.table, a.output)
+    if a.report:
+        write_parquet(cv_report(spark, report, f"{job} on {a.input}"), a.report)
+    if a.predictions:
+        write_parquet(report.run.scored.where(F.col("split") == "test").select("listing_id", "label", "prediction"), a.predictions)
+    return _emit({"job": job, "seconds": report.cv.seconds, "configs": [r.asDict() for r in report.table.collect()],
+                  "metrics": [r.asDict() for r in report.run.metrics.collect()]})
+
+
+def model_gbt_cv(spark, a) -> dict:
+    report = gbt_cv_run(load_listing(spark, a.input, a.part), GBT_GRIDS[a.grid], parallelism=a.parallelism)
+    return _cv_out(spark, a, report, "gbt-cv")
 
 
 def model_mlp_cv(spark, a) -> dict:
-    data = prepare(load_listing(spark, a.input, a.part), MLP_CATEGORICALS)
-    train = data.where(F.col("split") == "train")
-    low, high = band_thresholds(train, TARGET)
-    banded = price_bands(train, low, high, TARGET, "label").drop(TARGET)
-    grid = MLP_GRIDS[a.grid]
     preset = {"hidden": MLP_CV_HIDDEN, "maxIter": 100, "blockSize": 128}
-    cvm, _, maps, _ = cross_validate(banded, NUMERIC_FEATURES, MLP_CATEGORICALS, lambda w: mlp(w, preset), grid,
-                                     accuracy_evaluator(), parallelism=a.parallelism, scale_numeric=True)
-    table = cv_table(spark, cvm, maps, grid, "accuracy")
-    if a.output:
-        write_parquet(table, a.output)
-    return _emit({"job": "mlp-cv", "configs": [r.asDict() for r in table.collect()]})
+    report = mlp_cv_run(load_listing(spark, a.input, a.part), MLP_GRIDS[a.grid], preset, parallelism=a.parallelism)
+    return _cv_out(spark, a, report, "mlp-cv")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -173,11 +157,11 @@ def parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("merge")
     s.add_argument("inputs", nargs="+"), s.add_argument("--output-csv", required=True)
-    s.add_argument("--output-parquet"), s.add_argument("--max-rows", type=int, default=1_000_000)
+    s.add_argument("--output-parquet")
     s.add_argument("--infer-schema", action="store_true")
 
     s = sub.add_parser("csv-to-parquet")
-    s.add_argument("input"), s.add_argument("output"), s.add_argument("--single-file", action="store_true")
+    s.add_argument("input"), s.add_argument("output")
     s.add_argument("--no-infer", action="store_true")
 
     s = sub.add_parser("clean-part")
@@ -199,15 +183,12 @@ def parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("stream-clean")
     s.add_argument("input_dir"), s.add_argument("--clean-dir", required=True)
-    s.add_argument("--quarantine-dir", required=True), s.add_argument("--checkpoint")
+    s.add_argument("--quarantine-dir", required=True), s.add_argument("--checkpoint", required=True)
     s.add_argument("--schema", required=True, help='DDL, e.g. "listing_id string, price string"')
     s.add_argument("--target", default=TARGET)
     s.add_argument("--processing-time", help="run as a service with this trigger interval, e.g. '1 minute'")
     s.add_argument("--max-files-per-trigger", type=int)
 
-    s = sub.add_parser("pi")
-    s.add_argument("--samples", type=int, default=1_000_000)
-
     for name, presets in (("gbt", GBT_PRESETS), ("mlp", MLP_PRESETS)):
         s = sub.add_parser(name)
         s.add_argument("input"), s.add_argument("--part", type=int)
@@ -219,6 +200,7 @@ def parser() -> argparse.ArgumentParser:
     for name, grids in (("gbt-cv", GBT_GRIDS), ("mlp-cv", MLP_GRIDS)):
         s = sub.add_parser(name)
         s.add_argument("input"), s.add_argument("--part", type=int), s.add_argument("--output")
+        s.add_argument("--report"), s.add_argument("--predictions")
         s.add_argument("--grid", choices=sorted(grids), default="reference")
         s.add_argument("--parallelism", type=int, default=2)
     return p
@@ -231,14 +213,12 @@ def run(spark: SparkSession, a) -> dict:
     if job == "merge":
         return merge_csv_parts(spark, a)
     if job == "csv-to-parquet":
-        df = csv_to_parquet_job(spark, a.input, a.output, infer_schema=not a.no_infer, single_file=a.single_file)
+        df = csv_to_parquet_job(spark, a.input, a.output, infer_schema=not a.no_infer)
         return _emit({"job": job, "rows": df.count(), "columns": df.columns})
     if job == "clean-part":
         return _emit({"job": job, "rows": clean_part_job(spark, a.input, a.output, a.target).count()})
     if job == "merge-parts":
-        df = read_existing_parquet(spark, a.inputs)
-        write_parquet(df, a.output)
-        merged = spark.read.parquet(a.output)
+        merged = merge_parts_job(spark, a.inputs, a.output)
         split = random_split(merged.select(F.lit(1).alias("one")))
         counts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
         return _emit({"job": job, "rows": merged.count(), "split_counts": counts})
@@ -257,15 +237,12 @@ def run(spark: SparkSession, a) -> dict:
         from gearbox.streaming.parts import clean_parts_stream
         schema = StructType.fromDDL(a.schema) if hasattr(StructType, "fromDDL") else spark.createDataFrame(
             [], a.schema).schema
-        q = clean_parts_stream(spark, a.input_dir, a.clean_dir, a.quarantine_dir, schema, a.target,
-                               checkpoint=a.checkpoint, processing_time=a.processing_time,
+        q = clean_parts_stream(spark, a.input_dir, a.clean_dir, a.quarantine_dir, schema, a.checkpoint,
+                               a.target, processing_time=a.processing_time,
                                max_files_per_trigger=a.max_files_per_trigger)
         q.awaitTermination()
         progress = q.lastProgress or {}
         return _emit({"job": job, "batch": progress.get("batchId"), "rows_last_batch": progress.get("numInputRows")})
-    if job == "pi":
-        out = map_sum_ratio(spark.range(a.samples), F.col("id")).first().asDict()
-        return _emit({"job": job, **out})
     return {"gbt": model_gbt, "mlp": model_mlp, "gbt-cv": model_gbt_cv, "mlp-cv": model_mlp_cv}[job](spark, a)
 
 

@@ -13,37 +13,49 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from gearbox.operators.clean import cast_target, drop_target_null, missing_rows
+from gearbox.operators.clean import cast_target, clean_and_quarantine, drop_target_null, missing_rows
 from gearbox.operators.layout import repartition_rows
-from gearbox.sinks.writers import write_parquet, write_single_file
-from gearbox.sources.readers import read_csv, read_first_available, read_parquet, sql_view_scan
+from gearbox.sinks.writers import write_csv, write_if_nonempty, write_parquet
+from gearbox.sources.readers import read_csv, read_existing_parquet, read_first_available, read_parquet, sql_view_scan
 
 
 @dataclass
 class QuarantineResult:
     count: int
-    rows: DataFrame | None  # the written quarantine table, None when nothing was missing
-    csv: dict | None
+    rows: DataFrame  # the written quarantine table, or an empty one of its schema
+    csv: str | None  # the written CSV folder
 
 
 def quarantine_job(spark: SparkSession, input_parquet: str, input_csv: str, out_parquet: str, out_csv: str,
-                   target: str = "price", csv_max_rows: int = 1_000_000) -> QuarantineResult:
-    """rows with a missing target go to ``out_parquet`` (and a CSV extract).
+                   target: str = "price") -> QuarantineResult:
+    """rows with a missing target go to ``out_parquet`` and, as a CSV folder, to ``out_csv``.
 
     Source: the Parquet copy if present, else the CSV (S6).  Nothing is
-    written when no row is missing (K5).  The CSV extract is read from the
-    written Parquet, not from the input again, and is one file only while it
-    stays under ``csv_max_rows``.
+    written when no row is missing (K5).  The CSV is made from the written
+    Parquet, not from the input again.
     """
     df = read_first_available(spark, input_parquet, input_csv)
     missing = missing_rows(df, target)
-    if missing.isEmpty():
-        return QuarantineResult(0, None, None)
-    write_parquet(missing, out_parquet)
+    if not write_if_nonempty(missing, out_parquet):
+        return QuarantineResult(0, missing.limit(0), None)
     written = spark.read.parquet(out_parquet)
-    csv = write_single_file(written, out_csv, fmt="csv", max_rows=csv_max_rows)
-    count = csv["rows"] if csv["rows"] is not None else written.count()
-    return QuarantineResult(count, written, csv)
+    return QuarantineResult(written.count(), written, write_csv(written, out_csv))
+
+
+def clean_quarantine_job(spark: SparkSession, in_csv: str, out_clean: str, out_quarantine: str,
+                         target: str = "price") -> tuple[DataFrame, DataFrame]:
+    """F4 + F5 in one job: one CSV part to clean Parquet and, every other row
+    with its reason, to quarantine Parquet.  Returns the written tables."""
+    clean, quarantine = clean_and_quarantine(read_csv(spark, in_csv), target)
+    write_parquet(clean, out_clean)
+    write_parquet(quarantine, out_quarantine)
+    return spark.read.parquet(out_clean), spark.read.parquet(out_quarantine)
+
+
+def merge_parts_job(spark: SparkSession, part_paths: list[str], out_path: str) -> DataFrame:
+    """The processed parts that exist -> one combined Parquet table."""
+    write_parquet(read_existing_parquet(spark, part_paths), out_path)
+    return spark.read.parquet(out_path)
 
 
 def clean_part_job(spark: SparkSession, in_csv: str, out_parquet: str, target: str = "price") -> DataFrame:
@@ -55,15 +67,11 @@ def clean_part_job(spark: SparkSession, in_csv: str, out_parquet: str, target: s
 
 
 def csv_to_parquet_job(spark: SparkSession, csv_path: str, parquet_path: str,
-                       schema: T.StructType | None = None, infer_schema: bool = True,
-                       single_file: bool = False, max_rows: int = 1_000_000) -> DataFrame:
-    """K8: CSV (explicit schema, inferred, or all text) -> Parquet directory or
-    a bounded single file.  Returns the written table."""
+                       schema: T.StructType | None = None, infer_schema: bool = True) -> DataFrame:
+    """K8: CSV (explicit schema, inferred, or all text) -> Parquet directory.
+    Returns the written table."""
     df = read_csv(spark, csv_path, schema=schema, infer_schema=infer_schema and schema is None)
-    if single_file:
-        write_single_file(df, parquet_path, fmt="parquet", max_rows=max_rows)
-    else:
-        write_parquet(df, parquet_path)
+    write_parquet(df, parquet_path)
     return spark.read.parquet(parquet_path)
 
 

@@ -17,7 +17,7 @@ from gearbox.operators.features import (
     one_hot_entries,
 )
 from gearbox.operators.layout import (
-    contiguous_split,
+    contiguous_split_by_key,
     keyed_split,
     kfold,
     partition_sizes,
@@ -37,7 +37,6 @@ from gearbox.operators.stats import (
     approx_percentiles,
     category_frequencies,
     exact_percentiles,
-    map_sum_ratio,
     row_counts,
 )
 from gearbox.plans.price_bands import band_thresholds, banded_listings, price_band_summary
@@ -127,7 +126,7 @@ def _index_sql(cols):
 @register("contiguous_split", ("W1",), sql("""
 select o_orderkey, cast(ntile(3) over (order by o_orderkey) as integer) as part from orders"""))
 def q_contiguous_split(spark, sf_dir):
-    return contiguous_split(table(spark, sf_dir, "orders", "o_orderkey"), ["o_orderkey"], 3)
+    return contiguous_split_by_key(table(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey", 3)
 
 
 @register("repartition_content", ("L1",), sql("select * from lineitem"))
@@ -141,17 +140,33 @@ def q_rebalance_content(spark, sf_dir):
     return rebalance(li, 4, key=F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey"))
 
 
-@register("partition_counts", ("L4", "L2"))
+@register("partition_counts", ("L4", "L2", "L1", "X4"), sql("""
+select kind, count(*) as n_rows, 8::bigint as partitions, true as balanced
+from lineitem, (select unnest(['keyed', 'random', 'round_robin']) as kind) group by kind"""))
 def q_partition_counts(spark, sf_dir):
-    """Rows per physical partition after a keyed rebalance into 8 partitions
-    (layout-dependent, so rows-only: 8 rows whose counts sum to the table)."""
+    """Physical partitions of a keyed and a random rebalance and a round-robin
+    repartition: all rows, 8 partitions, the largest at most 1.5 times the mean."""
     li = table(spark, sf_dir, "lineitem")
-    return partition_sizes(rebalance(li, 8, key=F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")))
-
-
-@register("random_split", ("L5",))
+    out = None
+    for kind, df in (("keyed", rebalance(li, 8, key=F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey"))),
+                     ("random", rebalance(li, 8)), ("round_robin", repartition_rows(li, 8))):
+        part = (partition_sizes(df).agg(F.sum("rows").alias("n_rows"), F.lit(df.rdd.getNumPartitions()).cast("long").alias("partitions"),
+                                        (F.max("rows") * 8 <= 1.5 * F.sum("rows")).alias("balanced"))
+                .select(F.lit(kind).alias("kind"), "n_rows", "partitions", "balanced"))
+        out = part if out is None else out.union(part)
+    return out
+
+
+@register("random_split", ("L5",), sql("""
+select count(*) as n_rows, 0::bigint as unlabelled, true as in_bounds, true as both_used, count(distinct listing_id) as keys
+from listings""", "listings"))
 def q_random_split(spark, sf_dir):
-    return random_split(listings_table(spark, sf_dir).select(KEY, "price"), (0.8, 0.2), seed=42)
+    """Every row once with one label, the shares near 80 / 20 (five standard deviations)."""
+    split = random_split(listings_table(spark, sf_dir).select(KEY, "price"), (0.8, 0.2), seed=42)
+    n, train = F.count(F.lit(1)), F.count_if(F.col("split") == "train")
+    return split.agg(n.alias("n_rows"), F.count_if(~F.col("split").isin("train", "test") | F.col("split").isNull()).alias("unlabelled"),
+                     (F.abs(train - 0.8 * n) <= 5 * F.sqrt(0.16 * n)).alias("in_bounds"),
+                     ((train > 0) & (train < n)).alias("both_used"), F.count_distinct(KEY).alias("keys"))
 
 
 @register("keyed_split", ("L5x",), sql("select listing_id, split from keyed", "listings", "keyed"))
@@ -183,9 +198,19 @@ def q_row_counts(spark, sf_dir):
         "n_fold0": f == 0, "n_fold1": f == 1, "n_fold2": f == 2})
 
 
-@register("percentile_approx", ("A2",))
+@register("percentile_approx", ("A2",), sql(f"""
+select count(*) as n, true as p33_in_bounds, true as p67_in_bounds from listings where {NOT_NULL_LISTINGS}""", "listings"))
 def q_percentile_approx(spark, sf_dir):
-    return approx_percentiles(drop_any_null(listings_table(spark, sf_dir)), "price", (0.33, 0.67))
+    """Measured rank error of the approximate percentiles: the requested rank lies
+    within n / accuracy of the ranks that the returned value has."""
+    data = drop_any_null(listings_table(spark, sf_dir)).select("price")
+    q = approx_percentiles(data, "price", (0.33, 0.67)).first()
+    n, error = F.count(F.lit(1)), F.count(F.lit(1)) / F.lit(10000.0)
+
+    def ok(p, v):
+        below, upto = F.count_if(F.col("price") < F.lit(v)), F.count_if(F.col("price") <= F.lit(v))
+        return (below - error <= F.lit(p) * n) & (F.lit(p) * n <= upto + error)
+    return data.agg(n.alias("n"), ok(0.33, q["p33"]).alias("p33_in_bounds"), ok(0.67, q["p67"]).alias("p67_in_bounds"))
 
 
 @register("tercile_thresholds", ("A2x",), sql("select p33, p67 from terciles", "listings", "terciles"))
@@ -193,17 +218,6 @@ def q_tercile_thresholds(spark, sf_dir):
     return exact_percentiles(drop_any_null(listings_table(spark, sf_dir)), "price", (33, 67))
 
 
-@register("map_sum_ratio", ("A3", "V1", "X5"), sql("""
-select count(*) as n, cast(sum(inside) as bigint) as inside, round(4.0 * sum(inside) / count(*), 6) as pi_estimate
-from (select case when x * x + y * y <= 1 then 1 else 0 end as inside
-      from (select cast(('0x' || substr(md5('x' || k), 1, 8))::bigint as double) / 4294967296.0 * 2 - 1 as x,
-                   cast(('0x' || substr(md5('y' || k), 1, 8))::bigint as double) / 4294967296.0 * 2 - 1 as y
-            from (select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as k from lineitem)))"""))
-def q_map_sum_ratio(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return map_sum_ratio(li, F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-
-
 @register("category_frequencies", ("A6",), sql(" union all ".join(
     f"select '{c}' as feature, {c} as value, count(*) as count from listings group by {c}"
     for c in MLP_CATEGORICALS), "listings"))
@@ -253,7 +267,7 @@ where i.index < o.card - 1"""
 def q_assemble(spark, sf_dir):
     df = listings_table(spark, sf_dir)
     model = fit_encoders(df, GBT_CATEGORICALS, NUMERIC_FEATURES)
-    return assembled_entries(model.transform(df), KEY, numerics=NUMERIC_FEATURES, categoricals=GBT_CATEGORICALS)
+    return assembled_entries(model.transform(df), KEY)
 
 
 @register("feature_width", ("E4",), sql(f"""
@@ -308,7 +322,8 @@ select cast(sum(actual) as bigint) as n,
 from m""", "listings", "keyed"))
 def q_classification_metrics(spark, sf_dir):
     scored = baseline_scored(spark, sf_dir)
-    low, high = band_thresholds(scored.where(F.col("split") == "train"), "label")
+    # the bounds need the training prices only, not the scored join
+    low, high = band_thresholds(keyed_listings_table(spark, sf_dir).where(F.col("split") == "train"), "price")
     splits = [0.0, low, high, float("inf")]
     test = scored.where(F.col("split") == "test")
     banded = test.select(bucket("label", splits).alias("label"), bucket("prediction", splits).alias("prediction"))

@@ -16,16 +16,22 @@ from gearbox.operators.clean import (
     missing_rows,
     select_ci,
 )
-from gearbox.operators.layout import contiguous_split, union_parts
-from gearbox.plans.jobs import clean_part_job, csv_to_parquet_job, load_and_repartition, quarantine_job
+from gearbox.operators.layout import contiguous_split_by_key, keyed_split, union_parts
+from gearbox.plans.jobs import (
+    clean_part_job,
+    clean_quarantine_job,
+    csv_to_parquet_job,
+    load_and_repartition,
+    merge_parts_job,
+    quarantine_job,
+)
 from gearbox.plans.registry import NOT_NULL_RAW, register, sql
 from gearbox.schema import LISTINGS, LISTINGS_RAW
 from gearbox.session import scratch_path, sf_path
-from gearbox.sinks.writers import write_csv, write_parquet, write_single_file
+from gearbox.sinks.writers import write_csv, write_parquet
 from gearbox.sources.fixtures import listings, listings_raw, listings_table, table
 from gearbox.streaming.parts import clean_parts_stream, read_stream_output
 from gearbox.sources.readers import (
-    range_source,
     read_csv,
     read_existing_parquet,
     read_first_available,
@@ -45,7 +51,7 @@ def _orders(spark, sf_dir):
 
 def _orders_parts(spark, sf_dir):
     """Orders cut into 3 contiguous parts by order key (part 1..3)."""
-    return contiguous_split(_orders(spark, sf_dir), ["o_orderkey"], 3)
+    return contiguous_split_by_key(_orders(spark, sf_dir), "o_orderkey", 3)
 
 
 def _orders_csv_schema(spark, sf_dir):
@@ -66,13 +72,8 @@ def q_part_scan(spark, sf_dir):
 
 @register("multi_path_union", ("S3", "U2"), sql("select * from orders"))
 def q_multi_path_union(spark, sf_dir):
-    parts = _orders_parts(spark, sf_dir)
-    base = scratch_path(spark, "processed")
-    paths = []
-    for p in (1, 2, 3):
-        paths.append(write_parquet(parts.where(F.col("part") == p).drop("part"),
-                                   f"{base}/processed_node{p}.parquet"))
-    return read_existing_parquet(spark, paths + [f"{base}/processed_node4.parquet"])
+    base = write_parquet(_orders_parts(spark, sf_dir), scratch_path(spark, "processed"), partition_by=["part"])
+    return read_existing_parquet(spark, [f"{base}/part={p}" for p in (1, 2, 3, 4)])
 
 
 @register("csv_typed_roundtrip", ("S4", "K6"), sql("select * from listings", "listings"))
@@ -126,13 +127,7 @@ def q_sql_view_scan(spark, sf_dir):
     return sql_view_scan(_orders(spark, sf_dir), "combined")
 
 
-@register("range_source", ("S9",), sql("select cast(row_number() over () - 1 as bigint) as id from orders"))
-def q_range_source(spark, sf_dir):
-    n = _orders(spark, sf_dir).count()
-    return range_source(spark, n)
-
-
-@register("prepared_table", ("S1", "P1", "P2", "P7"), sql("select * from listings", "listings"))
+@register("prepared_table", ("S1", "P1", "P2", "P7", "X5"), sql("select * from listings", "listings"))
 def q_prepared_table(spark, sf_dir):
     """The prepared listing table, derived from the raw tables by joins (not
     the materialised copy): what every other listing query reads."""
@@ -145,19 +140,6 @@ def q_parquet_sink(spark, sf_dir):
     return spark.read.parquet(write_parquet(listings_table(spark, sf_dir), scratch_path(spark, "listings_parquet")))
 
 
-@register("single_file_sink", ("K2", "L3"), sql("select *, 1 as n_files from orders"))
-def q_single_file_sink(spark, sf_dir):
-    res = write_single_file(_orders(spark, sf_dir), scratch_path(spark, "orders_single"), fmt="parquet")
-    return spark.read.parquet(res["path"]).withColumn("n_files", F.lit(len(res["files"])))
-
-
-@register("single_csv_sink", ("K3", "F1", "K5"), sql(f"""
-select *, 1 as n_files from listings_raw where {MISSING_PRICE}""", "listings", "listings_raw"))
-def q_single_csv_sink(spark, sf_dir):
-    res = write_single_file(missing_rows(listings_raw(spark, sf_dir)), scratch_path(spark, "missing_csv"), fmt="csv")
-    return read_csv(spark, res["path"], schema=LISTINGS_RAW).withColumn("n_files", F.lit(len(res["files"])))
-
-
 @register("partitioned_sink", ("K4", "W1"), sql(f"select * from {ORDERS_PARTS_SQL}"))
 def q_partitioned_sink(spark, sf_dir):
     path = write_csv(_orders_parts(spark, sf_dir), scratch_path(spark, "orders_part_csv"), partition_by=["part"])
@@ -167,12 +149,10 @@ def q_partitioned_sink(spark, sf_dir):
 
 @register("union_csv_sink", ("K6", "U1"), sql("select * from orders"))
 def q_union_csv_sink(spark, sf_dir):
-    parts = _orders_parts(spark, sf_dir)
     schema = _orders_csv_schema(spark, sf_dir)
     base = scratch_path(spark, "parts_csv")
-    part_paths = [write_csv(parts.where(F.col("part") == p).drop("part"), f"{base}/part_node{p}.csv")
-                  for p in (1, 2, 3)]
-    merged = union_parts([read_csv(spark, p, schema=schema) for p in part_paths])
+    written = write_csv(_orders_parts(spark, sf_dir), f"{base}/parts", partition_by=["part"])
+    merged = union_parts([read_csv(spark, f"{written}/part={p}", schema=schema) for p in (1, 2, 3)])
     return read_csv(spark, write_csv(merged, f"{base}/combined.csv"), schema=schema)
 
 
@@ -236,7 +216,7 @@ def q_drop_target_null(spark, sf_dir):
     return drop_target_null(cast_target(listings_raw(spark, sf_dir)))
 
 
-@register("quarantine_job", ("F4", "S6", "K5", "K3"), sql(f"""
+@register("quarantine_job", ("F4", "S6", "K5", "K6"), sql(f"""
 select * from listings_raw where {MISSING_PRICE}""", "listings", "listings_raw"))
 def q_quarantine_job(spark, sf_dir):
     base = scratch_path(spark, "quarantine")
@@ -275,6 +255,41 @@ def q_stream_clean_parts(spark, sf_dir):
     base = scratch_path(spark, "stream_parts")
     write_csv(listings_raw(spark, sf_dir).repartition(3), f"{base}/incoming")
     q = clean_parts_stream(spark, f"{base}/incoming", f"{base}/clean", f"{base}/quarantine", LISTINGS_RAW,
-                           checkpoint=f"{base}/_checkpoint", max_files_per_trigger=1)
+                           f"{base}/_checkpoint", max_files_per_trigger=1)
     q.awaitTermination()
     return read_stream_output(spark, f"{base}/clean")
+
+
+@register("clean_and_quarantine", ("F4", "F5", "F1", "P3"), sql("""
+select listing_id, try_cast(price as double) as price, price as price_text,
+  case when price is null then 'null' when trim(price) = '' then 'blank'
+       when try_cast(price as double) is null then 'unparseable' end as reason
+from listings_raw""", "listings", "listings_raw"))
+def q_clean_and_quarantine(spark, sf_dir):
+    """Both outputs of the combined job: together every input row, once."""
+    base = scratch_path(spark, "clean_quarantine")
+    part = write_csv(listings_raw(spark, sf_dir), f"{base}/part_node1.csv")
+    clean, quarantine = clean_quarantine_job(spark, part, f"{base}/processed_node1.parquet", f"{base}/null_price_rows.parquet")
+    kept = (clean.select("listing_id", "price", F.col("price").cast("bigint").cast("string").alias("price_text"),
+                         F.lit(None).cast("string").alias("reason")))
+    return kept.unionByName(quarantine.select("listing_id", F.lit(None).cast("double").alias("price"),
+                                              F.col("price").alias("price_text"), "reason"))
+
+
+@register("merge_parts_job", ("S3", "U2", "K1", "L5x"), sql("""
+select case when ('0x' || substr(md5(cast(o_orderkey as varchar)), 1, 8))::bigint % 100 < 80 then 'train' else 'test' end as split,
+  count(*) as n, sum(o_custkey)::bigint as custkeys
+from orders group by 1"""))
+def q_merge_parts_job(spark, sf_dir):
+    """Existing processed parts -> combined table -> keyed split counts."""
+    base = write_parquet(_orders_parts(spark, sf_dir), scratch_path(spark, "merge_parts"), partition_by=["part"])
+    merged = merge_parts_job(spark, [f"{base}/part={p}" for p in (1, 2, 3, 4)], f"{base}-combined")
+    return (keyed_split(merged.withColumn("key", F.col("o_orderkey").cast("string")), "key").groupBy("split")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("custkeys")))
+
+
+@register("csv_inferred_types", ("S4",), sql("select * from orders"))
+def q_csv_inferred_types(spark, sf_dir):
+    path = write_csv(_orders(spark, sf_dir), scratch_path(spark, "orders_inferred_csv"))
+    return read_csv(spark, path, infer_schema=True).select(
+        *[F.col(f.name).cast(f.dataType) for f in _orders_csv_schema(spark, sf_dir).fields])

@@ -36,7 +36,3 @@ LISTINGS_RAW = T.StructType([
     T.StructField("transmission", T.StringType()),
 ])
 
-
-def all_strings(schema: T.StructType) -> T.StructType:
-    """Same field names, every type text: the header-only CSV reading mode."""
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])

@@ -1,3 +1,3 @@
-from gearbox.sinks.writers import write_csv, write_if_nonempty, write_parquet, write_single_file
+from gearbox.sinks.writers import write_csv, write_if_nonempty, write_parquet
 
-__all__ = ["write_csv", "write_if_nonempty", "write_parquet", "write_single_file"]
+__all__ = ["write_csv", "write_if_nonempty", "write_parquet"]

@@ -1,10 +1,4 @@
-"""Sinks: Parquet/CSV directories, partitioned layouts, bounded single files.
-
-A single output file means a single writing task, so ``write_single_file``
-only does it for extracts under ``max_rows``; larger inputs are written as a
-normal multi-file directory (same content, every task writes) or refused,
-never squeezed through one task.
-"""
+"""Sinks: Parquet/CSV directories and partitioned layouts; every task writes its own files."""
 
 from __future__ import annotations
 
@@ -12,10 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from gearbox.sources.fs import data_files
-
-DEFAULT_SINGLE_FILE_MAX_ROWS = 1_000_000
-
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] | None = None) -> str:
@@ -32,7 +22,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     """K6 (K4 with ``partition_by``): CSV directory with a header line.
 
     Blank and space-only text is written quoted and untrimmed, NULL as an
-    empty field, so ``read_csv`` gives back exactly what was written.
+    empty field, so ``read_csv`` gives back exactly what was written; where
+    text holds line breaks, read it with ``multi_line=True``.
     """
     w = (df.write.mode(mode).option("header", header)
          .option("ignoreLeadingWhiteSpace", False)
@@ -43,38 +34,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     return path
 
 
-def write_single_file(df: DataFrame, path: str, fmt: str = "parquet",
-                      max_rows: int = DEFAULT_SINGLE_FILE_MAX_ROWS, oversize: str = "split") -> dict:
-    """K2/K3: one data file under ``path`` for a bounded extract.
-
-    The guard counts at most ``max_rows + 1`` rows (``limit`` stops every
-    partition early), so an oversized input is detected without counting it.
-    ``oversize="split"`` writes a larger input as an ordinary multi-file
-    directory instead; ``oversize="error"`` raises.  Returns
-    ``{"path", "rows", "files", "single"}``; ``rows`` is exact for a single
-    file and ``None`` for the multi-file fallback.
-    """
-    capped = df.limit(max_rows + 1).count()
-    single = capped <= max_rows
-    if not single and oversize == "error":
-        raise ValueError(f"more than {max_rows} rows: too many for a single file")
-    out = df.coalesce(1) if single else df
-    if fmt == "parquet":
-        write_parquet(out, path)
-    elif fmt == "csv":
-        write_csv(out, path)
-    else:
-        raise ValueError(f"unknown format {fmt}")
-    files = data_files(df.sparkSession, path, "." + fmt if fmt == "csv" else ".parquet")
-    return {"path": path, "rows": capped if single else None, "files": files, "single": single}
-
-
 def write_if_nonempty(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
     """K5: write only when there is at least one row (``isEmpty`` reads one row)."""
     if df.isEmpty():
         return False
-    if fmt == "parquet":
-        write_parquet(df, path)
-    else:
-        write_csv(df, path)
+    {"parquet": write_parquet, "csv": write_csv}[fmt](df, path)
     return True

@@ -1,7 +1,6 @@
 from gearbox.sources.fixtures import listings, listings_raw, listings_table, table
 from gearbox.sources.fs import data_files, path_exists, require_path
 from gearbox.sources.readers import (
-    range_source,
     read_csv,
     read_existing_parquet,
     read_first_available,
@@ -14,7 +13,7 @@ from gearbox.sources.readers import (
 )
 
 __all__ = [
-    "data_files", "listings", "listings_raw", "listings_table", "path_exists", "range_source", "read_csv",
+    "data_files", "listings", "listings_raw", "listings_table", "path_exists", "read_csv",
     "read_existing_parquet", "read_first_available", "read_parquet", "read_part", "require_path",
     "require_schema", "schema_profile", "schema_table", "sql_view_scan", "table",
 ]

@@ -49,10 +49,13 @@ def file_fingerprint(spark: SparkSession, path: str) -> tuple[int, int]:
     return int(summary.getLength()), int(newest)
 
 
-def rename_path(spark: SparkSession, src: str, dst: str) -> str:
-    """Rename a file or folder on its filesystem (metadata-only on HDFS)."""
+def replace_path(spark: SparkSession, src: str, dst: str) -> str:
+    """Rename a file or folder on its filesystem (metadata-only on HDFS); what
+    an earlier run left at ``dst`` is replaced."""
     fs, hsrc = _fs_and_path(spark, src)
     _, hdst = _fs_and_path(spark, dst)
+    if fs.exists(hdst):
+        fs.delete(hdst, True)
     if not fs.rename(hsrc, hdst):
         raise OSError(f"could not rename {src} to {dst}")
     return dst

@@ -1,5 +1,5 @@
 """Scans: Parquet (file, directory, several paths, one part), CSV (typed or
-all-text), first-available source, SQL view, generated range.
+all-text), first-available source, SQL view.
 
 Readers take explicit schemas wherever the data has one, so a CSV scan never
 needs the extra inference pass and types do not drift with the writer.
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from gearbox.sources.fs import path_exists, require_path
 
-_NO_TOKEN = "\u0001"  # a nullValue no real field contains
+NO_TOKEN = "\u0001"  # a nullValue no real field contains
 
 
 def _as_text(schema: T.StructType) -> T.StructType:
@@ -77,7 +77,7 @@ def read_existing_parquet(spark: SparkSession, paths: Sequence[str]) -> DataFram
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
              infer_schema: bool = False, null_value: str | None = None,
-             null_tokens: Sequence[str] | None = None) -> DataFrame:
+             null_tokens: Sequence[str] | None = None, multi_line: bool = False) -> DataFrame:
     """CSV with a header line.
 
     * ``schema`` given: typed read, no inference pass (the scalable mode).
@@ -86,14 +86,15 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
     Empty fields read as NULL; quoted empty strings stay empty strings, and
     leading/trailing spaces are kept, so blank values survive a round trip.
-    ``null_value`` adds a token (for example ``"NA"``) that reads as NULL.
+    ``multi_line`` reads fields with line breaks (such files are not split: one
+    task reads a whole file).  ``null_value`` adds a token (for example ``"NA"``) that reads as NULL.
     ``null_tokens`` (several tokens, like pandas' ``NA``/``None``/``n/a``
     defaults): fields equal to any token become NULL in every column; with
     a ``schema`` the columns are read as text first and then converted with
     ``try_cast``, so a token never fails a numeric column.
     """
     if null_tokens:
-        text = read_csv(spark, path, schema=_as_text(schema) if schema is not None else None)
+        text = read_csv(spark, path, schema=_as_text(schema) if schema is not None else None, multi_line=multi_line)
         tokens = list(null_tokens)
         cleaned = text.select(*[F.when(F.col(c).isin(tokens), F.lit(None)).otherwise(F.col(c)).alias(c)
                                 for c in text.columns])
@@ -109,7 +110,8 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
               .option("ignoreLeadingWhiteSpace", False)
               .option("ignoreTrailingWhiteSpace", False)
               .option("emptyValue", "")
-              .option("nullValue", null_value if null_value is not None else _NO_TOKEN))
+              .option("multiLine", multi_line)
+              .option("nullValue", null_value if null_value is not None else NO_TOKEN))
     if schema is not None:
         reader = reader.schema(schema)
     elif infer_schema:
@@ -132,7 +134,3 @@ def sql_view_scan(df: DataFrame, view: str = "combined") -> DataFrame:
     df.createOrReplaceTempView(view)
     return df.sparkSession.sql(f"SELECT * FROM {view}")
 
-
-def range_source(spark: SparkSession, n: int, num_partitions: int | None = None) -> DataFrame:
-    """``id`` in ``[0, n)`` generated on the executors (no driver data)."""
-    return spark.range(0, n, 1, num_partitions)

@@ -3,8 +3,8 @@
 Parts (CSV files) land in a folder over time, one per node or per upload.
 A Structured Streaming file source picks up each new file exactly once
 (progress is in the checkpoint), and every micro-batch is split into the
-clean rows (target cast to double, rows without a target dropped) and the
-quarantined rows (target null or blank).  Run it with
+clean rows (target cast to double) and the quarantined rows (target null,
+blank or unparseable, with the reason): every row is in exactly one of them.  Run it with
 ``trigger(availableNow=True)`` as a scheduled batch job, or with a
 processing-time trigger as a service.
 
@@ -21,10 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from gearbox.operators.clean import cast_target, drop_target_null, missing_rows
-from gearbox.session import shared_dir
-
-_NO_TOKEN = "\u0001"
+from gearbox.operators.clean import clean_and_quarantine
+from gearbox.sources.readers import NO_TOKEN
 
 
 def read_parts_stream(spark: SparkSession, in_dir: str, schema: T.StructType,
@@ -33,31 +31,30 @@ def read_parts_stream(spark: SparkSession, in_dir: str, schema: T.StructType,
     a streaming file source does not infer)."""
     r = (spark.readStream.schema(schema).option("header", True)
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-         .option("emptyValue", "").option("nullValue", _NO_TOKEN))
+         .option("emptyValue", "").option("nullValue", NO_TOKEN))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.csv(in_dir)
 
 
 def clean_parts_stream(spark: SparkSession, in_dir: str, clean_dir: str, quarantine_dir: str,
-                       schema: T.StructType, target: str = "price", checkpoint: str | None = None,
+                       schema: T.StructType, checkpoint: str, target: str = "price",
                        available_now: bool = True, processing_time: str | None = None,
                        max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """F4 + F5 on a stream of CSV parts.  Returns the started query."""
-    ckpt = checkpoint or f"{shared_dir(spark).rstrip('/')}/gearbox-streams/clean_parts"
+    """F4 + F5 on a stream of CSV parts.  Returns the started query.  ``checkpoint``
+    is the stream's own folder: two streams never share one."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            (drop_target_null(cast_target(batch, target), target)
-             .write.mode("overwrite").parquet(f"{clean_dir}/batch_id={batch_id}"))
-            (missing_rows(batch, target)
-             .write.mode("overwrite").parquet(f"{quarantine_dir}/batch_id={batch_id}"))
+            clean, quarantine = clean_and_quarantine(batch, target)
+            clean.write.mode("overwrite").parquet(f"{clean_dir}/batch_id={batch_id}")
+            quarantine.write.mode("overwrite").parquet(f"{quarantine_dir}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
     w = (read_parts_stream(spark, in_dir, schema, max_files_per_trigger).writeStream
-         .foreachBatch(per_batch).option("checkpointLocation", ckpt))
+         .foreachBatch(per_batch).option("checkpointLocation", checkpoint))
     if available_now and not processing_time:
         w = w.trigger(availableNow=True)
     elif processing_time:

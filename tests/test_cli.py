@@ -7,7 +7,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from conftest import SF_SMALL
+from conftest import GBT_QUICK, GBT_QUICK_GRID, MLP_QUICK, SF_SMALL
+from gearbox.plans import cli
 from gearbox.plans.cli import parser, run
 from gearbox.sinks.writers import write_csv, write_parquet
 from gearbox.sources.fixtures import listings_raw, listings_table, table
@@ -33,6 +34,17 @@ def test_split_keeps_file_order_and_sizes(spark, tmp_dir):
     assert sum(out["parts"].values()) == len(original)
 
 
+def test_split_run_twice_replaces_its_parts(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "orders_csv"), os.path.join(tmp_dir, "parts")
+    orders = table(spark, SF_SMALL, "orders")
+    write_csv(orders, src)
+    job(spark, "split", src, out)
+    write_csv(orders.limit(90), src)
+    second = job(spark, "split", src, out)
+    assert sorted(second["parts"].values()) == [30, 30, 30]
+    assert [spark.read.option("header", True).csv(f"{out}/part_node{i}.csv").count() for i in (1, 2, 3)] == [30, 30, 30]
+
+
 def test_prepare_jobs(spark, tmp_dir):
     raw = listings_raw(spark, SF_SMALL)
     p1, p2 = os.path.join(tmp_dir, "p1.csv"), os.path.join(tmp_dir, "p2.csv")
@@ -40,7 +52,7 @@ def test_prepare_jobs(spark, tmp_dir):
     write_csv(raw.where("slot >= 10"), p2)
     merged = job(spark, "merge", p1, p2, "--output-csv", os.path.join(tmp_dir, "combined.csv"),
                  "--output-parquet", os.path.join(tmp_dir, "combined.parquet"))
-    assert merged["rows"] == raw.count() and len(merged["parquet"]["files"]) == 1
+    assert merged["rows"] == raw.count() and spark.read.parquet(merged["parquet"]).count() == raw.count()
     c1 = job(spark, "clean-part", p1, os.path.join(tmp_dir, "processed1.parquet"))
     c2 = job(spark, "clean-part", p2, os.path.join(tmp_dir, "processed2.parquet"))
     mp = job(spark, "merge-parts", os.path.join(tmp_dir, "processed1.parquet"),
@@ -50,7 +62,7 @@ def test_prepare_jobs(spark, tmp_dir):
     rp = job(spark, "repartition", os.path.join(tmp_dir, "merged.parquet"), os.path.join(tmp_dir, "rep.parquet"),
              "--partitions", "2")
     assert rp["rows"] == mp["rows"]
-    cp = job(spark, "csv-to-parquet", p1, os.path.join(tmp_dir, "p1.parquet"), "--single-file")
+    cp = job(spark, "csv-to-parquet", p1, os.path.join(tmp_dir, "p1.parquet"))
     assert cp["rows"] == raw.where("slot < 10").count()
     write_parquet(raw, os.path.join(tmp_dir, "raw.parquet"))
     fn = job(spark, "find-null", "--input-parquet", os.path.join(tmp_dir, "raw.parquet"),
@@ -61,14 +73,11 @@ def test_prepare_jobs(spark, tmp_dir):
     assert [c["column_name"] for c in ins["schema"]] == raw.columns
 
 
-def test_pi_job(spark):
-    out = job(spark, "pi", "--samples", "20000")
-    assert out["n"] == 20000 and abs(out["pi_estimate"] - np.pi) < 0.05
-
-
 @pytest.mark.parametrize("argv", [["gbt", "--preset", "quick"], ["mlp", "--preset", "quick"],
                                   ["mlp", "--preset", "quick", "--part", "2"]])
-def test_model_jobs(spark, tmp_dir, argv):
+def test_model_jobs(spark, tmp_dir, argv, monkeypatch):
+    monkeypatch.setitem(cli.GBT_PRESETS, "quick", GBT_QUICK)
+    monkeypatch.setitem(cli.MLP_PRESETS, "quick", MLP_QUICK)
     src = os.path.join(tmp_dir, "listings")
     from pyspark.sql import functions as F
     lt = listings_table(spark, SF_SMALL).withColumn("part", (F.col("slot") % 3 + 1).cast("int"))
@@ -92,10 +101,14 @@ def test_stream_clean_job(spark, tmp_dir):
     assert clean.count() == raw.where(F.col("price").try_cast("double").isNotNull()).count()
 
 
-def test_gbt_cv_job_quick_grid(spark, tmp_dir):
+def test_gbt_cv_job_quick_grid(spark, tmp_dir, monkeypatch):
+    monkeypatch.setitem(cli.GBT_GRIDS, "quick", GBT_QUICK_GRID)
     src = os.path.join(tmp_dir, "listings")
     write_parquet(listings_table(spark, SF_SMALL), src)
-    out = job(spark, "gbt-cv", src, "--grid", "quick", "--output", os.path.join(tmp_dir, "cv"))
+    out = job(spark, "gbt-cv", src, "--grid", "quick", "--output", os.path.join(tmp_dir, "cv"),
+              "--report", os.path.join(tmp_dir, "cv_report"))
+    assert {m["split"] for m in out["metrics"]} == {"train", "test"}
+    assert {r["section"] for r in spark.read.parquet(os.path.join(tmp_dir, "cv_report")).collect()} >= {"grid", "ranking", "best"}
     configs = out["configs"]
     assert len(configs) == 8 and sum(c["best"] for c in configs) == 1
     best = [c for c in configs if c["best"]][0]

@@ -28,7 +28,7 @@ from gearbox.operators.ordering import target_partitions, with_global_index
 from gearbox.operators.stats import exact_percentiles, row_counts
 from gearbox.plans.jobs import clean_part_job, csv_to_parquet_job, quarantine_job
 from gearbox.schema import GBT_CATEGORICALS, KEY, LISTINGS, MLP_CATEGORICALS, NUMERIC_FEATURES
-from gearbox.sinks.writers import write_csv, write_if_nonempty, write_parquet, write_single_file
+from gearbox.sinks.writers import write_csv, write_if_nonempty, write_parquet
 from gearbox.sources.fixtures import listings, listings_raw, table
 from gearbox.sources.readers import read_csv, read_existing_parquet, read_first_available, read_parquet
 
@@ -195,16 +195,6 @@ def test_csv_inferred_types(spark, lst, tmp_dir):
     assert set(dict(read_csv(spark, path).dtypes).values()) == {"string"}
 
 
-def test_single_file_sink_one_file_and_guard(spark, tmp_dir):
-    orders = table(spark, SF_SMALL, "orders")
-    res = write_single_file(orders, os.path.join(tmp_dir, "one"), fmt="parquet")
-    assert len(res["files"]) == 1 and spark.read.parquet(res["path"]).count() == orders.count()
-    many = write_single_file(orders.repartition(4), os.path.join(tmp_dir, "many"), max_rows=100)
-    assert len(many["files"]) > 1 and spark.read.parquet(many["path"]).count() == orders.count()
-    with pytest.raises(ValueError):
-        write_single_file(orders, os.path.join(tmp_dir, "err"), max_rows=100, oversize="error")
-
-
 def test_write_if_nonempty(spark, tmp_dir):
     orders = table(spark, SF_SMALL, "orders")
     assert not write_if_nonempty(orders.where("false"), os.path.join(tmp_dir, "empty"))
@@ -217,22 +207,16 @@ def test_quarantine_job_and_clean_job(spark, raw, tmp_dir):
     res = quarantine_job(spark, src, os.path.join(tmp_dir, "c.csv"), os.path.join(tmp_dir, "q.parquet"),
                          os.path.join(tmp_dir, "q.csv"))
     assert res.count == missing_rows(raw).count() == res.rows.count()
-    assert len(res.csv["files"]) == 1
+    assert read_csv(spark, res.csv).count() == res.count
     clean_src = write_parquet(present_rows(raw), os.path.join(tmp_dir, "clean.parquet"))
     none = quarantine_job(spark, clean_src, "x", os.path.join(tmp_dir, "q2"), os.path.join(tmp_dir, "q2.csv"))
-    assert none.count == 0 and not os.path.exists(os.path.join(tmp_dir, "q2"))
+    assert none.count == 0 and none.rows.schema == raw.schema and not os.path.exists(os.path.join(tmp_dir, "q2"))
     part = write_csv(raw, os.path.join(tmp_dir, "part1.csv"))
     cleaned = clean_part_job(spark, part, os.path.join(tmp_dir, "processed1"))
     assert dict(cleaned.dtypes)["price"] == "double"
     assert cleaned.count() == cast_target(raw).where(F.col("price").isNotNull()).count()
 
 
-def test_csv_to_parquet_job_single_file(spark, lst, tmp_dir):
-    csv = write_csv(lst, os.path.join(tmp_dir, "in.csv"))
-    out = csv_to_parquet_job(spark, csv, os.path.join(tmp_dir, "out.parquet"), schema=LISTINGS, single_file=True)
-    assert out.exceptAll(lst).count() == 0 and out.count() == lst.count()
-
-
 # --------------------------------------------------------------------------- features
 def test_category_index_matches_string_indexer(spark, lst):
     model = StringIndexer(inputCols=MLP_CATEGORICALS, outputCols=[c + "_i" for c in MLP_CATEGORICALS],
@@ -357,15 +341,6 @@ def test_percentile_approx_rank_error_bound(spark, lst):
         assert lo - 1.0 / acc <= p <= hi + 1.0 / acc
 
 
-def test_map_sum_ratio_seeded_and_keyed(spark):
-    from gearbox.operators.stats import map_sum_ratio
-    df = spark.range(0, 50000, 1, 4)
-    a = map_sum_ratio(df, seed=7).first()
-    b = map_sum_ratio(df, seed=7).first()
-    k = map_sum_ratio(df, F.col("id")).first()
-    assert a == b and abs(a["pi_estimate"] - np.pi) < 0.05 and abs(k["pi_estimate"] - np.pi) < 0.05
-
-
 def test_unseen_category_error_or_keep(spark, lst):
     train = lst.where(F.col("make") != "Brand#1")
     test = lst.where(F.col("make") == "Brand#1")
@@ -401,7 +376,7 @@ def test_listings_table_rederived_when_sources_change(spark, tmp_dir):
     src = os.path.join(tmp_dir, "sf")
     os.makedirs(src)
     for t in SOURCE_TABLES:
-        shutil.copy(os.path.join(SF_SMALL, f"{t}.parquet"), os.path.join(src, f"{t}.parquet"))
+        shutil.copyfile(os.path.join(SF_SMALL, f"{t}.parquet"), os.path.join(src, f"{t}.parquet"))
     first = listings_table(spark, src)
     assert listings_table(spark, src).inputFiles() == first.inputFiles()  # reused
     before = {r["seller_type"] for r in first.select("seller_type").distinct().collect()}
@@ -436,11 +411,104 @@ def test_rebalance_without_key_and_bucket_skip(spark, lst):
     assert got == [None, 0.0, None]
 
 
-def test_index_based_entries_equal_vector_expansion(spark, lst):
+def test_stored_entries_equal_vector_expansion(spark, lst):
+    from pyspark.ml.functions import vector_to_array
     from gearbox.operators.features import assembled_entries
     train = lst.where(F.col("make") != "Brand#1")
     enc = fit_encoders(train, GBT_CATEGORICALS, NUMERIC_FEATURES, handle_invalid="keep").transform(lst)
-    fast = assembled_entries(enc, KEY, numerics=NUMERIC_FEATURES, categoricals=GBT_CATEGORICALS)
-    slow = assembled_entries(enc, KEY)
+    fast = assembled_entries(enc, KEY)
+    slow = (enc.select(KEY, F.posexplode(vector_to_array("features")).alias("slot", "value"))
+            .where("value <> 0").select(KEY, F.col("slot").cast("int").alias("slot"), "value"))
     assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
     assert fast.count() == slow.count()
+
+
+def test_constant_label_has_the_metrics_of_mllib(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from gearbox.operators.metrics import regression_metrics
+    for rows in ([(1.0, 1.0), (1.0, 2.0)], [(1.0, 1.0), (1.0, 1.0)]):
+        df = spark.createDataFrame(rows, "label double, prediction double")
+        ours = regression_metrics(df).first()["r2"]
+        theirs = RegressionEvaluator(metricName="r2").evaluate(df)
+        assert ours == theirs or (np.isnan(ours) and np.isnan(theirs))
+
+
+def test_cv_keeps_null_keys(spark):
+    from gearbox.operators.metrics import cv_group_mean
+    rows = [(i % 3, float(i % 7), None if i % 5 == 0 else str(i % 4)) for i in range(60)]
+    df = spark.createDataFrame(rows, "fold int, price double, k string")
+    got = {(r["alpha"], r["fold"]): (r["n"], r["rmse"]) for r in cv_group_mean(df, ["k"], [0.0, 5.0]).collect()}
+    for a in (0.0, 5.0):
+        for f in range(3):
+            train = [(p, k) for g, p, k in rows if g != f]
+            m = np.mean([p for p, _ in train])
+            err = []
+            for g, p, k in rows:
+                if g == f:
+                    same = [q for q, j in train if j == k]
+                    pred = (sum(same) + a * m) / (len(same) + a) if len(same) + a > 0 else m
+                    err.append((p - pred) ** 2)
+            assert got[a, f] == (len(err), pytest.approx(np.sqrt(np.mean(err)), abs=1e-4))
+
+
+def test_fold_average_plan_has_no_join(spark):
+    import __spark_entry__ as entry
+    plan = entry.queries()["fold_average"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_clean_and_quarantine_lose_no_row(spark, raw):
+    from gearbox.operators.clean import clean_and_quarantine
+    clean, quarantine = clean_and_quarantine(raw)
+    assert clean.count() + quarantine.count() == raw.count()
+    reasons = {r["reason"]: r["count"] for r in quarantine.groupBy("reason").count().collect()}
+    assert set(reasons) == {"null", "blank", "unparseable"} and min(reasons.values()) > 0
+    assert clean.where("price is null").count() == 0
+
+
+def test_percentiles_with_a_value_that_holds_a_third(spark):
+    from gearbox.operators.stats import exact_percentiles, values_at_ranks
+    values = [float(i) for i in range(4000)] + [1500.5] * 2000
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(6)
+    s = sorted(values)
+    got = exact_percentiles(df, "x", (1, 25, 33, 50, 67, 100), accuracy=100).first()
+    for p in (1, 25, 33, 50, 67, 100):
+        assert got[f"p{p}"] == next(v for rn, v in enumerate(s, 1) if rn * 100 >= p * len(s))
+    assert values_at_ranks(df, "x", parts=7, accuracy=100) == [
+        s[k] for k in np.cumsum([len(c) for c in np.array_split(np.arange(len(s)), 7)])[:-1]]
+
+
+def test_percentiles_narrow_many_distinct_values(spark, monkeypatch):
+    from gearbox.operators import stats
+    monkeypatch.setattr(stats, "MAX_WINDOW_ROWS", 50)
+    values = [((i * 7919) % 5003) / 3 for i in range(5003)]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    s = sorted(values)
+    got = stats.exact_percentiles(df, "x", (5, 50, 95), accuracy=20).first()
+    assert [got[f"p{p}"] for p in (5, 50, 95)] == [next(v for rn, v in enumerate(s, 1) if rn * 100 >= p * len(s)) for p in (5, 50, 95)]
+
+
+def test_contiguous_split_by_key(spark):
+    from gearbox.operators.layout import contiguous_split_by_key
+    for n_rows, n in ((0, 3), (2, 3), (10, 3), (101, 7)):
+        df = spark.createDataFrame([(i * 3,) for i in range(n_rows)], "k long").repartition(3)
+        got = [r["part"] for r in contiguous_split_by_key(df, "k", n).orderBy("k").collect()]
+        assert got == [i + 1 for i, c in enumerate(np.array_split(np.arange(n_rows), n)) for _ in c]
+    plan = contiguous_split_by_key(df, "k", 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Sort" not in plan
+
+
+def test_csv_fields_with_line_breaks(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a\nb"), (2, "c"), (3, "d\r\n e ")], "i long, t string")
+    path = write_csv(df, os.path.join(tmp_dir, "breaks"))
+    back = read_csv(spark, path, schema=df.schema, multi_line=True)
+    assert sorted(r["i"] for r in back.collect()) == [1, 2, 3]
+    assert {r["i"]: r["t"].replace("\r\n", "\n") for r in back.collect()} == {1: "a\nb", 2: "c", 3: "d\n e "}
+
+
+def test_encoder_and_assembler_run_in_the_registered_queries(spark):
+    import __spark_entry__ as entry
+    for name in ("one_hot", "assemble"):
+        plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert "_vec" in plan or "features" in plan
+        assert plan.count("UDF") > 2  # the encoder's functions besides the indexer's

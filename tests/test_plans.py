@@ -3,17 +3,17 @@
 import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from gearbox.plans.registry import REGISTRY
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
-MODEL_QUERIES = {"gbt_regression", "mlp_classifier", "gbt_cv", "mlp_cv", "model_comparison", "run_report",
-                 "feature_importance", "batch_scoring"}
+MODEL_QUERIES = {n for n, q in REGISTRY.items() if q.fn.__module__.endswith("queries_models")}
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - MODEL_QUERIES))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - MODEL_QUERIES))
 def test_no_cartesian_products_or_python_udfs(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_SMALL))
     assert not [f for f in FORBIDDEN if f in plan], plan
