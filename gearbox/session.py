@@ -9,6 +9,7 @@ master (tests, laptops) do we create our own.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -68,10 +69,32 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder for an intermediate table."""
+    """A fresh, unique path under the shared folder for an intermediate table.
+    Results are read lazily, so tables stay until ``release_scratch``, at the
+    latest when the driver's process ends."""
     base = shared_dir(spark).rstrip("/")
-    return f"{base}/gearbox-tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/gearbox-tables/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(release_scratch)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def release_scratch() -> None:
+    """Delete the intermediate tables of this process; what was derived from them
+    must have been written or collected."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        except Exception:  # the session is gone: nothing to delete through
+            continue
 
 
 def sf_path(sf_dir: str, table: str) -> str:
