@@ -8,8 +8,8 @@ replacement draws the texts with the largest sum of ``sharpness`` times the
 log importance per n-gram and a Gumbel number seeded by the id (Gumbel
 top-k).  The mean per n-gram keeps long texts comparable with short ones.
 
-Both counts are over whole tables: every task sums its own bucket vector, so
-what is moved is a vector per task.  The top k is cut at a threshold found by
+Both are counted in one pass over the texts: every task sums its own bucket
+vectors, so what is moved is two vectors per task.  The top k is cut at a threshold found by
 a distributed histogram (no global sort): bins of the key by its leading bits
 are counted, and only the bin in which the k-th key lies is put in order.
 
@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 from gearbox.llm.common import id_and_text, materialise
 
 BUCKETS = 1 << 16
+MAX_TARGET = 100_000   # labelled good texts that the target model is counted over (smallest id hashes)
 SMOOTHING = 0.5        # added to every bucket's count
 SHARPNESS = 50.0       # log importance per n-gram against Gumbel noise of scale 1
 SEED = "quality-1"
@@ -67,22 +68,32 @@ class Hashes:
         return (np.concatenate([words, pairs]) % self.buckets).astype(np.int64)
 
 
-def bucket_counts(df: DataFrame, text_col: str = "text", buckets: int = BUCKETS) -> np.ndarray:
-    """Occurrences in every bucket over all rows; each task moves one vector."""
+def bucket_counts(df: DataFrame, good: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences in every bucket over the rows whose id is in ``good`` (column
+    ``good_id``, at most MAX_TARGET rows) and over all rows, in one pass; each
+    task moves one vector of either."""
+    marked = (id_and_text(df, id_col, text_col).join(F.broadcast(good), F.col(id_col) == F.col("good_id"), "left")
+              .select(F.col(text_col).alias("text"), F.col("good_id").isNotNull().alias("good")))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = Hashes(buckets), np.zeros(buckets, dtype=np.int64)
+        hashes, total = Hashes(buckets), np.zeros((2, buckets), dtype=np.int64)
         for b in batches:
-            for text in b.column(0).to_pylist():
-                total += np.bincount(hashes.grams(text), minlength=buckets)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
-
-    rows = (df.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, "bucket int, n bigint")
-            .groupBy("bucket").agg(F.sum("n").alias("n")).collect())  # at most ``buckets`` rows
-    out = np.zeros(buckets, dtype=np.float64)
+            for text, is_good in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                n = np.bincount(hashes.grams(text), minlength=buckets)
+                total[0] += n
+                if is_good:
+                    total[1] += n
+        at = np.flatnonzero(total[0])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[0][at]), pa.array(total[1][at])],
+                                         names=["bucket", "n", "good"])
+
+    rows = (marked.mapInArrow(run, "bucket int, n bigint, good bigint").groupBy("bucket")
+            .agg(F.sum("n").alias("n"), F.sum("good").alias("good")).collect())  # at most ``buckets`` rows
+    target, raw = np.zeros(buckets), np.zeros(buckets)
     for r in rows:
-        out[r["bucket"]] = r["n"]
-    return out
+        raw[r["bucket"]], target[r["bucket"]] = r["n"], r["good"]
+    return target, raw
 
 
 def importance(df: DataFrame, target: np.ndarray, raw: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -128,9 +139,10 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              label_col: str = "quality", share: float | None = None, sharpness: float = SHARPNESS, seed: str = SEED,
              buckets: int = BUCKETS) -> DataFrame:
     """The rows drawn: ``<id>, n_grams, log_importance, key``."""
-    good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("good_id")).where(F.col("good_id").isNotNull()).distinct()
-    target = bucket_counts(docs.join(good, docs[id_col] == good["good_id"], "left_semi"), text_col, buckets)
-    raw = bucket_counts(docs, text_col, buckets)
+    good = materialise(
+        labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("good_id")).distinct()
+        .orderBy(F.xxhash64(F.col("good_id").cast("string"), F.lit(seed)), "good_id").limit(MAX_TARGET), "quality-target")
+    target, raw = bucket_counts(docs, good, id_col, text_col, buckets)
     scored = importance(docs, target, raw, id_col, text_col)
     keyed = materialise(scored.withColumn(
         "key", F.lit(sharpness) * F.col("log_importance") / F.greatest(F.col("n_grams"), F.lit(1))

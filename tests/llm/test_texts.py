@@ -131,8 +131,9 @@ def test_bucket_counts_and_importance(spark):
     texts = ["a b, c!! a", "", "x | y | z", "A B"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
     hashes = quality.Hashes(64)
-    want = sum(np.bincount(hashes.grams(t), minlength=64) for t in texts)
-    assert (quality.bucket_counts(df, buckets=64) == want).all()
+    each = [np.bincount(hashes.grams(t), minlength=64) for t in texts]
+    target, raw = quality.bucket_counts(df, spark.createDataFrame([(0,), (3,), (77,)], "good_id long"), buckets=64)
+    assert (raw == sum(each)).all() and (target == each[0] + each[3]).all()
     target, raw = np.arange(64) + 0.0, np.full(64, 3.0)
     p, q = (target + 0.5) / (target + 0.5).sum(), (raw + 0.5) / (raw + 0.5).sum()
     for r in quality.importance(df, target, raw).collect():
