@@ -4,12 +4,9 @@ intermediate tables and connected components."""
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gearbox.session import scratch_path, shared_dir
 
@@ -41,11 +38,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                schema: T.StructType | str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def word_count(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` words (0 for null)."""
     spaced = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
