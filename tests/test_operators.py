@@ -26,8 +26,8 @@ from gearbox.operators.layout import (
 from gearbox.operators.metrics import classification_metrics, regression_metrics
 from gearbox.operators.ordering import target_partitions, with_global_index
 from gearbox.operators.stats import exact_percentiles, row_counts
-from gearbox.plans.jobs import clean_part_job, csv_to_parquet_job, quarantine_job
-from gearbox.schema import GBT_CATEGORICALS, KEY, LISTINGS, MLP_CATEGORICALS, NUMERIC_FEATURES
+from gearbox.plans.jobs import clean_part_job, quarantine_job
+from gearbox.schema import GBT_CATEGORICALS, KEY, MLP_CATEGORICALS, NUMERIC_FEATURES
 from gearbox.sinks.writers import write_csv, write_if_nonempty, write_parquet
 from gearbox.sources.fixtures import listings, listings_raw, table
 from gearbox.sources.readers import read_csv, read_existing_parquet, read_first_available, read_parquet
