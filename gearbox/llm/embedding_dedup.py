@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gearbox.llm.common import connected_components, materialise
+from gearbox.llm.common import connected_components, map_in_arrow, materialise
 
 THRESHOLD = 0.95
 SAMPLE = 2048
@@ -195,7 +195,7 @@ def _links(classes: DataFrame, dim: int, threshold: float) -> DataFrame:
                 d = distances(_matrix(b.column(0), dim), centres)
                 yield pa.RecordBatch.from_arrays([pa.array(d.argmin(axis=1), pa.int32()), pa.array(d.min(axis=1))], names=["node", "d"])
 
-    stats = {s["node"]: s for s in mine.select("v").mapInArrow(assign, "node int, d double").groupBy("node")
+    stats = {s["node"]: s for s in mine.select("v").transform(map_in_arrow, assign, "node int, d double").groupBy("node")
              .agg(F.max("d").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}  # TOP rows at most
     radius = np.array([stats[k]["radius"] if k in stats else -10.0 for k in range(len(centres))])
     blocks = np.array([-(-stats[k]["n"] // BLOCK) if k in stats else 0 for k in range(len(centres))])
@@ -224,7 +224,7 @@ def _links(classes: DataFrame, dim: int, threshold: float) -> DataFrame:
 
     kind = classes.schema["v"].dataType.simpleString()
     dealt = (mine.select("class", "n", "v", F.pmod(F.xxhash64("class"), F.lit(1 << 30)).alias("h"))
-             .mapInArrow(deal, f"pair bigint, block bigint, class bigint, n bigint, v {kind}"))
+             .transform(map_in_arrow, deal, f"pair bigint, block bigint, class bigint, n bigint, v {kind}"))
 
     def compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         pair = rows.column(0)[0].as_py()
@@ -272,7 +272,7 @@ def _links(classes: DataFrame, dim: int, threshold: float) -> DataFrame:
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_pairs = int(first[-1]) * (int(first[-1]) + 1) // 2
     return (dealt.repartition(max(1, parts, min(n_pairs, 4 * parts)), "pair").sortWithinPartitions("pair", "block", "class")
-            .mapInArrow(run, "a bigint, links bigint, b bigint, edge boolean"))
+            .transform(map_in_arrow, run, "a bigint, links bigint, b bigint, edge boolean"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gearbox.llm.common import id_and_text, tokenizer_path
+from gearbox.llm.common import id_and_text, map_in_arrow, tokenizer_path
 from gearbox.llm.tokenizing import ByteBpe
 
 WINDOW = 1024
@@ -161,7 +161,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
             write(packer.finish())
             yield batch()
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(map_in_arrow, run, schema)
 
 
 def digest(pieces: DataFrame) -> DataFrame:

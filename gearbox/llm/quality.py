@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gearbox.llm.common import id_and_text, materialise
+from gearbox.llm.common import id_and_text, map_in_arrow, materialise
 
 BUCKETS = 1 << 16
 MAX_TARGET = 100_000   # labelled good texts that the target model is counted over (smallest id hashes)
@@ -88,7 +88,7 @@ def bucket_counts(df: DataFrame, good: DataFrame, id_col: str = "doc_id", text_c
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[0][at]), pa.array(total[1][at])],
                                          names=["bucket", "n", "good"])
 
-    rows = (marked.mapInArrow(run, "bucket int, n bigint, good bigint").groupBy("bucket")
+    rows = (marked.transform(map_in_arrow, run, "bucket int, n bigint, good bigint").groupBy("bucket")
             .agg(F.sum("n").alias("n"), F.sum("good").alias("good")).collect())  # at most ``buckets`` rows
     target, raw = np.zeros(buckets), np.zeros(buckets)
     for r in rows:
@@ -112,7 +112,7 @@ def importance(df: DataFrame, target: np.ndarray, raw: np.ndarray, id_col: str =
                                               pa.array([float(ratio[g].sum()) for g in grams], pa.float64())],
                                              names=schema.fieldNames())
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(map_in_arrow, run, schema)
 
 
 def gumbel(seed: str, *columns: Column) -> Column:

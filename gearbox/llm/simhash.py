@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gearbox.llm.common import connected_components, id_and_text, materialise
+from gearbox.llm.common import connected_components, id_and_text, map_in_arrow, materialise
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -79,7 +79,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64), pa.int64()), b.column(2)],
                                              names=schema.fieldNames())
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(map_in_arrow, run, schema)
 
 
 # ---------------------------------------------------------------- one block
@@ -189,7 +189,7 @@ def link(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
             yield out(held)
 
     parts = max(1, int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return (dealt.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(run, "a bigint, b bigint")
+    return (dealt.repartition(parts, "block").sortWithinPartitions("block").transform(map_in_arrow, run, "a bigint, b bigint")
             .distinct())
 
 

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gearbox.llm.common import id_and_text
+from gearbox.llm.common import id_and_text, map_in_arrow
 
 CHAIN = 2
 # Very common words of English, German, French and Spanish.
@@ -121,7 +121,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             sets = [signer.signatures(t).view(np.int64) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=schema.fieldNames())
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(map_in_arrow, run, schema)
 
 
 # ---------------------------------------------------------------- a text, its edited copy and its neighbour
@@ -206,7 +206,7 @@ def edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chain:
             if rows:
                 yield out()
 
-    return dealt.mapInArrow(run, schema)
+    return dealt.transform(map_in_arrow, run, schema)
 
 
 # ---------------------------------------------------------------- all similar pairs

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gearbox.llm.common import id_and_text, tokenizer_path
+from gearbox.llm.common import id_and_text, map_in_arrow, tokenizer_path
 from gearbox.llm.tokenizing import WordBpe, library
 
 CHUNK_CHARS = 1 << 16
@@ -111,4 +111,4 @@ def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64())],
                                              names=schema.fieldNames())
 
-    return docs.mapInArrow(run, schema).withColumn("over_limit", F.col("n_tokens") > F.lit(limit))
+    return docs.transform(map_in_arrow, run, schema).withColumn("over_limit", F.col("n_tokens") > F.lit(limit))

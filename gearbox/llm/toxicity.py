@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gearbox.llm.common import id_and_text, materialise
+from gearbox.llm.common import id_and_text, map_in_arrow, materialise
 
 THRESHOLD = 0.3
 MAX_TRAIN = 8_000
@@ -254,7 +254,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                                                   pa.array(seen.tolist(), pa.list_(pa.float64()))], names=["label", "whole", "x"])
 
     # at most max_rows texts; equal rows are counted, of which few differ
-    data = (rows.mapInArrow(run, "label int, whole boolean, x array<double>").groupBy("label", "whole", "x").agg(F.count(F.lit(1)).alias("n"))
+    data = (rows.transform(map_in_arrow, run, "label int, whole boolean, x array<double>").groupBy("label", "whole", "x").agg(F.count(F.lit(1)).alias("n"))
             .orderBy("label", "whole", "x").collect()) if landmarks else []
     y = np.array([1.0 if r["label"] == 1 else -1.0 for r in data])
     if len(set(y.tolist())) < 2:
@@ -307,7 +307,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
                 [b.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))] + [b.column(i) for i in range(2, b.num_columns)],
                 names=schema.fieldNames())
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(map_in_arrow, run, schema)
 
 
 def held_out(id_col):
