@@ -31,6 +31,8 @@ from gearbox.plans.training import cv_report, gbt_cv_run, gbt_run, mlp_cv_run, m
 from gearbox.schema import GBT_CATEGORICALS, KEY, MLP_CATEGORICALS, NUMERIC_FEATURES
 from gearbox.sources.fixtures import listings_table, source_state
 
+CV_PARALLELISM = 4  # configurations fitted at a time: small fits leave cores idle
+
 _RUNS: dict[tuple, object] = {}
 
 
@@ -50,12 +52,14 @@ def _mlp(spark, sf_dir):
 
 
 def _gbt_cv(spark, sf_dir):
-    return _cached(spark, sf_dir, "gbt_cv", lambda: gbt_cv_run(listings_table(spark, sf_dir), GBT_REFERENCE_GRID))
+    return _cached(spark, sf_dir, "gbt_cv", lambda: gbt_cv_run(listings_table(spark, sf_dir), GBT_REFERENCE_GRID,
+                                                               parallelism=CV_PARALLELISM))
 
 
 def _mlp_cv(spark, sf_dir):
     preset = {"hidden": MLP_CV_HIDDEN, "maxIter": 100, "blockSize": 128}
-    return _cached(spark, sf_dir, "mlp_cv", lambda: mlp_cv_run(listings_table(spark, sf_dir), MLP_REFERENCE_GRID, preset))
+    return _cached(spark, sf_dir, "mlp_cv", lambda: mlp_cv_run(listings_table(spark, sf_dir), MLP_REFERENCE_GRID, preset,
+                                                               parallelism=CV_PARALLELISM))
 
 
 def _beats_group_mean(run, key: str = "engine_hp") -> bool:
