@@ -6,8 +6,10 @@ A line is what stands between newlines; its words are separated by white
 space, and white space around and between them does not count.  A line goes if
 an earlier line (by document id, then position) has the same words, or, for
 lines of at least ``MIN_WORDS`` words, words within one edit (a word changed,
-put in or left out: similarity of 0.8 or more).  The earliest stays.  Blank lines
-always stay, and a document whose lines all go stays with an empty text.
+put in or left out).  The bound is one edit whatever the line's length: a
+similarity of 0.8 at 5 words, 0.98 at 50, so long lines with more edits stay
+(the README has their share).  The earliest stays.  Blank lines always stay, and
+a document whose lines all go stays with an empty text.
 
 Equal lines are grouped by a 128-bit hash.  Near lines come from a
 deletion-neighbourhood join: a line emits one hashed variant for every word
