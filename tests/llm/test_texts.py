@@ -63,6 +63,24 @@ def test_contexts_find_unseen_identifiers(spark):
     assert all(got[i].startswith("phone:18:") for i in range(20))
 
 
+def test_contexts_find_identifiers_of_other_shapes(spark):
+    texts = [f"please call me at +1 (555) 010-{1000 + i} tomorrow" for i in range(20)]
+    texts += [f"write to mail:user{i}@corp{i}.example or wait" for i in range(20)]
+    texts += [f"the server (10.0.3.{i}) answers" for i in range(20)]
+    cases = {"call me at 555 010 7777 today": "phone:555 010 7777", "call me at 4711, please": "phone:4711",
+             "write to mail:jane(at)corp.example": "email:jane(at)corp.example",
+             "so mail:jane at corp dot example it is": "email:jane at corp dot example",
+             "our server (10[.]0[.]0[.]1) too": "ip:10[.]0[.]0[.]1",
+             "or 555 010 9999 tomorrow": "phone:555 010 9999",  # by what is behind it
+             "it cost 4711 units": "", "call me at noon": "", "mail:555 010 7777": "", "look at home": ""}
+    texts += list(cases)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(pii.extract(df)).collect()}
+    for i, (text, want) in enumerate(cases.items()):
+        spans = [s.split(":") for s in got[60 + i].split(",") if s]
+        assert ",".join(f"{k}:{text[int(a):int(b)]}" for k, a, b in spans) == want, text
+
+
 def test_pii_runs_no_python(spark):
     plan = pii._base(spark.createDataFrame([(1, "x")], "doc_id long, text string"), "text")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
