@@ -19,10 +19,14 @@ words with at least ``MIN_DIGITS`` digits, for any kind.  Seeds are the base
 spans, score 1 for their kind.  In every round a pattern's confidence in a kind
 is the mean score of its distinct instances, and a candidate's score the chance
 that at least one of its patterns is right (1 - product of 1 - confidence).
-After ``ROUNDS`` rounds, candidates beside a pattern with confidence of at least
-``CONFIDENCE`` that ``MIN_SEEDS`` different seeds support become spans of the
-pattern's kind, the more confident one's where two disagree.  Patterns and
-instances are grouped by partial aggregation, so a common one is no hot key.
+After ``ROUNDS`` rounds, patterns with confidence of at least ``CONFIDENCE`` that
+``MIN_SEEDS`` different seeds support are trusted, and candidates beside them
+are believed: with their scores they are seeds of the next ``ROUNDS`` rounds,
+which start anew, so that a pattern is trusted for what others found and never
+for its own candidates.  This goes on until no new pattern is trusted; a trusted
+one stays.  Candidates beside a trusted pattern become spans of its kind, the
+more confident one's where two disagree.  Patterns and instances are grouped by
+partial aggregation, so a common one is no hot key.
 
 Defined results: a null text is empty; repeated rows get the same spans; a null
 id is carried along; texts without mentions have empty spans; an empty table
@@ -203,23 +207,36 @@ def _trusted(mentions: DataFrame) -> DataFrame:
              .where(_may_be(F.col("shapes"), F.col("kind"))).drop("shapes"))
     in_base = base.groupBy("context").agg(F.count(F.lit(1)).alias("in_base"))
     in_shape = maybe.groupBy("context", "kind").agg(F.count(F.lit(1)).alias("in_shape"))
-    patterns = None
-    for _ in range(ROUNDS):
-        scored = base.select("context", "kind", F.lit(1.0).alias("score"), F.lit(1).alias("seed"))
-        if patterns is not None:
-            believed = (maybe.join(patterns.select("context", "kind", "confidence"), ["context", "kind"])
-                        .groupBy("instance", "kind")
-                        .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))).alias("score")))
-            scored = scored.union(maybe.join(believed, ["instance", "kind"])
-                                  .select("context", "kind", "score", F.lit(0).alias("seed")))
-        patterns = materialise(
-            scored.groupBy("context", "kind").agg(F.sum("score").alias("sum"), F.sum("seed").alias("seeds"))
-            .join(in_base, "context", "left").join(in_shape, ["context", "kind"], "left")
-            .select("context", "kind", "seeds", (F.col("sum") / (F.coalesce("in_base", F.lit(0)) + F.coalesce("in_shape", F.lit(0))))
-                    .alias("confidence")), "pii-patterns")
-    best = patterns.where((F.col("confidence") >= CONFIDENCE) & (F.col("seeds") >= MIN_SEEDS))
-    chosen = F.max(F.struct("confidence", "seeds", "kind")).alias("chosen")
-    return best.groupBy("context").agg(chosen).select("context", "chosen.kind", "chosen.confidence")
+    seeds = base.select("context", "kind", F.lit(1.0).alias("score"), F.lit(1).alias("seed"))
+    score = (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))).alias("score")
+    behind = lambda patterns: (maybe.join(patterns.select("context", "kind", "confidence"), ["context", "kind"])
+                               .groupBy("instance", "kind").agg(score))
+    trusted = believed = None
+    while True:
+        patterns = None
+        for _ in range(ROUNDS):
+            scored = seeds
+            scores = believed if patterns is None else behind(patterns).withColumn("seed", F.lit(0))
+            if scores is not None:
+                if patterns is not None and believed is not None:  # what is believed stays so in these rounds
+                    scores = scores.union(believed).groupBy("instance", "kind").agg(
+                        F.max("score").alias("score"), F.max("seed").alias("seed"))
+                scored = scored.union(maybe.join(scores, ["instance", "kind"]).select("context", "kind", "score", "seed"))
+            patterns = materialise(
+                scored.groupBy("context", "kind").agg(F.sum("score").alias("sum"), F.sum("seed").alias("seeds"))
+                .join(in_base, "context", "left").join(in_shape, ["context", "kind"], "left")
+                .select("context", "kind", "seeds", (F.col("sum") / (F.coalesce("in_base", F.lit(0)) + F.coalesce("in_shape", F.lit(0))))
+                        .alias("confidence")), "pii-patterns")
+        best = patterns.where((F.col("confidence") >= CONFIDENCE) & (F.col("seeds") >= MIN_SEEDS))
+        chosen = F.max(F.struct("confidence", "seeds", "kind")).alias("chosen")
+        new = best.groupBy("context").agg(chosen).select("context", "chosen.kind", "chosen.confidence")
+        if trusted is not None:
+            new = new.join(trusted, "context", "left_anti")
+        new = materialise(new, "pii-trusted")
+        if new.isEmpty():
+            return new if trusted is None else trusted
+        trusted = new if trusted is None else materialise(trusted.union(new), "pii-trusted")
+        believed = materialise(behind(trusted).withColumn("seed", F.lit(1)), "pii-believed")
 
 
 def extract(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -81,6 +81,23 @@ def test_contexts_find_identifiers_of_other_shapes(spark):
         assert ",".join(f"{k}:{text[int(a):int(b)]}" for k, a, b in spans) == want, text
 
 
+def test_found_identifiers_seed_further_contexts(spark):
+    """Base spans support the first context only; the second is trusted for what was found there, the others lack support."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("bcdfghjk") for _ in range(7))
+    texts = [f"call me at +1 (555) 010-{1000 + i} {word()} {word()}" for i in range(40)]
+    texts += [f"call me at 555-020-{1000 + i} {word()} {word()}" for i in range(8)]
+    texts += [f"fax goes under 555-020-{1000 + i} {word()} {word()}" for i in range(8)]
+    texts += [f"fax goes under 555-030-{1000 + i} {word()} {word()}" for i in range(2)]
+    texts += [f"my number is 555-030-{1000 + i} {word()} {word()}" for i in range(2)]  # two of five: not enough
+    texts += [f"my number is 555-040-{1000 + i} {word()} {word()}" for i in range(3)]
+    texts += [f"ring us on 555-020-{1000 + i} {word()} {word()}" for i in range(4)]  # a context of four instances
+    texts += [f"parts cost them 555-050-{1000 + i} {word()} {word()}" for i in range(9)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    added = {r["doc_id"] for r in pii.digest(pii.extract(df)).collect() if r["n_added"]}
+    assert added == set(range(40, 58))
+
+
 def test_pii_runs_no_python(spark):
     plan = pii._base(spark.createDataFrame([(1, "x")], "doc_id long, text string"), "text")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
