@@ -3,9 +3,11 @@
 Documents are aggregated by membership pattern (the set of sources they belong
 to): a pattern can give its words once at cost 1, a second time at cost 2 and
 so on (convex costs: repeating is the last resort), and each source has a
-quota.  The flow from patterns over memberships into quotas is solved on the
-pattern table, whose size does not follow the documents: its bound
-``MAX_PATTERNS`` is checked.
+quota.  Sizes, targets and quotas are aggregations and joins, for any number of
+sources.  A source without documents of several sources needs no flow: it gives
+its quota.  Sources connected by documents of several sources are a group; the
+flow from the group's patterns over memberships into its quotas is solved in a
+task, and a group of more than ``MAX_PATTERNS`` patterns raises an error.
 
 Within a pattern, the flow beyond whole repetitions is selected by a seeded
 hash of the document id: documents in hash order up to that many words.  The
@@ -22,14 +24,15 @@ table gives no rows.
 
 from __future__ import annotations
 
-import json
 from collections import deque
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gearbox.llm.common import SPACES, materialise, word_count
+from gearbox.llm.common import SPACES, connected_components, map_in_arrow, materialise, word_count
+from gearbox.operators.ordering import with_global_index
 
 SHARE = 1.5
 MAX_REPEATS = 2
@@ -102,6 +105,56 @@ def min_cost_flow(capacity: dict[str, int], members: dict[str, list[str | None]]
     return {p: {s: arcs[k ^ 1][1] for s, k in r.items()} for p, r in route.items()}
 
 
+def _goals(each: DataFrame, weights: Sequence[float], share: float, max_repeats: int) -> DataFrame:
+    """``source, at, size, target, quota`` from ``each (source, words)``: ``targets``
+    as aggregations, all sources above the level stopped at once until none is."""
+    sizes = each.groupBy("source").agg(F.sum("words").alias("size"))
+    ranked, _ = with_global_index(sizes, [F.col("source").asc_nulls_last()], "at", tiebreak=False)
+    turn = F.array(*[F.lit(float(w)) for w in weights])
+    sources = materialise(ranked.withColumn("weight", F.get(turn, (F.col("at") % len(weights)).cast("int"))), "mix-sources")
+    total = share * (sources.agg(F.sum("size")).first()[0] or 0)
+    level, n_capped, capped = 0.0, -1, F.lit(False)
+    while True:
+        found = sources.agg(F.count_if(capped).alias("n"), F.sum(F.when(capped, F.col("size"))).alias("full"),
+                            F.sum(F.when(~capped, F.col("weight"))).alias("weight")).first()
+        if found["n"] == n_capped:
+            break
+        n_capped = found["n"]
+        if not found["weight"]:  # no source is left to deal to
+            break
+        level = (total - max_repeats * (found["full"] or 0)) / found["weight"]
+        capped = F.lit(level) * F.col("weight") > max_repeats * F.col("size")
+    target = F.when(capped, (max_repeats * F.col("size")).cast("double")).otherwise(F.lit(level) * F.col("weight"))
+    return materialise(sources.withColumn("target", target)
+                       .select("source", "at", "size", "target", F.floor("target").cast("long").alias("quota")), "mix-goals")
+
+
+def _flows(part_of: DataFrame, max_repeats: int) -> DataFrame:
+    """``pattern, given`` for the patterns of connected sources, from ``part_of (pattern, words, at, quota, several)``."""
+    several = part_of.where("several")
+    low = several.groupBy("pattern").agg(F.min("at").alias("low"))
+    groups = connected_components(several.join(low, "pattern").select(F.col("at").alias("a"), F.col("low").alias("b")))
+    grouped = materialise(part_of.join(groups, F.col("at") == F.col("node")), "mix-groups")
+    most = grouped.groupBy("component").agg(F.count_distinct("pattern").alias("n")).agg(F.max("n")).first()[0] or 0
+    if most > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} membership patterns of connected sources: group rare sources first")
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in batch.column(0).to_pylist():
+                members: dict = {}
+                for r in rows:
+                    members.setdefault(r["pattern"], []).append(r["at"])
+                flow = min_cost_flow({r["pattern"]: r["words"] for r in rows}, {p: sorted(m) for p, m in members.items()},
+                                     {r["at"]: r["quota"] for r in sorted(rows, key=lambda r: r["at"])}, max_repeats)
+                yield pa.RecordBatch.from_arrays([pa.array(list(flow), pa.string()),
+                                                  pa.array([sum(f.values()) for f in flow.values()], pa.int64())],
+                                                 names=["pattern", "given"])
+
+    rows = grouped.groupBy("component").agg(F.collect_list(F.struct("pattern", "words", "at", "quota")).alias("rows"))
+    return map_in_arrow(rows.select("rows"), solve, "pattern string, given long")
+
+
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", members: Column | None = None,
         weights: Sequence[float] = WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS,
         seed: str = SEED) -> DataFrame:
@@ -112,39 +165,45 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", members:
     ``source`` alone).  Sources by code point, null last, take ``weights`` in
     turn, repeating.
     """
-    spark = df.sparkSession
     members = F.array(F.col("source")) if members is None else members
     sized = materialise(df.select(F.col(id_col), word_count(F.col(text_col)).alias("size"),
-                                  F.to_json(F.sort_array(F.array_distinct(members))).alias("pattern"),
+                                  F.sort_array(F.array_distinct(members)).alias("members"),
                                   F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-                                  .alias("place")), "mix")
-    patterns = (sized.groupBy("pattern").agg(F.sum("size").alias("words")).limit(MAX_PATTERNS + 1).collect())
-    if len(patterns) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns: group rare sources first")
-    capacity = {r["pattern"]: r["words"] for r in patterns if r["pattern"] is not None}
-    of = {p: json.loads(p) for p in capacity}
-    sources = sorted({s for m in of.values() for s in m}, key=lambda s: (s is None, s or ""))
-    sizes = [sum(capacity[p] for p in capacity if s in of[p]) for s in sources]
-    goal = dict(zip(sources, targets(sizes, [weights[i % len(weights)] for i in range(len(sources))], share, max_repeats)))
-    size = dict(zip(sources, sizes))
-    flow = min_cost_flow(capacity, of, {s: int(goal[s]) for s in sources}, max_repeats)
-    plan = []
-    for p in capacity:
-        words = sum(flow[p].values())
-        whole, rest = divmod(words, capacity[p]) if capacity[p] else (0, 0)
-        plan.append((p, whole, rest, [size[s] for s in of[p]], [goal[s] for s in of[p]]))
-    plan = spark.createDataFrame(plan, "pattern string, whole long, rest long, source_size array<long>, target array<double>")
+                                  .alias("place")).withColumn("pattern", F.to_json("members")), "mix")
+    patterns = materialise(sized.where(F.col("pattern").isNotNull()).groupBy("pattern")
+                           .agg(F.sum("size").alias("words"), F.first("members").alias("members")), "mix-patterns")
+    each = patterns.select("pattern", "words", (F.size("members") > 1).alias("several"),
+                           F.posexplode("members").alias("pos", "own"))
+    goals = _goals(each.select(F.col("own").alias("source"), "words"), weights, share, max_repeats)
+    part_of = materialise(each.join(goals, F.col("own").eqNullSafe(F.col("source"))).drop("own", "source"), "mix-members")
+    alone = F.when(F.col("n") == 1, F.least("quota", max_repeats * F.col("words"))).otherwise(F.lit(0))
+    plan = (part_of.groupBy("pattern").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "size", "target"))).alias("of"), F.first("quota").alias("quota"),
+        F.first("words").alias("words"), F.count(F.lit(1)).alias("n"))  # the sources of one document
+        .select("pattern", "words", F.transform("of", lambda x: x["size"]).alias("source_size"),
+                F.transform("of", lambda x: x["target"]).alias("target"), alone.alias("given")))
+    if not part_of.where("several").isEmpty():
+        flows = _flows(part_of, max_repeats).withColumnRenamed("given", "flow")
+        plan = plan.join(flows, "pattern", "left").withColumn("given", F.coalesce("flow", "given"))
+    none = patterns.where(F.size("members") == 0).select(
+        "pattern", "words", F.array().cast("array<bigint>").alias("source_size"), F.array().cast("array<double>").alias("target"),
+        F.lit(0).cast("long").alias("given"))
+    plan = plan.select("pattern", "words", "source_size", "target", "given").union(none)
+    plan = materialise(plan.select(
+        "pattern", F.when(F.col("words") > 0, F.expr("given div words")).otherwise(F.lit(0)).alias("whole"),
+        F.when(F.col("words") > 0, F.expr("given % words")).otherwise(F.lit(0)).alias("rest"), "source_size", "target"), "mix-plan")
+    small = (lambda side: F.broadcast(side)) if plan.count() <= MAX_PATTERNS else (lambda side: side)
 
     # the bin in which each pattern's cut lies
     binned = sized.withColumn("bin", F.substring("place", 1, 4))
     bins = binned.groupBy("pattern", "bin").agg(F.sum("size").alias("words"))
     running = Window.partitionBy("pattern").orderBy("bin")
     cut = (bins.withColumn("before", F.sum("words").over(running) - F.col("words"))
-           .join(F.broadcast(plan.select("pattern", "rest")), "pattern")  # MAX_PATTERNS rows at most
+           .join(small(plan.select("pattern", "rest")), "pattern")  # MAX_PATTERNS rows at most, or no broadcast
            .where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words")))
            .select("pattern", F.col("bin").alias("cut"), "before"))
-    rows = (binned.join(F.broadcast(plan), "pattern", "left")
-            .join(F.broadcast(cut), "pattern", "left"))  # a row for each pattern at most
+    rows = (binned.join(small(plan), "pattern", "left")
+            .join(small(cut), "pattern", "left"))  # a row for each pattern at most
     in_cut = rows.where(F.col("bin") == F.col("cut"))
     order = Window.partitionBy("pattern").orderBy("place", F.col(id_col).asc_nulls_last(), "size") \
         .rowsBetween(Window.unboundedPreceding, -1)

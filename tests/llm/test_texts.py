@@ -3,6 +3,7 @@ exact round trips and held-out labels."""
 
 import hashlib
 import itertools
+import json
 import random
 import re
 import zlib
@@ -345,6 +346,28 @@ def test_overlapping_sources_and_rows(spark):
     assert {r["doc_id"]: r["n"] for r in out} == {i: n for i, n in taken.items() if n}
 
 
+def test_more_sources_than_the_flow_takes(spark, monkeypatch):
+    """Sources without common documents, and small groups of sources, beyond MAX_PATTERNS altogether."""
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 20)
+    rng = random.Random(14)
+    rows = [(i, " ".join(["w"] * rng.randint(0, 30)), [f"s{i % 90:02}"]) for i in range(300)]
+    rows += [(300 + i, "w " * rng.randint(1, 30), [f"s{2 * k:02}", f"s{2 * k + 1:02}"]) for i, k in enumerate([*range(25)] * 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>").repartition(4)
+    got = {r["doc_id"]: r for r in mixing.mix(df, members=F.col("sources")).collect()}
+    size = {i: len(t.split()) for i, t, _ in rows}
+    members = {i: s for i, _, s in rows}
+    cap, of, quota = _instance(rows, size)
+    flow = mixing.min_cost_flow(cap, of, quota)
+    total = {p: 0 for p in cap}
+    for i, r in got.items():
+        assert len(r["target"]) == len(members[i]) and [int(t) for t in r["target"]] == [quota[s] for s in members[i]]
+        total[json.dumps(members[i])] += r["taken"]
+    assert len(got) == 350 and sum(total.values()) == sum(sum(f.values()) for f in flow.values())
+    cost = lambda t: sum(min(n, cap[p]) + 2 * max(0, n - cap[p]) for p, n in t.items())
+    assert cost(total) == cost({p: sum(f.values()) for p, f in flow.items()})
+    assert all(total[p] == sum(flow[p].values()) for p in cap if len(of[p]) == 1 and int(of[p][0][1:]) >= 50)
+
+
 def _instance(rows, size):
     import json
 
