@@ -1,12 +1,12 @@
-"""Token counts by a finite-state transducer over chunks.
+"""Token counts by the tokenizer, over chunks of long texts.
 
 For a word vocabulary (its pre-tokenizer never joins across white space) the
 tokenizer is a transducer that reads a text from left to right: its state is
 the word begun but not yet ended, and the transition that ends a word emits
-the number of tokens of that word.  Transitions are compiled from the
-vocabulary's merges (``tokenizing.WordBpe``).
+the number of tokens of that word.  No transitions are compiled: words are
+counted by the tokenizer libraries (``tokenizing.WordBpe``).
 
-A text is cut into chunks of ``chunk_chars``.  A chunk alone does not know its
+A text of more than ``chunk_chars``, which few have, is cut into chunks of ``chunk_chars``.  A chunk alone does not know its
 entry state, so it yields its state map ``(head, inner, tail)``: the part that
 completes the word it may begin in, the tokens emitted between, and the word
 it leaves open; ``head`` alone when no word ends in it.  Maps compose
