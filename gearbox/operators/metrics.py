@@ -108,15 +108,18 @@ def cv_group_mean(train: DataFrame, keys: Sequence[str], alphas: Sequence[float]
     # statistics of the training folds for each (held-out fold, key): all folds
     # minus this one; the window groups hold one row per fold (at most k rows)
     same_key = Window.partitionBy("key_col", "key_value")
-    # totals per fold and key column, then all folds minus this one: k rows per key column
-    of_fold = Window.partitionBy("key_col", fold_col)
-    of_all = Window.partitionBy("key_col")
+    # mean of all folds minus this one: totals of the checkpointed table, a row per key column and fold
+    totals = per_fold_key.groupBy("key_col", fold_col).agg(F.sum("_s").alias("s"), F.sum("_c").alias("c")).collect()
+    m = F.lit(None).cast("double")
+    for r in totals:
+        others = [t for t in totals if t["key_col"] == r["key_col"] and t[fold_col] != r[fold_col]]
+        n = sum(t["c"] for t in others)
+        m = F.when((F.col("key_col") == r["key_col"]) & F.col(fold_col).eqNullSafe(F.lit(r[fold_col])),
+                   F.lit(float(sum(t["s"] for t in others)) / n if n else None).cast("double")).otherwise(m)
     comp = per_fold_key.select(
         fold_col, "key_col", "_s", "_c", "_v",
         (F.sum("_s").over(same_key) - F.col("_s")).alias("_ks"),
-        (F.sum("_c").over(same_key) - F.col("_c")).alias("_kc"),
-        ((F.sum("_s").over(of_all) - F.sum("_s").over(of_fold))
-         / F.nullif(F.sum("_c").over(of_all) - F.sum("_c").over(of_fold), F.lit(0))).alias("_m"))
+        (F.sum("_c").over(same_key) - F.col("_c")).alias("_kc"), m.alias("_m"))
     mean = F.col("_s") / F.col("_c")
     sq = []
     for a in alphas:

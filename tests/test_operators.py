@@ -457,6 +457,14 @@ def test_fold_average_plan_has_no_join(spark):
     assert "Join" not in plan
 
 
+def test_fold_totals_hold_no_vocabulary_in_one_window(spark):
+    from gearbox.operators.metrics import cv_group_mean
+    df = spark.createDataFrame([(i % 3, float(i), str(i % 7)) for i in range(60)], "fold int, price double, k string")
+    plan = cv_group_mean(df, ["k"], [1.0])._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("key_value" in w for w in windows)
+
+
 def test_clean_and_quarantine_lose_no_row(spark, raw):
     from gearbox.operators.clean import clean_and_quarantine
     clean, quarantine = clean_and_quarantine(raw)
