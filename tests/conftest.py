@@ -7,9 +7,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -22,10 +19,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir(tmp_path):
     return str(tmp_path)
-
-
-# Small settings for tests only (same code path, fewer trees and iterations).
-GBT_QUICK = {"maxIter": 5, "maxDepth": 5, "subsamplingRate": 0.8, "featureSubsetStrategy": "auto"}
-GBT_QUICK_GRID = {"maxIter": [2, 3], "maxDepth": [3, 4], "subsamplingRate": [0.7, 0.8]}
-MLP_QUICK = {"hidden": [16], "maxIter": 30, "blockSize": 128}
-MLP_QUICK_GRID = {"maxIter": [10, 15, 20], "blockSize": [64, 128]}

@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from conftest import GBT_QUICK, GBT_QUICK_GRID, MLP_QUICK, SF_SMALL
+from settings import GBT_QUICK, GBT_QUICK_GRID, MLP_QUICK, SF_SMALL
 from gearbox.plans import cli
 from gearbox.plans.cli import parser, run
 from gearbox.sinks.writers import write_csv, write_parquet

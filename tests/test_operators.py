@@ -10,7 +10,7 @@ from pyspark.ml.feature import Bucketizer, StringIndexer
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from settings import SF_SMALL
 from gearbox.functions.columns import resolve_column
 from gearbox.operators.clean import cast_target, drop_any_null, missing_rows, present_rows, quarantine_split
 from gearbox.operators.features import bucket, category_index, fit_encoders, one_hot_entries, vector_width

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from settings import SF_SMALL
 from gearbox.plans.registry import REGISTRY
 from oracle_compare import compare, duck
 

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from settings import SF_SMALL
 from gearbox.operators.features import bucket, fit_encoders, vec_cols
 from gearbox.operators.layout import contiguous_split
 from gearbox.operators.stats import exact_percentiles

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from settings import SF_SMALL
 from gearbox.operators.clean import cast_target, drop_target_null
 from gearbox.schema import LISTINGS_RAW
 from gearbox.sinks.writers import write_csv
