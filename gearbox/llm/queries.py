@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from gearbox.llm import embedding_dedup, line_dedup, mixing, packing, pii, quality, simhash, spotsigs, token_counts, toxicity
+from gearbox.llm import byte_bpe, embedding_dedup, line_dedup, mixing, packing, pii, quality, simhash, spotsigs, token_counts, toxicity
 from gearbox.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,8 @@ select v.vec_id, (select count(*) from p where p.a = v.vec_id) as n_links,
 from v left join r on r.a = v.vec_id""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_byte_bpe")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digest(byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"))))

@@ -24,7 +24,7 @@ def _load(path: str):
     return Tokenizer.from_file(path)
 
 
-def _latin(text: str) -> bool:
+def is_latin(text: str) -> bool:
     """Characters up to U+00FF only: classes that no Unicode version changes."""
     if text.isascii():
         return True
@@ -61,7 +61,7 @@ class ByteBpe:
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of the whole text."""
-        if self.fast is not None and _latin(text) and not any(s in text for s in self.special):
+        if self.fast is not None and is_latin(text) and not any(s in text for s in self.special):
             ids = array("I", self.fast(text))
         else:
             ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -103,7 +103,7 @@ class WordBpe:
 
     def count(self, text: str) -> int:
         """Tokens of a text that holds no special token's string."""
-        if self.fast is None or not _latin(text) or self._other.search(text):
+        if self.fast is None or not is_latin(text) or self._other.search(text):
             return len(self.tokenizer.encode(text, add_special_tokens=False))
         low = text.lower()
         quoted = "'" in low
