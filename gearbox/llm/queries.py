@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from gearbox.llm import byte_bpe, embedding_dedup, line_dedup, mixing, packing, pii, quality, simhash, spotsigs, token_counts, toxicity
+from gearbox.llm import byte_bpe, embedding_dedup, hard_negatives, line_dedup, mixing, packing, pii, quality, simhash, spotsigs, token_counts, toxicity
 from gearbox.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,27 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_byte_bpe")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest(byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"))))
+
+
+@query("op12_hard_negatives", """
+with r as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding::double[], lambda c: floor(256 * c)) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+s as (
+  select a.vec_id as anchor_id, a.label = r.label as same, r.vec_id as id, list_dot_product(a.v, r.v)::bigint as score
+  from r a join r on a.vec_id <> r.vec_id and len(a.v) = len(r.v) where a.vec_id % 100 = 0),
+p as (
+  select anchor_id, id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select p.anchor_id, p.positive_id, (row_number() over w)::int as rank, s.id as negative_id, p.positive_score, s.score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not s.same
+  and 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score
+window w as (partition by p.anchor_id, p.positive_id order by s.score desc, s.id)
+qualify row_number() over w <= 10""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", "embedding", relabelled.alias("label")), anchor=F.col("id") % 100 == 0)
