@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from gearbox.llm import byte_bpe, embedding_dedup, hard_negatives, line_dedup, mixing, packing, pii, quality, simhash, spotsigs, token_counts, toxicity
+from gearbox.llm import byte_bpe, conversations, embedding_dedup, hard_negatives, line_dedup, mixing, packing, pii, quality, simhash, spotsigs, token_counts, toxicity
 from gearbox.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(rows.select("vec_id", "embedding", relabelled.alias("label")), anchor=F.col("id") % 100 == 0)
+
+
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damage_report(table(spark, sf_dir, "conversations"))
