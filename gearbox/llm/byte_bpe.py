@@ -48,10 +48,10 @@ from gearbox.llm.common import id_and_text, map_in_arrow, tokenizer_path
 from gearbox.llm.tokenizing import is_latin
 
 LEAF = 4  # bytes merged directly
-WORDS = 250_000  # different matches whose ids a worker keeps (twice, see _Words)
+WORDS = 1 << 16  # different matches whose ids a worker keeps (twice, see _Words)
 WORD_CHARS = 32  # longer matches are not kept
 WINDOW = 32  # bytes of the windows and segments whose tokens a worker keeps
-SEGMENTS = 1 << 17  # how many of them
+SEGMENTS = 1 << 15  # how many of them
 MATCHES = 1 << 16  # matches of a long text held at a time
 
 
