@@ -9,7 +9,6 @@ master (tests, laptops) do we create our own.
 
 from __future__ import annotations
 
-import atexit
 import os
 import tempfile
 import uuid
@@ -65,36 +64,36 @@ def shared_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set: set it to a folder every executor "
             "can reach (HDFS, S3, a shared mount) before running gearbox jobs")
     local = tempfile.mkdtemp(prefix="gearbox-ckpt-")
+    folder = sc._jvm.org.apache.hadoop.fs.Path(f"file://{local}")
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(folder)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
-_SCRATCH: list[tuple[SparkSession, str]] = []
+_SCRATCH: dict[str, tuple] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for an intermediate table.
-    Results are read lazily, so tables stay until ``release_scratch``, at the
-    latest when the driver's process ends."""
-    base = shared_dir(spark).rstrip("/")
-    path = f"{base}/gearbox-tables/{name}-{uuid.uuid4().hex[:12]}"
-    if not _SCRATCH:
-        atexit.register(release_scratch)
-    _SCRATCH.append((spark, path))
+
+    Results are read lazily, so a table stays until ``release_scratch``; what is left is
+    deleted by the driver's JVM when it ends, whether or not the session was stopped before."""
+    base = f"{shared_dir(spark).rstrip('/')}/gearbox-tables"
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = paths(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.mkdirs(paths(base)):  # deleteOnExit takes folders that exist
+        files.deleteOnExit(paths(base))
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH[path] = files, paths(path)
     return path
 
 
-def release_scratch() -> None:
-    """Delete the intermediate tables of this process; what was derived from them
-    must have been written or collected."""
-    while _SCRATCH:
-        spark, path = _SCRATCH.pop()
-        try:
-            jvm = spark.sparkContext._jvm
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-        except Exception:  # the session is gone: nothing to delete through
-            continue
+def release_scratch(*paths: str) -> None:
+    """Delete these intermediate tables (default: all of this process); what was derived
+    from them must have been written or collected."""
+    for path in paths or list(_SCRATCH):
+        files, folder = _SCRATCH.pop(path)
+        files.delete(folder, True)
 
 
 def sf_path(sf_dir: str, table: str) -> str:
