@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gearbox.session import scratch_path, shared_dir
+from gearbox.session import release_scratch, scratch_path
 
 # The white space of the word definition [^\x20\x09-\x0D]+.
 SPACES = "\\x20\\x09-\\x0D"
@@ -38,11 +38,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 _SHIPPED: set[str] = set()
 
 
@@ -80,47 +75,45 @@ def word_count(text: Column) -> Column:
             .otherwise(F.size(F.filter(F.split(spaced, " "), lambda w: w != "")))).cast("long")
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of the undirected ``edges (a, b)``
     (longs): ``component`` is the smallest node reachable.
 
     Alternating large-star and small-star rounds: each node's larger
     neighbours are pointed at the smallest of its neighbourhood, then each
     node and its smaller neighbours at the smallest of those, until nothing
-    changes.  A round is two aggregations (a node's minimum, combined before
-    the shuffle) and two joins back on the node; rounds grow with the
-    logarithm of the longest path.  Every round is checkpointed, so a lost
-    executor repeats one round at most.  Nothing but a change count reaches
-    the driver.
+    changes.  A star is an aggregation (a node's minimum, combined before
+    the shuffle) and a join back on the node; rounds grow with the
+    logarithm of the longest path.  Every round is written to a table, so a lost
+    executor repeats one round at most, and the table before it is deleted.
+    Nothing but a count and a checksum reaches the driver.
     """
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        if large:
-            both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-            out = both.join(low, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-            low = down.groupBy("a").agg(F.min("b").alias("m"))
-            out = (down.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                   .union(low.select("a", F.col("m").alias("b"))))
-        return out.where(F.col("a") != F.col("b")).distinct()
-
-    def signature(e: DataFrame):
-        return e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-
-    current = checkpointed(edges.where(F.col("a") != F.col("b"))
-                           .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = signature(current)
-    for _ in range(max_rounds):
-        if before["n"] == 0:
-            break
-        current = checkpointed(star(star(current, True), False))
-        after = signature(current)
+    spark = edges.sparkSession
+    schema = "a bigint, b bigint"
+
+    def written(e: DataFrame) -> tuple[str, DataFrame, tuple]:
+        path = scratch_path(spark, "components")
+        e.where(F.col("a") != F.col("b")).distinct().write.parquet(path)
+        table = spark.read.schema(schema).parquet(path)
+        return path, table, tuple(table.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+
+    def star(pairs: DataFrame, least: DataFrame) -> DataFrame:
+        """``pairs`` with the least neighbour of ``a``; merge joins: both sides grow with the table."""
+        return pairs.join(least.hint("merge"), "a")
+
+    path, current, before = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    while before[0]:
+        both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = star(both, low).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = star(large, down).select(F.col("b").alias("a"), F.col("m").alias("b")).union(down.select("a", F.col("m").alias("b")))
+        old = path
+        path, current, after = written(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+        release_scratch(old)
         if after == before:
             break
         before = after
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     stars = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.union(stars.select(F.col("component").alias("node"), "component").distinct())
 

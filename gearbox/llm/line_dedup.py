@@ -124,9 +124,10 @@ def near_lines(candidates: DataFrame) -> DataFrame:
     every = F.concat(F.when(F.col("n") >= MIN_WORDS, left_out).otherwise(
         F.array().cast("array<struct<v:bigint,n:int,gap:int>>")),
         F.array(F.struct(F.col("whole").alias("v"), F.col("n").alias("n"), F.lit(-1).alias("gap"))))
-    emitted = varied.select("line", "first", F.explode(every).alias("e")).select("line", "first", "e.v", "e.n", "e.gap")
+    emitted = materialise(varied.select("line", "first", F.explode(every).alias("e")).select("line", "first", "e.v", "e.n", "e.gap"),
+                          "line-variants")  # read twice: counted, then joined
     shared = emitted.groupBy("v", "n").agg(F.count(F.lit(1)).alias("lines")).where(F.col("lines") > 1).drop("lines")
-    met = materialise(emitted.join(shared, ["v", "n"]), "line-variants")
+    met = materialise(emitted.join(shared, ["v", "n"]), "line-variants-met")
     gaps, wholes = met.where(F.col("gap") >= 0), met.where(F.col("gap") < 0)
     earliest = F.min(F.struct("first", "line")).alias("to")
     same_gap = gaps.join(gaps.groupBy("v", "n", "gap").agg(earliest), ["v", "n", "gap"])
