@@ -9,10 +9,9 @@ directly, pair of lowest rank first, leftmost on ties.
 
 A join re-encodes a window around the boundary, at first the last token of the
 left segment and the first of the right one.  A side whose outer token and the
-window's token beside it are not *stable* (encoding the two tokens' bytes
-together does not give the two tokens) has its share of the window doubled,
-until both sides are stable or the window holds all of them.  That is proof
-enough: were a sequence of tokens with stable neighbours not the encoding of
+window's token beside it are not *stable* (a merge would cross their boundary)
+has its share of the window doubled, until both sides are stable or the window
+holds all of them.  That is proof enough: were a sequence of tokens with stable neighbours not the encoding of
 its bytes, then the first merge across one of its boundaries would happen in
 the encoding of the two neighbours alone as well, since merges inside the
 tokens come in the same order there.
@@ -48,10 +47,11 @@ from gearbox.llm.common import id_and_text, map_in_arrow, tokenizer_path
 from gearbox.llm.tokenizing import is_latin
 
 LEAF = 4  # bytes merged directly
-WORDS = 1 << 16  # different matches whose ids a worker keeps (twice, see _Words)
+WORDS = 150_000  # different matches whose ids a worker keeps (twice, see _Words)
 WORD_CHARS = 32  # longer matches are not kept
 WINDOW = 32  # bytes of the windows and segments whose tokens a worker keeps
-SEGMENTS = 1 << 15  # how many of them
+SEGMENTS = 1 << 16  # how many of them
+ROWS = 256  # put out at a time
 MATCHES = 1 << 16  # matches of a long text held at a time
 
 
@@ -65,6 +65,7 @@ class ByteBpe:
         self.pattern, self.latin = regex.compile(pattern), _latin_pattern(pattern)
         self.words = _Words(self)
         self.stable = lru_cache(maxsize=SEGMENTS)(self._stable)
+        self.last_merge = lru_cache(maxsize=SEGMENTS)(self._last_merge)
         self.window = lru_cache(maxsize=SEGMENTS)(self.merge)
         self.segment = lru_cache(maxsize=SEGMENTS)(self._halves)
 
@@ -76,23 +77,24 @@ class ByteBpe:
 
     # segments: lists of tokens, a token being its bytes
 
-    def leaf(self, piece: bytes) -> list[bytes]:
+    def leaf(self, piece: bytes, least_parts: int = 1) -> list[bytes]:
         """Merge a short segment: lowest rank first, leftmost on ties."""
         rank, parts = self.ranks.get, [piece[i:i + 1] for i in range(len(piece))]
-        while True:
+        while len(parts) > least_parts:
             least, at = None, 0
             for i in range(len(parts) - 1):
                 r = rank(parts[i] + parts[i + 1])
                 if r is not None and (least is None or r < least):
                     least, at = r, i
             if least is None:
-                return parts
+                break
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        return parts
 
     def merge(self, piece: bytes) -> list[bytes]:
         """The same for a window of any length, with the pairs in a heap."""
         n = len(piece)
-        if n <= 2 * LEAF:
+        if n <= 6 * LEAF:
             return self.leaf(piece)
         ranks = self.ranks
         end = list(range(1, n + 1))  # end of the token that starts here
@@ -113,9 +115,28 @@ class ByteBpe:
                 heappush(heap, (r, before[i], stop))
         return [piece[i:end[i]] for i in range(n) if live[i]]
 
+    def _last_merge(self, token: bytes) -> tuple[bytes, bytes]:
+        """The two tokens whose merge is ``token``."""
+        return tuple(self.leaf(token, 2))
+
     def _stable(self, left: bytes, right: bytes) -> bool:
-        held = left + right
-        return self.window(held) == [left, right]
+        """Whether no merge crosses the boundary of two tokens.  Their merges are undone, the later one
+        first, so that every pair of tokens that ever met at the boundary is seen; such a pair
+        merges if its rank comes before those that took its tokens into larger ones (on the
+        right, at the same rank too: leftmost first)."""
+        ranks, taken_left, taken_right = self.ranks, 1 << 40, 1 << 40
+        while True:
+            met = ranks.get(left + right)
+            if met is not None and met < taken_left and met <= taken_right:
+                return False
+            made_left = ranks[left] if len(left) > 1 else -1
+            made_right = ranks[right] if len(right) > 1 else -1
+            if made_left > made_right:
+                taken_left, left = made_left, self.last_merge(left)[1]
+            elif made_right >= 0:
+                taken_right, right = made_right, self.last_merge(right)[0]
+            else:
+                return True
 
     def join(self, left: list[bytes], right: list[bytes]) -> list[bytes]:
         if not left or not right or self.stable(left[-1], right[0]):
@@ -141,7 +162,7 @@ class ByteBpe:
 
     def tree(self, piece: bytes) -> list[bytes]:
         """Tokens of a segment; not to be changed by the caller."""
-        return self.segment(piece) if len(piece) <= 2 * LEAF else self._halves(piece)
+        return self.segment(piece) if len(piece) <= LEAF else self._halves(piece)
 
     def match(self, word: str) -> bytes:
         """Ids of one match of the pattern, packed."""
@@ -215,9 +236,11 @@ def _vocabulary(ranks: str | None, pattern: str | None) -> tuple[str, str]:
 def _per_value(df: DataFrame, schema: T.StructType, convert) -> DataFrame:
     """The last column of ``df`` through ``convert(value)``, under the schema's names."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = pa.array([convert(v) for v in b.column(b.num_columns - 1).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(schema) - 1], out], names=schema.fieldNames())
+        for whole in batches:
+            for s in range(0, whole.num_rows, ROWS):
+                b = whole.slice(s, ROWS)
+                out = pa.array([convert(v) for v in b.column(b.num_columns - 1).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*b.columns[:len(schema) - 1], out], names=schema.fieldNames())
 
     return df.transform(map_in_arrow, run, schema)
 

@@ -71,6 +71,20 @@ def test_any_two_segments_join(bpe):
         assert bpe.join(bpe.tree(a), bpe.tree(b)) == brute(bpe, a + b)
 
 
+def test_stable_pairs(bpe):
+    """Two tokens are stable if and only if their bytes encode to them."""
+    draw = random.Random(7)
+    tokens = sorted(t for t in bpe.ranks if len(t) < 9 and brute(bpe, t) == [t])
+    common = [t for t in tokens if set(t) <= set(b" aehinrst")]
+    seen = set()
+    for pool in (tokens, common, common):
+        for _ in range(1500):
+            a, b = draw.choice(pool), draw.choice(pool)
+            assert bpe.stable(a, b) == (brute(bpe, a + b) == [a, b]), (a, b)
+            seen.add(bpe.stable(a, b))
+    assert seen == {True, False}
+
+
 def test_a_vocabulary_of_its_own():
     """Boundaries move far: the runs of a join are re-encoded to their ends."""
     ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b"ba": 257, b"abab": 258, b"bab": 259, b"aba": 260}
