@@ -34,7 +34,7 @@ from gearbox.plans.training import cv_report, gbt_run, mlp_cv_run, mlp_run, mlp_
 from gearbox.schema import GBT_CATEGORICALS, KEY, MLP_CATEGORICALS, NUMERIC_FEATURES
 from gearbox.sources.fixtures import listings_table, source_state
 
-CV_PARALLELISM = 4  # configurations fitted at a time: small fits leave cores idle
+CV_PARALLELISM = 6  # fits at a time: 3 folds x 2 block sizes, each along the iterations
 
 _RUNS: dict[tuple, object] = {}
 
@@ -57,7 +57,7 @@ def _mlp(spark, sf_dir):
 def _mlp_cv(spark, sf_dir):
     preset = {"hidden": MLP_CV_HIDDEN, "maxIter": 100, "blockSize": 128}
     return _cached(spark, sf_dir, "mlp_cv", lambda: mlp_cv_run(listings_table(spark, sf_dir), MLP_REFERENCE_GRID, preset,
-                                                               parallelism=CV_PARALLELISM))
+                                                               parallelism=CV_PARALLELISM, path="maxIter"))
 
 
 def _beats_group_mean(run, key: str = "engine_hp") -> bool:
