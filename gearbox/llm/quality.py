@@ -1,48 +1,55 @@
 """Quality by importance resampling over hashed n-grams.
 
-Two generative models are bags of hashed word unigrams and bigrams in
-``BUCKETS`` buckets: one counted over the target texts (labelled good), one
-over all raw texts.  A text's log importance is the log ratio of its
-probability under the two, summed over its n-grams; resampling without
-replacement draws the texts with the largest sum of ``sharpness`` times the
-log importance per n-gram and a Gumbel number seeded by the id (Gumbel
-top-k).  The mean per n-gram keeps long texts comparable with short ones.
+Two generative models are bags of hashed word unigrams and bigrams: one counted over
+all target texts (labelled good), one over all raw texts.  Their number of buckets grows with
+the square root of the number of rows (``bucket_number``).  A text's log importance is the log
+ratio of its probability under the two, summed over its n-grams; resampling without
+replacement draws the texts with the largest sum of the log importance and a
+Gumbel number seeded by the id (Gumbel top-k).  With ``per_gram`` the weight is ``per_gram``
+times the mean log importance of an n-gram instead, which keeps long texts comparable with
+short ones but is no longer the ratio of the two models.
 
 Both are counted in one pass over the texts: every task sums its own bucket
 vectors, so what is moved is two vectors per task.  The top k is cut at a threshold found by
-a distributed histogram (no global sort): bins of the key by its leading bits
-are counted, and only the bin in which the k-th key lies is put in order.
+counting: the interval of keys in which the k-th lies is narrowed, 1024 bins at a time, until few rows are
+left in it; equal keys are then told apart by their ids in the same way, equal rows by their place.
 
 ``k`` is a share of the rows (default: the share of label 1 among the labelled
 rows, at least one row).
 
 Defined results: null and empty texts have no n-grams and log importance 0;
-repeated rows get equal log importances and keys (of equal keys at the cut,
-all or as many as k allows by text hash stay); without target rows every log
+repeated rows get equal log importances and keys (of equal keys at the cut as many as k
+allows stay); without target rows every log
 importance is 0; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gearbox.llm.common import id_and_text, map_in_arrow, materialise
 
-BUCKETS = 1 << 16
-MAX_TARGET = 100_000   # labelled good texts that the target model is counted over (smallest id hashes)
+BUCKETS = 1 << 16      # for up to ROWS rows
+ROWS = 1 << 18
 SMOOTHING = 0.5        # added to every bucket's count
-SHARPNESS = 50.0       # log importance per n-gram against Gumbel noise of scale 1
 SEED = "quality-1"
 REMEMBERED = 300_000
-BINS = 1000            # bins of the key to a unit
+BINS = 1024            # bins an interval is cut into
+SORTED = 10_000        # rows put in order at last
+
+
+def bucket_number(rows: int) -> int:
+    """Buckets of the models: a power of two that grows with the square root of the rows."""
+    return BUCKETS << max(0, math.ceil(math.log2(max(1, rows) / ROWS) / 2))
 
 
 class Hashes:
@@ -70,10 +77,10 @@ class Hashes:
 
 def bucket_counts(df: DataFrame, good: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """Occurrences in every bucket over the rows whose id is in ``good`` (column
-    ``good_id``, at most MAX_TARGET rows) and over all rows, in one pass; each
-    task moves one vector of either."""
-    marked = (id_and_text(df, id_col, text_col).join(F.broadcast(good), F.col(id_col) == F.col("good_id"), "left")
+    """Occurrences in every bucket over the rows whose id is in ``good`` (distinct ids, column
+    ``good_id``) and over all rows, in one pass; each task moves one vector of either.  The ids are
+    broadcast only within Spark's own limit."""
+    marked = (id_and_text(df, id_col, text_col).join(good, F.col(id_col) == F.col("good_id"), "left")
               .select(F.col(text_col).alias("text"), F.col("good_id").isNotNull().alias("good")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,11 +95,11 @@ def bucket_counts(df: DataFrame, good: DataFrame, id_col: str = "doc_id", text_c
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[0][at]), pa.array(total[1][at])],
                                          names=["bucket", "n", "good"])
 
-    rows = (marked.transform(map_in_arrow, run, "bucket int, n bigint, good bigint").groupBy("bucket")
-            .agg(F.sum("n").alias("n"), F.sum("good").alias("good")).collect())  # at most ``buckets`` rows
+    found = (marked.transform(map_in_arrow, run, "bucket int, n bigint, good bigint").groupBy("bucket")
+             .agg(F.sum("n").alias("n"), F.sum("good").alias("good")).toArrow())  # at most ``buckets`` rows
     target, raw = np.zeros(buckets), np.zeros(buckets)
-    for r in rows:
-        raw[r["bucket"]], target[r["bucket"]] = r["n"], r["good"]
+    at = found["bucket"].to_numpy()
+    raw[at], target[at] = found["n"].to_numpy(), found["good"].to_numpy()
     return target, raw
 
 
@@ -122,33 +129,49 @@ def gumbel(seed: str, *columns: Column) -> Column:
 
 
 def top_k(keyed: DataFrame, k: int, key: str, *ties: str) -> DataFrame:
-    """The k rows with the largest ``key`` (ties by the named columns), without a global sort."""
-    binned = keyed.withColumn("bin", F.floor(F.greatest(F.lit(-1e6), F.least(F.lit(1e6), F.col(key))) * BINS))
-    counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    above = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)  # over bins, not rows
-    cut = (counts.withColumn("above", F.coalesce(F.sum("n").over(above), F.lit(0)))
-           .where((F.col("above") < k) & (F.col("above") + F.col("n") >= k)).first())
-    if cut is None:  # fewer rows than k, or none
-        return keyed.limit(0) if k <= 0 else keyed
-    rank = F.row_number().over(Window.partitionBy("bin").orderBy(F.desc(key), *ties))
-    inside = binned.where(F.col("bin") == cut["bin"]).withColumn("rank", rank).where(F.col("rank") <= k - cut["above"])
-    return binned.where(F.col("bin") > cut["bin"]).drop("bin").union(inside.drop("bin", "rank"))
+    """The k rows of a written table with the largest finite ``key`` (then the smallest values of the named columns, nulls
+    last, and the table's order), without a global sort: each round counts the rows left by bins of
+    their interval and goes on in the bin of the k-th row."""
+    if k <= 0:
+        return keyed.limit(0)
+    numeric = [t for t in ties if isinstance(keyed.schema[t].dataType, T.NumericType)]
+    ranked = keyed.withColumn("_place", F.monotonically_increasing_id())
+    levels = [F.col(key), *[F.coalesce(-F.col(c).cast("double"), F.lit(-1e300)) for c in (*numeric, "_place")]]
+    inside, sure, above = F.lit(True), F.lit(False), 0
+    for x in levels:
+        while True:
+            seen = ranked.where(inside).agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("low"), F.max(x).alias("high")).first()
+            if above + seen["n"] <= k:
+                return ranked.where(sure | inside).select(keyed.columns)
+            if seen["n"] <= SORTED or seen["low"] == seen["high"]:
+                break
+            width = (seen["high"] - seen["low"]) / BINS
+            number = F.least(F.lit(BINS - 1), F.floor((x - F.lit(seen["low"])) / F.lit(width)))
+            bins = (ranked.where(inside).groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("low"), F.max(x).alias("high"))
+                    .orderBy(F.desc("bin")).collect())  # BINS rows at most
+            for cut in bins:
+                if above + cut["n"] >= k:
+                    break
+                above += cut["n"]
+            sure = sure | (inside & (x > F.lit(cut["high"])))
+            inside = inside & x.between(F.lit(cut["low"]), F.lit(cut["high"]))
+    order = [F.desc(key), *[F.asc_nulls_last(t) for t in ties], "_place"]
+    last = ranked.where(inside).orderBy(*order).limit(k - above)  # of SORTED rows at most
+    return ranked.where(sure).union(last).select(keyed.columns)
 
 
 def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             label_col: str = "quality", share: float | None = None, sharpness: float = SHARPNESS, seed: str = SEED,
-             buckets: int = BUCKETS) -> DataFrame:
+             label_col: str = "quality", share: float | None = None, per_gram: float | None = None, seed: str = SEED,
+             buckets: int | None = None) -> DataFrame:
     """The rows drawn: ``<id>, n_grams, log_importance, key``."""
-    good = materialise(
-        labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("good_id")).distinct()
-        .orderBy(F.xxhash64(F.col("good_id").cast("string"), F.lit(seed)), "good_id").limit(MAX_TARGET), "quality-target")
-    target, raw = bucket_counts(docs, good, id_col, text_col, buckets)
-    scored = importance(docs, target, raw, id_col, text_col)
-    keyed = materialise(scored.withColumn(
-        "key", F.lit(sharpness) * F.col("log_importance") / F.greatest(F.col("n_grams"), F.lit(1))
-        + gumbel(seed, F.coalesce(F.col(id_col).cast("string"), F.lit("")))), "quality")
+    good = labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("good_id")).distinct()
+    n = docs.count()
+    target, raw = bucket_counts(docs, good, id_col, text_col, buckets or bucket_number(n))
+    weight = (F.col("log_importance") if per_gram is None
+              else F.lit(float(per_gram)) * F.col("log_importance") / F.greatest(F.col("n_grams"), F.lit(1)))
+    keyed = materialise(importance(docs, target, raw, id_col, text_col).withColumn(
+        "key", weight + gumbel(seed, F.coalesce(F.col(id_col).cast("string"), F.lit("")))), "quality")
     if share is None:
         share = labels.where(F.col(label_col).isNotNull()).agg(F.avg(F.col(label_col).cast("double"))).first()[0]
-    n = keyed.count()
     k = max(min(n, 1), round(n * (1.0 if share is None else share)))
     return top_k(keyed, k, "key", id_col, "text_hash").drop("text_hash")

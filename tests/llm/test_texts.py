@@ -163,6 +163,41 @@ def test_top_k(spark):
         assert {r["doc_id"] for r in quality.top_k(df, k, "key", "doc_id").collect()} == {i for i, _ in order[:k]}
 
 
+@pytest.mark.parametrize("sorted_rows", [1, 50])
+def test_top_k_with_a_hot_key_at_the_cut(spark, tmp_path, monkeypatch, sorted_rows):
+    """A third of all rows share one key, some of them null ids and repeated rows; few rows may be put in order."""
+    monkeypatch.setattr(quality, "SORTED", sorted_rows)
+    rng = random.Random(3)
+    rows = [(rng.choice([None, 7, i]), rng.choice([0.5, rng.gauss(0, 1), rng.gauss(0, 1e-9)])) for i in range(900)]
+    spark.createDataFrame(rows, "doc_id long, key double").repartition(4).write.parquet(f"{tmp_path}/keys")
+    df = spark.read.parquet(f"{tmp_path}/keys")
+    order = sorted(rows, key=lambda r: (-r[1], r[0] is None, r[0] or 0))
+    for k in (1, 150, 300, 420, 700, 899, 900, 1000):
+        got = [tuple(r) for r in quality.top_k(df, k, "key", "doc_id").collect()]
+        assert sorted(got, key=repr) == sorted(order[:k], key=repr)
+
+
+def test_buckets_grow_with_the_rows():
+    assert [quality.bucket_number(n) for n in (0, 1, 1 << 18, 1 << 19, 1 << 20, 1 << 30)] == [1 << b for b in (16, 16, 16, 17, 17, 22)]
+
+
+def test_resample_equals_brute_force(spark):
+    """The whole draw: counts over all labelled good texts and all texts, log ratios, Gumbel keys, the largest k."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    rows = docs.select("doc_id", "text", quality.gumbel(quality.SEED, F.col("doc_id").cast("string")).alias("g")).collect()
+    lab = labels.where("quality is not null").collect()
+    good, n = {r["doc_id"] for r in lab if r["quality"] == 1}, quality.BUCKETS
+    hashes = quality.Hashes(n)
+    grams = {r["doc_id"]: hashes.grams(r["text"] or "") for r in rows}
+    p, q = (np.bincount(np.concatenate([g for i, g in grams.items() if i in good or part]), minlength=n) + 0.5 for part in (False, True))
+    ratio = np.log(p / p.sum()) - np.log(q / q.sum())
+    keys = {r["doc_id"]: ratio[grams[r["doc_id"]]].sum() + r["g"] for r in rows}
+    k = round(len(rows) * np.mean([r["quality"] for r in lab]))
+    want = sorted(keys, key=lambda i: -keys[i])[:k]
+    got = {r["doc_id"]: r["key"] for r in quality.resample(docs, labels).collect()}
+    assert set(got) == set(want) and all(got[i] == pytest.approx(keys[i]) for i in want)
+
+
 def test_bucket_counts_and_importance(spark):
     texts = ["a b, c!! a", "", "x | y | z", "A B"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
