@@ -7,7 +7,8 @@ quota.  Sizes, targets and quotas are aggregations and joins, for any number of
 sources.  A source without documents of several sources needs no flow: it gives
 its quota.  Sources connected by documents of several sources are a group; the
 flow from the group's patterns over memberships into its quotas is solved in a
-task, and a group of more than ``MAX_PATTERNS`` patterns raises an error.
+task, for any number of patterns: what the task holds is one row for each pattern and
+source, not documents.
 
 Within a pattern, the flow beyond whole repetitions is selected by a seeded
 hash of the document id: documents in hash order up to that many words.  The
@@ -38,7 +39,7 @@ SHARE = 1.5
 MAX_REPEATS = 2
 WEIGHTS = (5, 2, 1)
 SEED = "mix-1"
-MAX_PATTERNS = 10_000
+BROADCAST_PATTERNS = 10_000  # plans up to this are broadcast, larger ones joined by shuffle
 _SPACES = SPACES.replace("\\", "\\\\")  # inside a SQL string
 
 
@@ -62,47 +63,76 @@ def targets(sizes: Sequence[int], weights: Sequence[float], share: float = SHARE
 def min_cost_flow(capacity: dict[str, int], members: dict[str, list[str | None]], quota: dict[str | None, int],
                   max_repeats: int = MAX_REPEATS) -> dict[str, dict[str | None, int]]:
     """Words each pattern sends to each source: the most the quotas take, at the
-    least cost, by successive cheapest augmenting paths."""
-    arcs: list[list] = []  # to, capacity left, cost; the arc at ^1 is its reverse
-    out: dict[tuple, list[int]] = {}
-
-    def add(a: tuple, b: tuple, room: int, cost: int) -> int:
-        for x, y, r, c in ((a, b, room, cost), (b, a, 0, -cost)):
-            out.setdefault(x, []).append(len(arcs))
-            arcs.append([y, r, c])
-        return len(arcs) - 2
-
-    begin, end = ("begin",), ("end",)
-    route: dict[str, dict[str | None, int]] = {}
-    for p in sorted(capacity):
-        for e in range(max_repeats):
-            add(begin, ("p", p), capacity[p], e + 1)
-        route[p] = {s: add(("p", p), ("s", s), max_repeats * capacity[p], 0) for s in members[p]}
+    least cost.
+
+    Only a repetition costs, the e-th use of a pattern's words e, so an augmenting path costs as much as the use
+    it begins with: all paths of first uses come before any of second uses, and so on.  Each
+    use is a maximum flow by blocking flows on top of those before (levels by breadth first, then paths that
+    never enter a dead end twice).
+    """
+    begin, end = 0, 1
+    patterns = {p: 2 + i for i, p in enumerate(sorted(capacity))}
+    sources = {s: 2 + len(patterns) + i for i, s in enumerate(quota)}
+    out: list[list[int]] = [[] for _ in range(2 + len(patterns) + len(sources))]
+    head: list[int] = []
+    room: list[int] = []  # the arc at ^1 is the reverse
+
+    def add(a: int, b: int, most: int) -> int:
+        for x, y, r in ((a, b, most), (b, a, 0)):
+            out[x].append(len(head))
+            head.append(y)
+            room.append(r)
+        return len(head) - 2
+
+    fed = {p: add(begin, n, 0) for p, n in patterns.items()}
+    route = {p: {s: add(n, sources[s], max_repeats * capacity[p]) for s in members[p]} for p, n in patterns.items()}
     for s, q in quota.items():
-        add(("s", s), end, q, 0)
-    while True:
-        cost, via, queue, queued = {begin: 0}, {}, deque([begin]), {begin}
+        add(sources[s], end, q)
+
+    def levels() -> list[int]:
+        level, queue = [-1] * len(out), deque([begin])
+        level[begin] = 0
         while queue:
             a = queue.popleft()
-            queued.discard(a)
-            for k in out.get(a, ()):
-                b, room, c = arcs[k]
-                if room > 0 and cost[a] + c < cost.get(b, 1 << 60):
-                    cost[b], via[b] = cost[a] + c, k
-                    if b not in queued:
-                        queue.append(b)
-                        queued.add(b)
-        if end not in cost:
-            break
-        path, node = [], end
-        while node != begin:
-            path.append(via[node])
-            node = arcs[via[node] ^ 1][0]
-        push = min(arcs[k][1] for k in path)
-        for k in path:
-            arcs[k][1] -= push
-            arcs[k ^ 1][1] += push
-    return {p: {s: arcs[k ^ 1][1] for s, k in r.items()} for p, r in route.items()}
+            for k in out[a]:
+                if room[k] > 0 and level[head[k]] < 0:
+                    level[head[k]] = level[a] + 1
+                    queue.append(head[k])
+        return level
+
+    def block(level: list[int]) -> None:
+        tried, path, node = [0] * len(out), [], begin
+        while True:
+            if node == end:
+                push = min(room[k] for k in path)
+                for k in path:
+                    room[k] -= push
+                    room[k ^ 1] += push
+                full = next(i for i, k in enumerate(path) if not room[k])
+                node = head[path[full] ^ 1]
+                del path[full:]
+                continue
+            while tried[node] < len(out[node]):
+                k = out[node][tried[node]]
+                if room[k] > 0 and level[head[k]] == level[node] + 1:
+                    break
+                tried[node] += 1
+            else:
+                if not path:
+                    return
+                k = path.pop()
+                node = head[k ^ 1]
+                tried[node] += 1
+                continue
+            path.append(k)
+            node = head[k]
+
+    for _ in range(max_repeats):
+        for p, k in fed.items():
+            room[k] += capacity[p]
+        while (level := levels())[end] >= 0:
+            block(level)
+    return {p: {s: room[k ^ 1] for s, k in r.items()} for p, r in route.items()}
 
 
 def _goals(each: DataFrame, weights: Sequence[float], share: float, max_repeats: int) -> DataFrame:
@@ -135,9 +165,6 @@ def _flows(part_of: DataFrame, max_repeats: int) -> DataFrame:
     low = several.groupBy("pattern").agg(F.min("at").alias("low"))
     groups = connected_components(several.join(low, "pattern").select(F.col("at").alias("a"), F.col("low").alias("b")))
     grouped = materialise(part_of.join(groups, F.col("at") == F.col("node")), "mix-groups")
-    most = grouped.groupBy("component").agg(F.count_distinct("pattern").alias("n")).agg(F.max("n")).first()[0] or 0
-    if most > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns of connected sources: group rare sources first")
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,14 +219,14 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", members:
     plan = materialise(plan.select(
         "pattern", F.when(F.col("words") > 0, F.expr("given div words")).otherwise(F.lit(0)).alias("whole"),
         F.when(F.col("words") > 0, F.expr("given % words")).otherwise(F.lit(0)).alias("rest"), "source_size", "target"), "mix-plan")
-    small = (lambda side: F.broadcast(side)) if plan.count() <= MAX_PATTERNS else (lambda side: side)
+    small = (lambda side: F.broadcast(side)) if plan.count() <= BROADCAST_PATTERNS else (lambda side: side)
 
     # the bin in which each pattern's cut lies
     binned = sized.withColumn("bin", F.substring("place", 1, 4))
     bins = binned.groupBy("pattern", "bin").agg(F.sum("size").alias("words"))
     running = Window.partitionBy("pattern").orderBy("bin")
     cut = (bins.withColumn("before", F.sum("words").over(running) - F.col("words"))
-           .join(small(plan.select("pattern", "rest")), "pattern")  # MAX_PATTERNS rows at most, or no broadcast
+           .join(small(plan.select("pattern", "rest")), "pattern")  # BROADCAST_PATTERNS rows at most, or no broadcast
            .where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words")))
            .select("pattern", F.col("bin").alias("cut"), "before"))
     rows = (binned.join(small(plan), "pattern", "left")

@@ -365,6 +365,47 @@ def test_flow_is_cheapest():
         assert all(sum(flow[p].get(s, 0) for p in patterns) <= quota[s] for s in sources)
 
 
+def test_flow_leaves_no_cheaper_way():
+    """Larger instances: no residual path takes more words, and no exchange lowers a repetition."""
+    rng = random.Random(21)
+    for _ in range(20):
+        sources = [f"s{i}" for i in range(12)]
+        members = {f"p{i}": rng.sample(sources, rng.randint(1, 3)) for i in range(120)}
+        cap, quota = {p: rng.randint(0, 30) for p in members}, {s: rng.randint(0, 400) for s in sources}
+        flow = mixing.min_cost_flow(cap, members, quota)
+        used, taken = {p: sum(f.values()) for p, f in flow.items()}, {s: sum(f.get(s, 0) for f in flow.values()) for s in sources}
+        assert all(0 <= used[p] <= 2 * cap[p] for p in cap) and all(taken[s] <= quota[s] for s in sources)
+
+        def reached(start):  # patterns whose words could be given back, and sources, if ``start`` gave one word more
+            seen, todo = {start}, [start]
+            while todo:
+                n = todo.pop()
+                new = members[n] if n in members else [p for p in members if flow[p].get(n, 0) > 0]
+                for m in new:
+                    if m not in seen:
+                        seen.add(m)
+                        todo.append(m)
+            return seen
+
+        for p in members:
+            if used[p] < 2 * cap[p]:
+                seen = reached(p)
+                assert all(taken[s] == quota[s] for s in seen if s in quota)  # maximal
+                if used[p] < cap[p]:  # a first use is free: no second use that it could replace
+                    assert all(used[o] <= cap[o] for o in seen if o in members)
+
+
+def test_more_than_ten_thousand_patterns(spark):
+    pairs = list(itertools.combinations(range(160), 2))
+    rows = [(i, "w " * (1 + i % 7), [f"s{a}", f"s{b}"]) for i, (a, b) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>")
+    got = mixing.mix(df, members=F.col("sources"), share=0.4, weights=(1,)).collect()
+    assert len(got) == len(pairs) > 12_000
+    goal = mixing.targets([sum(1 + i % 7 for i, p in enumerate(pairs) if s in p) for s in range(160)], [1] * 160, share=0.4)
+    assert sum(r["taken"] for r in got) == sum(int(t) for t in goal)
+    assert all(0 <= r["taken"] <= r["size"] for r in got)  # nothing need be repeated
+
+
 def test_overlapping_sources_and_rows(spark):
     rng = random.Random(13)
     rows = [(i, " ".join(["w"] * rng.randint(0, 30)), rng.choice([["a"], ["b"], ["a", "b"], ["b", "c"]])) for i in range(400)]
@@ -382,8 +423,8 @@ def test_overlapping_sources_and_rows(spark):
 
 
 def test_more_sources_than_the_flow_takes(spark, monkeypatch):
-    """Sources without common documents, and small groups of sources, beyond MAX_PATTERNS altogether."""
-    monkeypatch.setattr(mixing, "MAX_PATTERNS", 20)
+    """Sources without common documents, and small groups of sources, in a plan too large to broadcast."""
+    monkeypatch.setattr(mixing, "BROADCAST_PATTERNS", 20)
     rng = random.Random(14)
     rows = [(i, " ".join(["w"] * rng.randint(0, 30)), [f"s{i % 90:02}"]) for i in range(300)]
     rows += [(300 + i, "w " * rng.randint(1, 30), [f"s{2 * k:02}", f"s{2 * k + 1:02}"]) for i, k in enumerate([*range(25)] * 2)]
