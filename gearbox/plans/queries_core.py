@@ -33,6 +33,7 @@ from gearbox.operators.metrics import (
     predict_group_mean,
     regression_metrics,
 )
+from gearbox.operators.sketches import merged_percentiles, part_sketches
 from gearbox.operators.stats import (
     approx_percentiles,
     category_frequencies,
@@ -42,6 +43,8 @@ from gearbox.operators.stats import (
 from gearbox.plans.price_bands import band_thresholds, banded_listings, price_band_summary
 from gearbox.plans.registry import NOT_NULL_LISTINGS, register, sql
 from gearbox.schema import GBT_CATEGORICALS, KEY, MLP_CATEGORICALS, NUMERIC_FEATURES
+from gearbox.session import scratch_path
+from gearbox.sinks.writers import write_parquet
 from gearbox.sources.fixtures import listings_table, table
 
 
@@ -213,6 +216,25 @@ def q_percentile_approx(spark, sf_dir):
     return data.agg(n.alias("n"), ok(0.33, q["p33"]).alias("p33_in_bounds"), ok(0.67, q["p67"]).alias("p67_in_bounds"))
 
 
+@register("percentile_by_parts", ("A2", "S2"), sql(f"""
+select fuel_type as part, count(*) as n, true as within from listings where price is not null group by fuel_type
+union all select 'all', count(*), true from listings where price is not null""", "listings"))
+def q_percentile_by_parts(spark, sf_dir):
+    """Stored sketches of the parts: the medians of each part and of all parts merged lie within half
+    a percent of their ranks."""
+    data = listings_table(spark, sf_dir).select(F.col("fuel_type").alias("part"), "price").where(F.col("price").isNotNull())
+    path = write_parquet(part_sketches(data, "price", "part"), scratch_path(spark, "sketches"))
+    stored = spark.read.parquet(path)
+    each = merged_percentiles(stored, (0.5,), ("v",), by=["part"])
+    whole = merged_percentiles(stored, (0.5,), ("v",)).select(F.lit("all").alias("part"), "n", "v")
+    rows = data.union(data.select(F.lit("all"), "price"))
+    asked = F.broadcast(each.union(whole).withColumnsRenamed({"part": "of", "n": "counted"}))  # a row for each part
+    n = F.count(F.lit(1))
+    below, upto = F.count_if(F.col("price") < F.col("v")), F.count_if(F.col("price") <= F.col("v"))
+    return (rows.join(asked, F.col("part").eqNullSafe(F.col("of"))).groupBy("part")
+            .agg(n.alias("n"), ((F.max("counted") == n) & (below <= n * 0.505) & (upto >= n * 0.495)).alias("within")))
+
+
 @register("tercile_thresholds", ("A2x",), sql("select p33, p67 from terciles", "listings", "terciles"))
 def q_tercile_thresholds(spark, sf_dir):
     return exact_percentiles(drop_any_null(listings_table(spark, sf_dir)), "price", (33, 67))

@@ -31,6 +31,7 @@ from gearbox.session import scratch_path, sf_path
 from gearbox.sinks.writers import write_csv, write_parquet
 from gearbox.sources.fixtures import listings, listings_raw, listings_table, table
 from gearbox.streaming.parts import clean_parts_stream, read_stream_output
+from gearbox.sources.infer import column_types, merged_types
 from gearbox.sources.readers import (
     read_csv,
     read_existing_parquet,
@@ -293,3 +294,18 @@ def q_csv_inferred_types(spark, sf_dir):
     path = write_csv(_orders(spark, sf_dir), scratch_path(spark, "orders_inferred_csv"))
     return read_csv(spark, path, infer_schema=True).select(
         *[F.col(f.name).cast(f.dataType) for f in _orders_csv_schema(spark, sf_dir).fields])
+
+
+_ORDERS_NARROWEST = {"o_orderkey": None, "o_custkey": None, "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp",
+                     "o_orderpriority": "string"}
+
+
+@register("csv_type_lattice", ("S4", "P8"), sql(" union all ".join(
+    f"select '{c}' as column, " + (f"'{t}'" if t else f"case when max({c}) <= 2147483647 and min({c}) >= -2147483648 then 'int' else 'bigint' end")
+    + f" as type, count({c}) as n from orders" for c, t in _ORDERS_NARROWEST.items())))
+def q_csv_type_lattice(spark, sf_dir):
+    """Types inferred part by part from text and joined; only the names come from the file."""
+    path = write_csv(_orders(spark, sf_dir), scratch_path(spark, "orders_lattice_csv"))
+    text = read_csv(spark, path).select(*_ORDERS_NARROWEST)
+    parts = column_types(text.withColumn("part", F.input_file_name()), by=["part"])
+    return merged_types(parts)
