@@ -1,7 +1,7 @@
 """Quality by importance resampling over hashed n-grams.
 
 Two generative models are bags of hashed word unigrams and bigrams: one counted over
-all target texts (labelled good), one over all raw texts.  Their number of buckets grows with
+target texts (labelled good, at most ``max_target`` of them), one over all raw texts.  Their number of buckets grows with
 the square root of the number of rows (``bucket_number``).  A text's log importance is the log
 ratio of its probability under the two, summed over its n-grams; resampling without
 replacement draws the texts with the largest sum of the log importance and a
@@ -40,6 +40,7 @@ from gearbox.llm.common import id_and_text, map_in_arrow, materialise
 
 BUCKETS = 1 << 16      # for up to ROWS rows
 ROWS = 1 << 18
+MAX_TARGET = 100_000   # labelled good texts that the target model is counted over (smallest id hashes)
 SMOOTHING = 0.5        # added to every bucket's count
 SEED = "quality-1"
 REMEMBERED = 300_000
@@ -78,9 +79,9 @@ class Hashes:
 def bucket_counts(df: DataFrame, good: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
     """Occurrences in every bucket over the rows whose id is in ``good`` (distinct ids, column
-    ``good_id``) and over all rows, in one pass; each task moves one vector of either.  The ids are
-    broadcast only within Spark's own limit."""
-    marked = (id_and_text(df, id_col, text_col).join(good, F.col(id_col) == F.col("good_id"), "left")
+    ``good_id``, ``max_target`` of ``resample`` at most) and over all rows, in one pass without moving a text;
+    each task moves one vector of either."""
+    marked = (id_and_text(df, id_col, text_col).join(F.broadcast(good), F.col(id_col) == F.col("good_id"), "left")
               .select(F.col(text_col).alias("text"), F.col("good_id").isNotNull().alias("good")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,9 +163,12 @@ def top_k(keyed: DataFrame, k: int, key: str, *ties: str) -> DataFrame:
 
 def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "quality", share: float | None = None, per_gram: float | None = None, seed: str = SEED,
-             buckets: int | None = None) -> DataFrame:
-    """The rows drawn: ``<id>, n_grams, log_importance, key``."""
-    good = labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("good_id")).distinct()
+             buckets: int | None = None, max_target: int = MAX_TARGET) -> DataFrame:
+    """The rows drawn: ``<id>, n_grams, log_importance, key``.  The target model is counted over at most
+    ``max_target`` labelled good ids (those of smallest hashes), the raw model over all rows."""
+    good = materialise(
+        labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("good_id")).distinct()
+        .orderBy(F.xxhash64(F.col("good_id").cast("string"), F.lit(seed)), "good_id").limit(max_target), "quality-target")
     n = docs.count()
     target, raw = bucket_counts(docs, good, id_col, text_col, buckets or bucket_number(n))
     weight = (F.col("log_importance") if per_gram is None
