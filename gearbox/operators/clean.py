@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 from gearbox.functions.columns import is_missing, not_null_all, resolve_column, to_double
 
 
+REASONS = ("null", "blank", "unparseable")
+
+
 def cast_target(df: DataFrame, target: str = "price") -> DataFrame:
     """Text -> double for ``target`` when the column exists (else unchanged).
 

@@ -4,10 +4,11 @@ train/test splits, k-fold assignment, union of parts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gearbox.functions.columns import hash_bucket
@@ -45,6 +46,61 @@ def contiguous_split_by_key(df: DataFrame, key: str, n: int, part_col: str = "pa
     return df.withColumn(part_col, part.cast("int"))
 
 
+def contiguous_split_by_file(df: DataFrame, n: int, part_col: str = "part", order_col: str | None = None) -> DataFrame:
+    """W1 for rows in the order of the files they are read from (by path, then position):
+    the same sizes as ``contiguous_split``, and no row is moved, sorted or copied.
+
+    ``df`` reads files and may only have been projected.  Parquet rows are numbered by
+    ``_metadata.row_index``, with one count a file; others by their place in the scan, with one
+    count a block.  The counts (a row per file or block, of 128 MB by default) become start offsets, only the
+    n - 1 rows at which parts begin reach the driver, and each row compares its own position with these.
+    Blocks must be cut alike when the rows are read again (``steady_file_blocks``).
+    ``order_col`` keeps the position as a sortable column.
+    """
+    where, at = [F.col("_metadata.file_path").alias("_file")], F.monotonically_increasing_id()
+    if "row_index" in df.select("_metadata").schema["_metadata"].dataType.fieldNames():
+        at = F.col("_metadata.row_index")
+    else:
+        where.append(F.col("_metadata.file_block_start").alias("_block"))
+    keys = ["_file", "_block"][:len(where)]
+    counted = df.select(*where, at.alias("_at")).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("_at").alias("first"), F.max("_at").alias("last"))
+    offsets = counted.select("*", F.coalesce(F.sum("rows").over(
+        Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+        F.sum("rows").over(Window.partitionBy()).alias("total"))
+    begins = F.transform(F.sequence(F.lit(1), F.lit(max(n - 1, 1))),
+                         lambda i: i * F.expr(f"total DIV {n}") + F.least(i, F.col("total") % n))
+    inside = F.filter(begins, lambda b: (b >= F.col("before")) & (b < F.col("before") + F.col("rows")))
+    cuts = offsets.select("*", F.explode(inside).alias("begin")).collect() if n > 1 else []
+    if any(c["last"] - c["first"] + 1 != c["rows"] for c in cuts):
+        raise ValueError("rows were filtered before the split: write them first, or use contiguous_split")
+    place = F.struct(*keys, "_at")
+    part = F.lit(1)
+    for c in cuts:
+        begin = F.struct(*[F.lit(c[k]).cast("string" if k == "_file" else "long").alias(k) for k in keys],
+                         F.lit(c["first"] + c["begin"] - c["before"]).cast("long").alias("_at"))
+        part = part + (place >= begin).cast("int")
+    placed = df.select("*", *where, at.alias("_at")).withColumn(part_col, part)
+    if order_col:
+        placed = placed.withColumn(order_col, place)
+    return placed.drop(*keys, "_at")
+
+
+@contextmanager
+def steady_file_blocks(spark: SparkSession) -> Iterator[None]:
+    """While open, the size of a scan's file blocks does not follow the number of cores that
+    happen to be registered, so that two scans cut the same files alike."""
+    name = "spark.sql.files.minPartitionNum"
+    kept = spark.conf.get(name, None)
+    if kept is None:
+        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if kept is None:
+            spark.conf.unset(name)
+
+
 def repartition_rows(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """L1: round-robin repartition (default: the cluster's default parallelism)."""
     n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
@@ -67,6 +123,13 @@ def rebalance(df: DataFrame, num_partitions: int, key: Column | str | None = Non
     return df.repartition(num_partitions, salt.alias("_salt"))
 
 
+def rebalance_by_size(df: DataFrame, *keys: Column | str) -> DataFrame:
+    """L2 with the number of partitions left to Spark: rows of equal ``keys`` (none: any rows) come
+    together, small partitions are merged and those beyond ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+    are split by the sizes that the shuffle measured, so that one key may hold any share of the rows.  Needs AQE."""
+    return df.hint("rebalance", *[F.col(k) if isinstance(k, str) else k for k in keys])
+
+
 def partition_sizes(df: DataFrame) -> DataFrame:
     """L4: rows per physical partition (``partition``, ``rows``)."""
     return (df.groupBy(F.spark_partition_id().alias("partition"))

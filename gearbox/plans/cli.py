@@ -25,11 +25,11 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gearbox.operators.clean import missing_rows
-from gearbox.operators.layout import contiguous_split, random_split, union_parts
+from gearbox.operators.layout import contiguous_split_by_file, random_split, steady_file_blocks, union_parts
 from gearbox.operators.models import (
     GBT_REFERENCE,
     GBT_REFERENCE_GRID,
@@ -63,29 +63,24 @@ def _emit(obj: dict) -> dict:
     return obj
 
 
-def file_order(df: DataFrame) -> list:
-    """Order key that reproduces the row order of the input files: file name,
-    block start, then the row's position inside its scan partition.  Take it
-    right after the scan, before any shuffle."""
-    return [F.input_file_name(), F.input_file_block_start(), F.monotonically_increasing_id()]
-
-
 def split_csv(spark: SparkSession, a) -> dict:
-    """One pass: contiguous split in file order, one ``partitionBy`` write,
-    then each ``part=<i>`` folder renamed to ``part_node<i>.csv``."""
-    df = read_csv(spark, a.input, infer_schema=a.infer_schema)
-    keyed = df.select("*", *[c.alias(f"_order{i}") for i, c in enumerate(file_order(df))])
-    order_cols = [f"_order{i}" for i in range(3)]
-    parts = contiguous_split(keyed, order_cols, a.parts).drop(*order_cols)
+    """Contiguous split in file order, one ``partitionBy`` write in which every task writes the
+    rows of its own blocks, then each ``part=<i>`` folder renamed to ``part_node<i>.csv``.  In every
+    written file the rows keep their order."""
     out = a.output.rstrip("/")
-    counts = {r["part"]: r["count"] for r in parts.groupBy("part").count().collect()}
-    write_csv(parts, f"{out}/_split", partition_by=["part"])
+    rows = Observation()
+    with steady_file_blocks(spark):
+        parts = contiguous_split_by_file(read_csv(spark, a.input, infer_schema=a.infer_schema), a.parts, order_col="_place")
+        parts = parts.sortWithinPartitions("part", "_place").drop("_place").observe(
+            rows, *[F.count_if(F.col("part") == p).alias(str(p)) for p in range(1, a.parts + 1)])
+        write_csv(parts, f"{out}/_split", partition_by=["part"])
+    counts = {int(p): c for p, c in rows.get.items()}
     sizes = {}
     for p in range(1, a.parts + 1):
         dst = f"{out}/part_node{p}.csv"
-        if p in counts:
+        if counts[p]:
             replace_path(spark, f"{out}/_split/part={p}", dst)
-        sizes[dst] = counts.get(p, 0)
+        sizes[dst] = counts[p]
     return _emit({"job": "split", "parts": sizes})
 
 

@@ -10,12 +10,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gearbox.operators.clean import cast_target, clean_and_quarantine, drop_target_null, missing_rows
+from gearbox.functions.columns import resolve_column, to_double
+from gearbox.operators.clean import REASONS, cast_target, drop_target_null, missing_rows, with_reason
 from gearbox.operators.layout import repartition_rows
 from gearbox.sinks.writers import write_csv, write_if_nonempty, write_parquet
+from gearbox.sources.fs import ensure_folder, replace_path
 from gearbox.sources.readers import read_csv, read_existing_parquet, read_first_available, read_parquet, sql_view_scan
 
 
@@ -31,25 +34,52 @@ def quarantine_job(spark: SparkSession, input_parquet: str, input_csv: str, out_
     """rows with a missing target go to ``out_parquet`` and, as a CSV folder, to ``out_csv``.
 
     Source: the Parquet copy if present, else the CSV (S6).  Nothing is
-    written when no row is missing (K5).  The CSV is made from the written
-    Parquet, not from the input again.
+    written when no row is missing (K5).  The input is read once: rows are counted
+    while they are written, and the CSV is made from the written Parquet.
     """
     df = read_first_available(spark, input_parquet, input_csv)
     missing = missing_rows(df, target)
-    if not write_if_nonempty(missing, out_parquet):
+    n = write_if_nonempty(missing, out_parquet)
+    if not n:
         return QuarantineResult(0, missing.limit(0), None)
     written = spark.read.parquet(out_parquet)
-    return QuarantineResult(written.count(), written, write_csv(written, out_csv))
+    return QuarantineResult(n, written, write_csv(written, out_csv))
+
+
+@dataclass
+class CleanResult:
+    clean: DataFrame          # the written rows with a double target
+    quarantine: DataFrame     # the written other rows as they came, with their reason
+    counts: dict[str, int]    # rows of ``clean`` and of every reason, counted while they were written
 
 
 def clean_quarantine_job(spark: SparkSession, in_csv: str, out_clean: str, out_quarantine: str,
-                         target: str = "price") -> tuple[DataFrame, DataFrame]:
-    """F4 + F5 in one job: one CSV part to clean Parquet and, every other row
-    with its reason, to quarantine Parquet.  Returns the written tables."""
-    clean, quarantine = clean_and_quarantine(read_csv(spark, in_csv), target)
-    write_parquet(clean, out_clean)
-    write_parquet(quarantine, out_quarantine)
-    return spark.read.parquet(out_clean), spark.read.parquet(out_quarantine)
+                         target: str = "price") -> CleanResult:
+    """F4 + F5 in one pass: one CSV part to clean Parquet and, every other row with its
+    reason, to quarantine Parquet.
+
+    One scan feeds one write partitioned by the reason, whose folders are then renamed, so both outputs have
+    the same stored columns: ``<target>`` as double (null in quarantine) and ``<target>_text`` as it
+    came (null in clean); quarantine has a folder a reason.
+    """
+    marked = with_reason(read_csv(spark, in_csv), target, "reason")
+    col = resolve_column(marked, target)
+    text = f"{col}_text"
+    names = [c for c in marked.columns if c != "reason"]
+    usable = F.col("reason").isNull()
+    rows = marked.select(*[F.when(usable, to_double(c)).alias(c) if c == col else F.col(c) for c in names],
+                         F.when(~usable, F.col(col)).alias(text), F.coalesce("reason", F.lit("clean")).alias("reason"))
+    seen = Observation()
+    counted = rows.observe(seen, *[F.count_if(F.col("reason") == r).alias(r) for r in ("clean",) + REASONS])
+    beside = f"{out_quarantine.rstrip('/')}.writing"
+    write_parquet(counted, beside, partition_by=["reason"])
+    counts = dict(seen.get)
+    replace_path(spark, ensure_folder(spark, f"{beside}/reason=clean"), out_clean)
+    replace_path(spark, beside, out_quarantine)
+    stored = T.StructType([f for f in rows.schema.fields if f.name != "reason"])
+    clean = spark.read.schema(stored).parquet(out_clean).drop(text)
+    quarantine = spark.read.schema(rows.schema).parquet(out_quarantine)
+    return CleanResult(clean, quarantine.select(*[F.col(text).alias(c) if c == col else F.col(c) for c in names], "reason"), counts)
 
 
 def merge_parts_job(spark: SparkSession, part_paths: list[str], out_path: str) -> DataFrame:

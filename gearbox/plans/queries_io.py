@@ -16,7 +16,14 @@ from gearbox.operators.clean import (
     missing_rows,
     select_ci,
 )
-from gearbox.operators.layout import contiguous_split_by_key, keyed_split, union_parts
+from gearbox.operators.layout import (
+    contiguous_split_by_file,
+    contiguous_split_by_key,
+    keyed_split,
+    rebalance_by_size,
+    steady_file_blocks,
+    union_parts,
+)
 from gearbox.plans.jobs import (
     clean_part_job,
     clean_quarantine_job,
@@ -33,6 +40,7 @@ from gearbox.sources.fixtures import listings, listings_raw, listings_table, tab
 from gearbox.streaming.parts import clean_parts_stream, read_stream_output
 from gearbox.sources.infer import column_types, merged_types
 from gearbox.sources.readers import (
+    footer_profile,
     read_csv,
     read_existing_parquet,
     read_first_available,
@@ -71,6 +79,37 @@ def q_part_scan(spark, sf_dir):
     return read_part(spark, path, 2)
 
 
+@register("file_order_split", ("W1", "S4"), sql("""
+select o.*, p.part from orders o
+join (select o_orderkey, cast(ntile(3) over (order by o_custkey, o_orderkey) as integer) as part from orders) p using (o_orderkey)"""))
+def q_file_order_split(spark, sf_dir):
+    """CSV files whose order is (o_custkey, o_orderkey), cut into 3 parts in file order: the parts
+    of that order, found without moving a row of the files."""
+    path = write_csv(_orders(spark, sf_dir).orderBy("o_custkey", "o_orderkey"), scratch_path(spark, "orders_in_order"))
+    with steady_file_blocks(spark):
+        parts = contiguous_split_by_file(read_csv(spark, path, schema=_orders_csv_schema(spark, sf_dir)), 3)
+        cut = write_parquet(parts, scratch_path(spark, "orders_cut"), partition_by=["part"])
+    return spark.read.parquet(cut)
+
+
+@register("footer_profile", ("A1", "P8"), sql(" union all ".join(
+    f"""select '{c}' as column_name, count({c}) as non_null, {f'cast(min({c}) as double)' if number else 'null'} as min_value,
+  {f'cast(max({c}) as double)' if number else 'null'} as max_value from lineitem"""
+    for c, number in (("l_orderkey", True), ("l_partkey", True), ("l_quantity", True), ("l_extendedprice", True),
+                      ("l_returnflag", False), ("l_shipdate", False)))))
+def q_footer_profile(spark, sf_dir):
+    """Counts and ranges from the file footers alone."""
+    wanted = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"]
+    return footer_profile(spark, sf_path(sf_dir, "lineitem"), wanted)
+
+
+@register("rebalance_by_size", ("L2", "K1"), sql("select * from orders"))
+def q_rebalance_by_size(spark, sf_dir):
+    """Rows of a status (three values, two of them with nearly all rows) written together, hot ones split."""
+    path = write_parquet(rebalance_by_size(_orders(spark, sf_dir), "o_orderstatus"), scratch_path(spark, "orders_rebalanced"))
+    return spark.read.parquet(path)
+
+
 @register("multi_path_union", ("S3", "U2"), sql("select * from orders"))
 def q_multi_path_union(spark, sf_dir):
     base = write_parquet(_orders_parts(spark, sf_dir), scratch_path(spark, "processed"), partition_by=["part"])
@@ -270,10 +309,10 @@ def q_clean_and_quarantine(spark, sf_dir):
     """Both outputs of the combined job: together every input row, once."""
     base = scratch_path(spark, "clean_quarantine")
     part = write_csv(listings_raw(spark, sf_dir), f"{base}/part_node1.csv")
-    clean, quarantine = clean_quarantine_job(spark, part, f"{base}/processed_node1.parquet", f"{base}/null_price_rows.parquet")
-    kept = (clean.select("listing_id", "price", F.col("price").cast("bigint").cast("string").alias("price_text"),
+    res = clean_quarantine_job(spark, part, f"{base}/processed_node1.parquet", f"{base}/null_price_rows.parquet")
+    kept = (res.clean.select("listing_id", "price", F.col("price").cast("bigint").cast("string").alias("price_text"),
                          F.lit(None).cast("string").alias("reason")))
-    return kept.unionByName(quarantine.select("listing_id", F.lit(None).cast("double").alias("price"),
+    return kept.unionByName(res.quarantine.select("listing_id", F.lit(None).cast("double").alias("price"),
                                               F.col("price").alias("price_text"), "reason"))
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+from gearbox.sources.fs import delete_path, replace_path
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -34,9 +37,17 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     return path
 
 
-def write_if_nonempty(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
-    """K5: write only when there is at least one row (``isEmpty`` reads one row)."""
-    if df.isEmpty():
-        return False
-    {"parquet": write_parquet, "csv": write_csv}[fmt](df, path)
-    return True
+def write_if_nonempty(df: DataFrame, path: str, fmt: str = "parquet") -> int:
+    """K5: write only when there is at least one row; returns the number of rows.
+
+    ``df`` is worked out once: the rows are counted while they are written beside
+    ``path``, and the folder is renamed if there are any, else deleted."""
+    spark, rows = df.sparkSession, Observation()
+    beside = f"{path.rstrip('/')}.writing"
+    {"parquet": write_parquet, "csv": write_csv}[fmt](df.observe(rows, F.count(F.lit(1)).alias("n")), beside)
+    n = rows.get["n"]
+    if n:
+        replace_path(spark, beside, path)
+    else:
+        delete_path(spark, beside)
+    return n

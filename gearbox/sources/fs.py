@@ -59,3 +59,16 @@ def replace_path(spark: SparkSession, src: str, dst: str) -> str:
     if not fs.rename(hsrc, hdst):
         raise OSError(f"could not rename {src} to {dst}")
     return dst
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder tree, if it is there."""
+    fs, hpath = _fs_and_path(spark, path)
+    fs.delete(hpath, True)
+
+
+def ensure_folder(spark: SparkSession, path: str) -> str:
+    """Make the folder ``path``, if it is not there."""
+    fs, hpath = _fs_and_path(spark, path)
+    fs.mkdirs(hpath)
+    return path

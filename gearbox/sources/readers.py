@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +40,50 @@ def schema_profile(df: DataFrame) -> DataFrame:
     return schema_table(df).join(long, "column_name")
 
 
+FOOTER_RANGES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+
+
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session beside the caller's that answers counts and ranges of Parquet files from their footers."""
+    footers = spark.newSession()
+    footers.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return footers
+
+
+def footer_profile(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """A1 from Parquet footers: ``(column_name, non_null, min_value, max_value)`` of the flat columns,
+    ranges (as doubles) for numbers.  No column chunk is read: the aggregates are pushed down into the
+    scan, one footer a file.  Where a footer lacks what is asked (a row group of nulls alone has no range, some writers
+    leave statistics out), these counts or these ranges are worked out from the columns instead.
+    """
+    footers = footer_session(spark)
+    table = read_parquet(spark, path, columns)
+    flat = [f for f in table.schema.fields if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))]
+    numbers = [f.name for f in flat if isinstance(f.dataType, FOOTER_RANGES)]
+    asked = {"count": ([f.name for f in flat], [F.count]), "range": (numbers, [F.min, F.max])}
+    found: dict[str, dict[str, tuple]] = {}
+    for kind, (names, functions) in asked.items():
+        aggs = [fn(F.col(f"`{c}`")) for c in names for fn in functions]
+        if not aggs:
+            found[kind] = {}
+            continue
+        try:
+            row = read_parquet(footers, path, columns).agg(*aggs).first()
+        except Py4JJavaError as e:
+            if "spark.sql.parquet.aggregatePushdown" not in str(e):
+                raise
+            row = table.agg(*aggs).first()
+        k = len(functions)
+        found[kind] = {c: tuple(row[i * k:(i + 1) * k]) for i, c in enumerate(names)}
+
+    def number(v) -> float | None:
+        return None if v is None else float(v)
+
+    rows = [(c, *n, *[number(v) for v in found["range"].get(c, (None, None))]) for c, n in found["count"].items()]
+    return spark.createDataFrame(rows, "column_name string, non_null long, min_value double, max_value double")
+
+
 def require_schema(df: DataFrame, expected: T.StructType, check_nullable: bool = False) -> DataFrame:
     """Assert the columns, order and types of ``df`` on read; ``ValueError`` lists the differences."""
     def norm(fs):
