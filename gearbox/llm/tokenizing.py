@@ -95,25 +95,33 @@ class WordBpe:
         self.special = [t["content"] for t in spec.get("added_tokens") or ()]
         self.separable = _word_pattern(spec)
         self.fast = _end_marked(spec, self.END) if self.separable else None
+        self.merges = _merges(spec, self.END) if self.fast else None
 
     @classmethod
     @lru_cache(maxsize=4)
     def of(cls, path: str) -> WordBpe:
         return cls(path)
 
-    def count(self, text: str) -> int:
-        """Tokens of a text that holds no special token's string."""
+    def closed(self, text: str) -> bytes | None:
+        """The text's words, each closed by ``END``; None for the library."""
         if self.fast is None or not is_latin(text) or self._other.search(text):
-            return len(self.tokenizer.encode(text, add_special_tokens=False))
+            return None
         low = text.lower()
         quoted = "'" in low
         if quoted:
             low = self._contraction.sub(f" {self._mark}\\1 ", low)
         words = self._digit.sub(r" \1 ", self._signs.sub(r" \1 ", low)).split()
         if not words:
-            return 0
+            return b""
         closed = self.END.join(words) + self.END
-        return len(self.fast(closed.replace(self._mark, "'") if quoted else closed))
+        return (closed.replace(self._mark, "'") if quoted else closed).encode()
+
+    def count(self, text: str) -> int:
+        """Tokens of a text that holds no special token's string, by the libraries."""
+        closed = self.closed(text)
+        if closed is None:
+            return len(self.tokenizer.encode(text, add_special_tokens=False))
+        return len(self.fast(closed.decode())) if closed else 0
 
 
 # The pre-tokenizer pattern that ``WordBpe.count`` follows.
@@ -132,25 +140,43 @@ def _word_pattern(spec: dict) -> bool:
             and last.get("type") == "ByteLevel" and not last.get("use_regex") and not last.get("add_prefix_space"))
 
 
+def _raw_token(spec: dict, end: str):
+    """Function from a token's spelling to its bytes, with ``end`` for the word end."""
+    visible = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+    hidden = [b for b in range(256) if b not in set(visible)]
+    byte = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    suffix = spec["model"].get("end_of_word_suffix") or ""
+
+    def raw(token: str) -> bytes:
+        closed = bool(suffix) and token.endswith(suffix)
+        return bytes(byte[c] for c in (token[:-len(suffix)] if closed else token)) + (end.encode() if closed else b"")
+
+    return raw
+
+
+def _pair(merge) -> list[str]:
+    return merge if isinstance(merge, list) else merge.split(" ")
+
+
+def _merges(spec: dict, end: str) -> list[tuple[bytes, bytes]]:
+    raw = _raw_token(spec, end)
+    return [(raw(left), raw(right)) for left, right in map(_pair, spec["model"]["merges"])]
+
+
 def _end_marked(spec: dict, end: str):
     """``encode_ordinary`` over words closed by ``end``, or None if the
     vocabulary's order is not that of its merges."""
     import tiktoken
 
-    visible = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
-    hidden = [b for b in range(256) if b not in set(visible)]
-    byte = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
-    model = spec["model"]
+    model, raw = spec["model"], _raw_token(spec, end)
     suffix = model.get("end_of_word_suffix") or ""
     special = {t["content"] for t in spec.get("added_tokens") or ()}
     ranks = {}
     for token, i in model["vocab"].items():
         if token in special:
             continue
-        closed = bool(suffix) and token.endswith(suffix)
-        raw = bytes(byte[c] for c in (token[:-len(suffix)] if closed else token))
-        ranks[raw + (end.encode() if closed else b"")] = i
-    merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        ranks[raw(token)] = i
+    merged = [model["vocab"]["".join(_pair(m))] for m in model["merges"]]
     singles = 256 + 256 * bool(suffix)
     if not suffix or merged != sorted(merged) or merged[0] < singles or len(ranks) != singles + len(merged):
         return None

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from gearbox.llm import mixing, packing, pii, quality, token_counts, toxicity
 from gearbox.llm.common import table, tokenizer_path
 from gearbox.llm.tokenizing import ByteBpe, library
+from gearbox.llm.word_transducer import WordTransducer
 
 SF = "/root/testdata/sf0.01"
 
@@ -245,6 +246,47 @@ def test_word_counts_equal_the_library():
         assert [machine.count(t, chunk) for t in texts[:1500]] == want[:1500]
 
 
+@pytest.mark.parametrize("max_states", [1 << 18, 50])
+def test_compiled_transducer_equals_the_library(max_states):
+    path = tokenizer_path("word_bpe_49k.json")
+    machine = token_counts.Transducer(path, max_states)
+    rng = random.Random(5)
+    latin = [chr(c) for c in range(33, 127)] + [chr(c) for c in range(0xA1, 0x100)]
+    texts = odd_texts(6, 1500) + ["".join(rng.choice(latin) for _ in range(n)) for n in (255, 256, 257, 511, 1024, 9000)]
+    texts += ["".join(rng.choice("abcdehinorst") for _ in range(n)) for n in (1, 254, 255, 256, 257, 512, 513, 5000)]
+    texts += [" ".join("".join(rng.choice("aehinorstéü") for _ in range(rng.randint(1, 40))) for _ in range(3000)), "x" * 700 + " a", ""]
+    want = [len(e) for e in library(path).encode_batch(texts, add_special_tokens=False)]
+    assert machine.counts(texts) == want
+    assert machine.counts(texts, 64) == want
+
+
+def test_emissions_of_words_are_found_in_any_lane():
+    machine = token_counts.transducer(tokenizer_path("word_bpe_49k.json"))
+    words = ["the", "international", "b", "thethethe" * 40, "été", "zzzz" * 200, "1", "...", "q" * 600, "end"]
+    alone = [machine.count(w) for w in words]
+    for turn in range(len(words)):
+        turned = words[turn:] + words[:turn]
+        assert machine.count(" ".join(turned)) == sum(alone)
+
+
+def test_merges_that_give_another_token_first():
+    compiled = WordTransducer([(b"a", b"b"), (b"b", b"c"), (b"ab", b"c"), (b"a", b"bc"), (b"c", b"d\0"), (b"ab", b"cd\0")], 8)
+
+    def merged(word):  # the definition: the first merge in order, leftmost, until there is none
+        parts = [bytes([c]) for c in word[:-1]] + [word[-1:] + b"\0"]
+        order = {m: i for i, m in enumerate([(b"a", b"b"), (b"b", b"c"), (b"ab", b"c"), (b"a", b"bc"), (b"c", b"d\0"), (b"ab", b"cd\0")])}
+        while True:
+            found = min(((order[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in order), default=None)
+            if found is None:
+                return len(parts)
+            i = found[1]
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+    rng = random.Random(8)
+    words = [bytes(rng.choice(b"abcd") for _ in range(rng.randint(1, 12))) for _ in range(2000)]
+    assert compiled.counts([w + b"\0" for w in words]) == [merged(w) for w in words]
+
+
 def test_state_maps_compose_associatively():
     machine = token_counts.transducer(tokenizer_path("word_bpe_49k.json"))
     rng = random.Random(3)
