@@ -39,6 +39,7 @@ from gearbox.sinks.writers import write_csv, write_parquet
 from gearbox.sources.fixtures import listings, listings_raw, listings_table, table
 from gearbox.streaming.parts import clean_parts_stream, read_stream_output
 from gearbox.sources.infer import column_types, merged_types
+from gearbox.sources.quoted_csv import read_quoted_csv
 from gearbox.sources.readers import (
     footer_profile,
     read_csv,
@@ -140,6 +141,14 @@ def q_csv_null_tokens(spark, sf_dir):
     return read_csv(spark, path, schema=LISTINGS_RAW, null_tokens=["n/a", "NA", "None"])
 
 
+@register("csv_quoted_breaks", ("S10", "S4", "K6"), sql("select doc_id, text, lang, source, n_chars from documents"))
+def q_csv_quoted_breaks(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = write_csv(docs, scratch_path(spark, "quoted_breaks_csv"))
+    with steady_file_blocks(spark):
+        return read_quoted_csv(spark, path, docs.schema)
+
+
 @register("schema_inspection", ("P8", "A1"), sql("""
 with d as (select cast(row_number() over () as integer) as position, column_name,
                   case column_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int'

@@ -132,7 +132,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     Empty fields read as NULL; quoted empty strings stay empty strings, and
     leading/trailing spaces are kept, so blank values survive a round trip.
     ``multi_line`` reads fields with line breaks (such files are not split: one
-    task reads a whole file).  ``null_value`` adds a token (for example ``"NA"``) that reads as NULL.
+    task reads a whole file; ``quoted_csv.read_quoted_csv`` splits them).  ``null_value`` adds a token (for example ``"NA"``) that reads as NULL.
     ``null_tokens`` (several tokens, like pandas' ``NA``/``None``/``n/a``
     defaults): fields equal to any token become NULL in every column; with
     a ``schema`` the columns are read as text first and then converted with
