@@ -34,6 +34,7 @@ from gearbox.operators.metrics import (
     regression_metrics,
 )
 from gearbox.operators.sketches import merged_percentiles, part_sketches
+from gearbox.operators.sparse import CategoryIndex, sparse_vectors
 from gearbox.operators.stats import (
     approx_percentiles,
     category_frequencies,
@@ -292,6 +293,13 @@ def q_assemble(spark, sf_dir):
     return assembled_entries(model.transform(df), KEY)
 
 
+@register("sparse_assemble", ("E1", "E2", "E3", "E6", "E7"), sql(_assemble_sql(), "listings"))
+def q_sparse_assemble(spark, sf_dir):
+    df = listings_table(spark, sf_dir)
+    vectors = sparse_vectors(df, CategoryIndex(df, GBT_CATEGORICALS), NUMERIC_FEATURES, keep=[KEY])
+    return assembled_entries(vectors, KEY)
+
+
 @register("feature_width", ("E4",), sql(f"""
 select cast({len(NUMERIC_FEATURES)} + sum(c - 1) as integer) as width
 from ({" union all ".join(f"select count(distinct {c}) as c from listings" for c in MLP_CATEGORICALS)})""",
