@@ -213,7 +213,10 @@ def edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chain:
 def similar(prints: DataFrame, id_col: str = "doc_id", threshold: float = 0.8) -> DataFrame:
     """``a, b, likeness`` of all pairs of distinct fingerprints with likeness of at
     least ``threshold`` and rows in common; ``a`` and ``b`` are the smallest ids
-    with that fingerprint.  Fingerprints without signatures have no pairs."""
+    with that fingerprint.  Fingerprints without signatures have no pairs, and at a
+    threshold of 1 none has, as distinct ones are never that alike."""
+    if threshold >= 1:
+        return prints.select(F.col(id_col).alias("a"), F.col(id_col).alias("b"), F.lit(1.0).alias("likeness")).where(F.lit(False))
     classes = (prints.where(F.size("signatures") > 0).groupBy("signatures").agg(F.min(id_col).alias("id"))
                .where(F.col("id").isNotNull()).withColumn("n", F.size("signatures")))
     counts = classes.select(F.explode("signatures").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("df"))

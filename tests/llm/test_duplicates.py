@@ -220,3 +220,4 @@ def test_similar_pairs(spark):
     sets = [set(s) for s in sets]
     want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
     assert got == want and want
+    assert spotsigs.similar(df, threshold=1).collect() == spotsigs.similar(df.limit(0)).collect() == []
