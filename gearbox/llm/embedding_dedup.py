@@ -7,20 +7,26 @@ The top of the tree is a farthest-point net over a bounded sample (at most
 ``SAMPLE`` classes by hash, ``TOP`` centres): every class of the table is
 assigned to its nearest centre, and each top node gets its covering radius from
 all its members.  A class meets another node only if its distance to the
-node's centre is at most the node's radius plus r.  A node with more than
-``BLOCK`` members is dealt into blocks by hash, so a task holds two blocks
-however large a node is.
-
-Within a task both blocks get a cover tree of nested levels with radii 1, 1/2,
-1/4 and 1/8, and the two trees are traversed together: at each level, node pairs
-whose centres are further apart than r plus both covering radii are dropped
-with everything below them; what is left at the bottom is compared exactly in
-double precision.  A task reports sums of links and a spanning forest, never
-all its pairs.
+node's centre is at most the node's radius plus r.  A node is dealt into groups
+by hash, few enough that a class is sent about as often as the square root of
+the tasks asks for, of at most ``GROUP`` classes; a task holds two groups however
+large a node is.
+
+Within a task the groups are cut into blocks of ``BLOCK``, and each block gets a cover
+tree of nested levels with radii 1, 1/2, 1/4 and 1/8, as far down as a level still
+gathers rows (``GATHERS`` rows a node).  Two blocks' trees are traversed together:
+at each level, node pairs whose centres are further apart than r plus both covering
+radii are dropped with everything below them.  What is left is compared
+through a bound: with vectors turned so that the first coordinates hold the most of the
+sample, the cosine is at most the product of the first ``LEADING`` coordinates plus
+the product of the two remainders' lengths (Cauchy-Schwarz), one short
+single-precision product with room for its rounding.  Only pairs that the bound
+lets through are compared, in double precision.  A task reports sums of links and a spanning
+forest, never all its pairs.
 
 In data without structure (far apart points in many dimensions) no bound can
-drop node pairs before the level of radius 1, and the work is that of all
-pairs of distinct vectors, in blocks.
+drop node pairs, and the work is that of all pairs of distinct vectors, by the
+short product.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing (their component is their own id); vectors of
@@ -42,8 +48,13 @@ from gearbox.llm.common import connected_components, map_in_arrow, materialise
 THRESHOLD = 0.95
 SAMPLE = 2048
 TOP = 16
+GROUP = 32768
 BLOCK = 4096
 STRIP = 512
+GATHERS = 4  # rows a node on average below which a level is not worth its node pairs
+HEAD = 256  # rows that may become centres at a time; where most of them do, the level is not worth it either
+LEADING = 24
+BOUND_SLACK = 1e-4  # rounding of the single-precision bound
 LEVELS = (1.0, 0.5, 0.25, 0.125)
 SLACK = 1e-6  # rounding of distances from inner products
 
@@ -69,18 +80,38 @@ def farthest_points(x: np.ndarray, most: int, radius: float) -> np.ndarray:
     return x[chosen]
 
 
+def turned(x: np.ndarray) -> np.ndarray:
+    """Orthogonal matrix whose first columns are the directions that hold the most of ``x``."""
+    return np.linalg.eigh(x.T @ x)[1][:, ::-1]
+
+
+def leading(x: np.ndarray, turn: np.ndarray | None = None) -> np.ndarray:
+    """``LEADING`` coordinates and the length of the rest (products bound the inner product from above), single precision."""
+    if turn is not None:
+        x = x @ turn
+    if x.shape[1] <= LEADING + 1:
+        return x.astype(np.float32)
+    rest = np.sqrt((x[:, LEADING:] ** 2).sum(axis=1))
+    return np.concatenate([x[:, :LEADING], rest[:, None]], axis=1).astype(np.float32)
+
+
 class CoverTree:
     """Nested levels over unit vectors: ``centre[l]`` rows that are nodes of level
     l, ``parent[l]`` the place of each one's parent in level l - 1, ``radius[l]``
-    covering radii, ``leaf`` the last level's node of every row."""
+    covering radii, ``leaf`` the node of every row in the last level; ``first`` the coordinates of the bound.
+    Levels end where one has too many nodes to gather rows."""
 
-    def __init__(self, x: np.ndarray):
+    def __init__(self, x: np.ndarray, turn: np.ndarray | None = None):
         self.x = x
+        self.first = leading(x, turn)
         of = np.zeros(len(x), dtype=np.int64)  # node of every row in the level above
         n_above = 1
         self.centre, self.parent, self.radius = [], [], []
         for rho in LEVELS:
-            centre, node = self._level(of, n_above, rho)
+            level = self._level(of, n_above, rho)
+            if level is None:
+                break
+            centre, node = level
             far = np.zeros(len(centre))
             np.maximum.at(far, node, np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", x, x[centre[node]]), 0)))
             self.centre.append(centre)
@@ -89,9 +120,10 @@ class CoverTree:
             of, n_above = node, len(centre)
         self.leaf = of
 
-    def _level(self, of: np.ndarray, n_above: int, rho: float) -> tuple[np.ndarray, np.ndarray]:
-        """Greedy net of radius rho within every node of the level above."""
+    def _level(self, of: np.ndarray, n_above: int, rho: float) -> tuple[np.ndarray, np.ndarray] | None:
+        """Greedy net of radius rho within every node of the level above; None where it gathers too few rows."""
         x = self.x
+        most = len(x) / GATHERS
         node = np.full(len(x), -1, dtype=np.int64)
         centre: list[int] = []
         alone = np.bincount(of, minlength=n_above)[of] == 1
@@ -105,12 +137,14 @@ class CoverTree:
             left = members
             while len(left):
                 # the first rows left: those not within rho of an earlier one become centres
-                head = left[:256]
+                head = left[:HEAD]
                 close = distances(x[head], x[head]) <= rho
                 picked: list[int] = []
                 for k in range(len(head)):
                     if not close[k, picked].any():
                         picked.append(k)
+                if len(centre) + len(picked) > most or (len(left) > HEAD * GATHERS and len(picked) * 4 > len(head) * 3):
+                    return None
                 d = distances(x[left], x[head[picked]])
                 nearest = d.argmin(axis=1)
                 got = d[np.arange(len(left)), nearest] <= rho + SLACK
@@ -121,12 +155,21 @@ class CoverTree:
                 left = left[~got]
         return np.array(centre, dtype=np.int64), node
 
+    def nodes(self, depth: int) -> np.ndarray:
+        """The node of every row after ``depth`` levels."""
+        node = self.leaf
+        for level in range(len(self.centre) - 1, depth - 1, -1):
+            node = self.parent[level][node]
+        return node
+
 
 def dual(a: CoverTree, b: CoverTree, threshold: float) -> np.ndarray:
     """Boolean matrix of the rows of ``a`` and ``b`` with cosine >= threshold."""
     r = np.sqrt(max(0.0, 2 - 2 * threshold))
+    found = np.zeros((len(a.x), len(b.x)), dtype=bool)
+    depth = min(len(a.centre), len(b.centre))
     alive = np.ones((1, 1), dtype=bool)
-    for level in range(len(LEVELS)):
+    for level in range(depth):
         ca, cb = a.x[a.centre[level]], b.x[b.centre[level]]
         pa_, pb_ = a.parent[level], b.parent[level]
         now = np.zeros((len(ca), len(cb)), dtype=bool)
@@ -138,16 +181,36 @@ def dual(a: CoverTree, b: CoverTree, threshold: float) -> np.ndarray:
             now[np.ix_(i, columns)] = (distances(ca[i], cb[columns]) <= bound) & alive[np.ix_(pa_[i], pb_[columns])]
         alive = now
         if not alive.any():
-            return np.zeros((len(a.x), len(b.x)), dtype=bool)
-    found = np.zeros((len(a.x), len(b.x)), dtype=bool)
-    rows = np.flatnonzero(alive.any(axis=1)[a.leaf])
-    columns = np.flatnonzero(alive.any(axis=0)[b.leaf])
-    for s in range(0, len(rows), STRIP):
-        i = rows[s:s + STRIP]
-        found[np.ix_(i, columns)] = (a.x[i] @ b.x[columns].T >= threshold) & alive[np.ix_(a.leaf[i], b.leaf[columns])]
+            return found
+    leaf_a, leaf_b = a.nodes(depth), b.nodes(depth)
+    # the rows of a node lie together, so that a strip meets few columns
+    order = np.argsort(leaf_a, kind="stable")
+    order = order[alive.any(axis=1)[leaf_a[order]]]
+    for s in range(0, len(order), STRIP):
+        i = order[s:s + STRIP]
+        columns = np.flatnonzero(alive[np.unique(leaf_a[i])].any(axis=0)[leaf_b])
+        bound = a.first[i] @ b.first[columns].T >= np.float32(threshold - BOUND_SLACK)
+        p, q = np.divmod(np.flatnonzero(bound), max(1, len(columns)))
+        if len(p) * 8 > bound.size:  # most pairs: one product
+            found[np.ix_(i, columns)] = bound & (a.x[i] @ b.x[columns].T >= threshold)
+            continue
+        for t in range(0, len(p), 1 << 16):
+            one, other = i[p[t:t + (1 << 16)]], columns[q[t:t + (1 << 16)]]
+            found[one, other] = np.einsum("ij,ij->i", a.x[one], b.x[other]) >= threshold
     return found
 
 
+def linked(found: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that every class of either side links with, the classes standing for ``n_a`` and ``n_b`` rows."""
+    of_a, of_b = np.zeros(len(n_a), dtype=np.int64), np.zeros(len(n_b), dtype=np.int64)
+    for s in range(0, len(n_a), STRIP):
+        p, q = np.divmod(np.flatnonzero(found[s:s + STRIP]), len(n_b))
+        if len(p):
+            of_a[s:s + STRIP] = np.bincount(p, weights=n_b[q], minlength=len(of_a[s:s + STRIP])).astype(np.int64)
+            of_b += np.bincount(q, weights=n_a[s + p], minlength=len(n_b)).astype(np.int64)
+    return of_a, of_b
+
+
 def forest(found: np.ndarray) -> tuple[list[int], list[int]]:
     """Links (row of a, row of b as len(a) + row) that span the components of a two-sided relation."""
     n, m = found.shape
@@ -182,12 +245,18 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return unit(np.asarray(column.flatten().to_numpy(zero_copy_only=False)).reshape(-1, dim))
 
 
+def _found(a: np.ndarray, links: np.ndarray, b: np.ndarray, edge: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(links, pa.int64()), pa.array(b, pa.int64()),
+                                       pa.array(np.full(len(a), edge))], names=["a", "links", "b", "edge"])
+
+
 def _links(classes: DataFrame, dim: int, threshold: float) -> DataFrame:
     """``class, links`` (linked vectors found in one task) and ``a, b`` forest edges, of the classes of one length."""
     r = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     mine = classes.where(F.col("dim") == dim)
     sample = mine.orderBy(F.xxhash64("v"), "class").limit(SAMPLE).select("v").collect()
-    centres = farthest_points(unit(np.array([s["v"] for s in sample])), TOP, LEVELS[0] / 2)
+    sample = unit(np.array([s["v"] for s in sample]))
+    centres, turn = farthest_points(sample, TOP, LEVELS[0] / 2), turned(sample)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -198,7 +267,11 @@ def _links(classes: DataFrame, dim: int, threshold: float) -> DataFrame:
     stats = {s["node"]: s for s in mine.select("v").transform(map_in_arrow, assign, "node int, d double").groupBy("node")
              .agg(F.max("d").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}  # TOP rows at most
     radius = np.array([stats[k]["radius"] if k in stats else -10.0 for k in range(len(centres))])
-    blocks = np.array([-(-stats[k]["n"] // BLOCK) if k in stats else 0 for k in range(len(centres))])
+    # as many pairs of groups as keep all tasks busy, no more: a class is sent once for every group it meets
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = sum(s["n"] for s in stats.values())
+    most = min(GROUP, max(BLOCK // 4, -(-total // int(np.ceil(np.sqrt(4 * parts))))))
+    blocks = np.array([-(-stats[k]["n"] // most) if k in stats else 0 for k in range(len(centres))])
     first = np.concatenate([[0], np.cumsum(blocks)])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,29 +304,35 @@ def _links(classes: DataFrame, dim: int, threshold: float) -> DataFrame:
         low, high = pair >> 32, pair & 0xFFFFFFFF
         block = rows.column(1).to_numpy()
         ids, n = rows.column(2).to_numpy(), rows.column(3).to_numpy()
+        here = np.flatnonzero(block == low)
+        there = np.flatnonzero(block == high) if low != high else here
+        if not len(here) or not len(there):
+            return
         x = _matrix(rows.column(4).combine_chunks(), dim)
-        here = block == low
-        a = CoverTree(x[here])
-        if low == high:
-            found = dual(a, a, threshold)
-            np.fill_diagonal(found, False)
-            one, other = forest(found)
-            of, links = ids, found @ n
-            name = np.concatenate([ids, ids])
-        else:
-            if here.all() or not here.any():
-                return
-            found = dual(a, CoverTree(x[~here]), threshold)
-            one, other = forest(found)
-            name = of = np.concatenate([ids[here], ids[~here]])
-            links = np.concatenate([found @ n[~here], n[here] @ found])
+        links = np.zeros(len(ids), dtype=np.int64)
+
+        def cut(members: np.ndarray) -> list[tuple[np.ndarray, CoverTree]]:
+            return [(m, CoverTree(x[m], turn)) for m in (members[s:s + BLOCK] for s in range(0, len(members), BLOCK))]
+
+        ours = cut(here)
+        theirs = ours if low == high else cut(there)
+        for k, (i, a) in enumerate(ours):
+            for j, b in theirs[k:] if low == high else theirs:
+                found = dual(a, b, threshold)
+                if i is j:
+                    np.fill_diagonal(found, False)
+                    links[i] += linked(found, n[i], n[i])[0]
+                    names = np.concatenate([ids[i], ids[i]])
+                else:
+                    of_i, of_j = linked(found, n[i], n[j])
+                    links[i] += of_i
+                    links[j] += of_j
+                    names = np.concatenate([ids[i], ids[j]])
+                one, other = forest(found)
+                if one:
+                    yield _found(names[one], np.zeros(len(one), np.int64), names[other], True)
         some = np.flatnonzero(links)
-        root, linked = name[one], name[other]
-        k, e = len(some), len(root)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([of[some], root]), pa.int64()), pa.array(np.concatenate([links[some], np.zeros(e, np.int64)]), pa.int64()),
-             pa.array(np.concatenate([np.zeros(k, np.int64), linked]), pa.int64()),
-             pa.array(np.concatenate([np.zeros(k, bool), np.ones(e, bool)]))], names=["a", "links", "b", "edge"])
+        yield _found(ids[some], links[some], np.zeros(len(some), np.int64), False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -269,7 +348,6 @@ def _links(classes: DataFrame, dim: int, threshold: float) -> DataFrame:
         if held is not None:
             yield from compare(held)
 
-    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_pairs = int(first[-1]) * (int(first[-1]) + 1) // 2
     return (dealt.repartition(max(1, parts, min(n_pairs, 4 * parts)), "pair").sortWithinPartitions("pair", "block", "class")
             .transform(map_in_arrow, run, "a bigint, links bigint, b bigint, edge boolean"))

@@ -161,8 +161,9 @@ def test_vectors_by_cover_tree(spark, monkeypatch):
     near_pairs = np.argwhere(cos >= 0.95)
     want = union([tuple(map(int, p)) for p in near_pairs], range(len(x)))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
-    for block in (4096, 60):
+    for block, group in ((4096, 32768), (60, 32768), (60, 200)):
         monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+        monkeypatch.setattr(embedding_dedup, "GROUP", group)
         got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(df).collect()}
         assert [got[i]["n_links"] for i in range(len(x))] == (cos >= 0.95).sum(axis=1).tolist()
         assert {i: r["component_id"] for i, r in got.items()} == want
@@ -177,6 +178,23 @@ def test_dual_traversal_drops_nothing():
         assert (found == (a @ b.T >= t)).all()
 
 
+def test_vectors_without_structure_are_compared_by_the_bound():
+    """No level gathers rows there: none is built, and few pairs are compared whole (levels and all pairs before)."""
+    rng = np.random.default_rng(6)
+    x = embedding_dedup.unit(rng.normal(size=(1500, 64)))
+    y = embedding_dedup.unit(np.concatenate([x[:40] + 0.03 * rng.normal(size=(40, 64)), rng.normal(size=(900, 64))]))
+    turn = embedding_dedup.turned(x)
+    a, b = (embedding_dedup.CoverTree(v, turn) for v in (x, y))
+    assert not a.centre and not b.centre
+    bound = a.first @ b.first.T
+    assert (bound >= x @ y.T - 1e-5).all() and (bound >= 0.95).mean() < 0.001
+    found = embedding_dedup.dual(a, b, 0.95)
+    assert (found == (x @ y.T >= 0.95)).all() and found.sum() >= 30
+    n_a, n_b = rng.integers(1, 9, 1500), rng.integers(1, 9, 940)
+    of_a, of_b = embedding_dedup.linked(found, n_a, n_b)
+    assert (of_a == found @ n_b).all() and (of_b == n_a @ found).all()
+
+
 def jaccard(a, b):
     a, b = set(a.tolist()), set(b.tolist())
     return len(a & b) / len(a | b) if a | b else 1.0
