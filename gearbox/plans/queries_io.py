@@ -32,6 +32,7 @@ from gearbox.plans.jobs import (
     merge_parts_job,
     quarantine_job,
 )
+from gearbox.operators.ordering import partitions_for_rows
 from gearbox.plans.registry import NOT_NULL_RAW, register, sql
 from gearbox.schema import LISTINGS, LISTINGS_RAW
 from gearbox.session import scratch_path, sf_path
@@ -52,6 +53,7 @@ from gearbox.sources.readers import (
 )
 
 ORDERS_PARTS_SQL = "(select *, cast(ntile(3) over (order by o_orderkey) as integer) as part from orders)"
+RAW_ROW_BYTES = 128  # a raw listing in a shuffle, or as CSV
 MISSING_PRICE = "(price is null or trim(price) = '')"
 
 
@@ -302,9 +304,12 @@ def q_stream_clean_parts(spark, sf_dir):
     """The clean job as a stream: CSV parts in a folder -> micro-batches ->
     clean Parquet (and quarantine Parquet); read back the clean table."""
     base = scratch_path(spark, "stream_parts")
-    write_csv(listings_raw(spark, sf_dir).repartition(3), f"{base}/incoming")
+    raw = listings_raw(spark, sf_dir)
+    # three batches whatever the size, of as many files as keep a task's share near the advisory size
+    files = max(1, partitions_for_rows(spark, -(-raw.count() // 3), RAW_ROW_BYTES))
+    write_csv(raw.repartition(3 * files), f"{base}/incoming")
     q = clean_parts_stream(spark, f"{base}/incoming", f"{base}/clean", f"{base}/quarantine", LISTINGS_RAW,
-                           f"{base}/_checkpoint", max_files_per_trigger=1)
+                           f"{base}/_checkpoint", max_files_per_trigger=files)
     q.awaitTermination()
     return read_stream_output(spark, f"{base}/clean")
 
