@@ -97,13 +97,14 @@ class Block:
         self.rank[np.lexsort((row, ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)))] = np.arange(len(row))
         self.tree = CoverTree(space.augment(x))
         self.order = np.argsort(self.tree.leaf, kind="stable")
-        self.start = np.searchsorted(self.tree.leaf[self.order], np.arange(len(self.tree.centre[-1]) + 1))
+        leaves = len(self.tree.centre[-1]) if self.tree.centre else 1  # no levels: one leaf holds all rows
+        self.start = np.searchsorted(self.tree.leaf[self.order], np.arange(leaves + 1))
 
     def leaves(self, q: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Leaves that may hold scores within [low, high] of each query, and their upper bounds:
         level by level, what lies outside goes with everything below it."""
         tree, q = self.tree, q.astype(np.float64)
-        alive = np.ones((len(q), 1), dtype=bool)
+        alive, most = np.ones((len(q), 1), dtype=bool), np.full((len(q), 1), np.inf)
         for centre, parent, radius in zip(tree.centre, tree.parent, tree.radius):
             least, most = self.space.interval(q, tree.x[centre], radius)
             alive = alive[:, parent] & (most >= low[:, None]) & (least <= high[:, None])

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gearbox.llm import hard_negatives
+from gearbox.llm.embedding_dedup import CoverTree, unit
 from gearbox.llm.hard_negatives import LONG, mine, scores
 
 SCHEMA = "vec_id long, embedding array<double>, label int"
@@ -52,6 +53,18 @@ def test_equals_brute_force(spark, monkeypatch, copies):
     assert found(df, anchor=F.col("id") % 9 == 0) == sorted(brute(rows, lambda a: a % 9 == 0), key=repr)
 
 
+@pytest.mark.parametrize("n", [2, 3, 120])
+def test_rows_that_no_level_gathers(spark, n):
+    """Blocks whose tree has no level: a few rows, or rows that all lie apart."""
+    draw = np.random.default_rng(n)
+    rows = [(i, [float(c) for c in draw.normal(size=48)], i % 3 if n > 3 else 0) for i in range(n)]
+    rows += [(200, [0.25 * c for c in rows[0][1]], 5)]
+    assert not CoverTree(unit(np.array([v for _, v, _ in rows]))).centre
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    want = brute(rows, lambda a: True, lowest=-500, highest=500)
+    assert want and found(df, lowest=-500, highest=500) == sorted(want, key=repr)
+
+
 def test_lengths_and_parameters(spark):
     rows = [(i, [float(c) for c in np.random.default_rng(i).normal(size=(3, 5, 0)[i % 3])], i % 2) for i in range(80)]
     df = spark.createDataFrame(rows, SCHEMA)
