@@ -4,8 +4,6 @@ intermediate tables and connected components."""
 from __future__ import annotations
 
 import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gearbox.session import release_scratch, scratch_path
+from gearbox.session import release_scratch, scratch_path, ship_package
 
 # The white space of the word definition [^\x20\x09-\x0D]+.
 SPACES = "\\x20\\x09-\\x0D"
@@ -38,31 +36,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_SHIPPED: set[str] = set()
-
-
-def _ship_package(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once per application, as
-    ``--py-files`` would: tasks then import it wherever the driver was started."""
-    app, package = spark.sparkContext.applicationId, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    if app in _SHIPPED or not os.path.isdir(package):  # a package inside a zip was shipped with the application
-        return
-    name = os.path.basename(package)
-    archive = os.path.join(tempfile.mkdtemp(prefix=f"{name}-code-"), f"{name}.zip")
-    with zipfile.ZipFile(archive, "w") as z:
-        for folder, _, files in sorted(os.walk(package)):
-            for f in sorted(files):
-                if f.endswith(".py"):
-                    full = os.path.join(folder, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
-    spark.sparkContext.addPyFile(archive)
-    _SHIPPED.add(app)
-
-
 def map_in_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                  schema: T.StructType | str) -> DataFrame:
     """``df.mapInArrow`` with this package's code at hand on the executors."""
-    _ship_package(df.sparkSession)
+    ship_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
