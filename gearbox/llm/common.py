@@ -15,6 +15,7 @@ from gearbox.session import release_scratch, scratch_path, ship_package
 
 # The white space of the word definition [^\x20\x09-\x0D]+.
 SPACES = "\\x20\\x09-\\x0D"
+SLICE_BYTES = 1 << 20  # of a batch that a task turns into strings at once
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +44,15 @@ def map_in_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterato
     return df.mapInArrow(fn, schema)
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in order, about ``size`` bytes at a time (a row at least): what a
+    task makes of a batch besides (strings, columns to give back) stays as small."""
+    for b in batches:
+        step = max(1, b.num_rows * size // max(1, b.nbytes))
+        for at in range(0, b.num_rows, step):
+            yield b.slice(at, step)
+
+
 def word_count(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` words (0 for null)."""
     spaced = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")

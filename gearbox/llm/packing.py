@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gearbox.llm.common import id_and_text, map_in_arrow, tokenizer_path
+from gearbox.llm.common import id_and_text, in_slices, map_in_arrow, tokenizer_path
 from gearbox.llm.tokenizing import ByteBpe
 
 WINDOW = 1024
@@ -148,7 +148,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
                     offset += len(ids) // 4
                 next_id += 1
 
-        for b in batches:
+        for b in in_slices(batches):
             kind = b.column(0).type
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 ids = bpe.ids(text) + end

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gearbox.llm.common import connected_components, id_and_text, map_in_arrow, materialise
+from gearbox.llm.common import connected_components, id_and_text, in_slices, map_in_arrow, materialise
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -74,7 +74,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            T.StructField("text_hash", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_slices(batches):
             fps = np.array([fingerprint(t, shingle_words) for t in b.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64), pa.int64()), b.column(2)],
                                              names=schema.fieldNames())

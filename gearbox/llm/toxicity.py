@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gearbox.llm.common import id_and_text, map_in_arrow, materialise
+from gearbox.llm.common import id_and_text, in_slices, map_in_arrow, materialise
 
 THRESHOLD = 0.3
 MAX_TRAIN = 8_000
@@ -244,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     landmarks = pick_landmarks(rows, n_landmarks)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(landmarks)
-        for b in batches:
+        for b in in_slices(batches):
             for text, label in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 seen = matcher.rows([text] + SENTENCE_END.split(text))
                 seen = seen.round(4)
@@ -290,21 +290,24 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
           threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
     """``<id>, score, predicted`` for every row; ``keep`` names columns to carry along."""
     extra = keep or []
-    docs = df.select(F.coalesce(F.col(text_col), F.lit("")).alias("scored_text"), F.col(id_col).alias("scored_id"),
-                     *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(extra)])
-    schema = T.StructType([T.StructField(id_col, docs.schema["scored_id"].dataType), T.StructField("score", T.DoubleType()),
-                           T.StructField("predicted", T.IntegerType()), *docs.schema.fields[2:]])
+    # a kept text or id goes to the task once
+    sent = [text_col, id_col] + [c for c in extra if c not in (text_col, id_col)]
+    docs = df.select(*[F.col(c).alias(f"sent_{i}") for i, c in enumerate(sent)])
+    kept = [sent.index(c) for c in extra]
+    schema = T.StructType([T.StructField(id_col, docs.schema[1].dataType), T.StructField("score", T.DoubleType()),
+                           T.StructField("predicted", T.IntegerType()),
+                           *[T.StructField(f"kept_{i}", docs.schema[k].dataType) for i, k in enumerate(kept)]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.landmarks)
-        for b in batches:
+        for b in in_slices(batches):
             if not model.landmarks:
                 s = np.zeros(b.num_rows)
             else:
-                margin = matcher.rows(b.column(0).to_pylist()) @ model.weights + model.bias
+                margin = matcher.rows([text or "" for text in b.column(0).to_pylist()]) @ model.weights + model.bias
                 s = 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))] + [b.column(i) for i in range(2, b.num_columns)],
+                [b.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))] + [b.column(i) for i in kept],
                 names=schema.fieldNames())
 
     return docs.transform(map_in_arrow, run, schema)

@@ -1,12 +1,15 @@
 """Every operator and stage: nulls, empty and long texts, repeated rows, empty
 tables, extra columns with clashing names."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gearbox.llm import (embedding_dedup, line_dedup, mixing, packing, pii, quality, simhash, spotsigs,
                          token_counts, toxicity)
+from gearbox.llm.common import SLICE_BYTES, in_slices
 
 PER_ROW = {
     "lines": lambda d, _: line_dedup.clean(d, counts=True),
@@ -78,3 +81,28 @@ def test_vectors(spark):
     for i in (3, 4, 5, 6, 7, 8, 10, 12):
         assert got[i] == (0, i, True)
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_a_task_takes_large_batches_in_slices(spark, monkeypatch):
+    """A kept text goes to the task once, and what a task makes of a batch is bounded."""
+    sent = []
+    real = toxicity.map_in_arrow
+    monkeypatch.setattr(toxicity, "map_in_arrow", lambda df, fn, schema: sent.append((df.columns, fn)) or real(df, fn, schema))
+    docs = spark.createDataFrame([(1, None, "a"), (2, "you idiot", "b"), (3, "", None)], "doc_id long, text string, source string")
+    model = toxicity.Model(["idiot"], np.array([8.0]), -4.0)
+    kept = toxicity.keep_clean(docs, model)
+    assert [tuple(r) for r in kept.orderBy("doc_id").collect()] == [(1, None, "a"), (3, "", None)]
+    columns, run = sent[0]
+    assert len(columns) == len(docs.columns)
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 2000] * 4000), pa.array(range(4000)), pa.array(["s"] * 4000)], names=columns)
+    found = list(run(iter([batch])))
+    assert [i for b in found for i in b.column(0).to_pylist()] == list(range(4000))
+    assert max(b.nbytes for b in found) < 2 * SLICE_BYTES < batch.nbytes
+
+
+def test_slices():
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 50, None, "", "y" * 500, "z"])], names=["text"])
+    for size in (1, 100, 1 << 20):
+        parts = list(in_slices(iter([batch, batch.slice(0, 0), batch.slice(3)]), size))
+        assert [t for b in parts for t in b.column(0).to_pylist()] == ["x" * 50, None, "", "y" * 500, "z", "y" * 500, "z"]
+        assert all(b.num_rows for b in parts)
