@@ -106,7 +106,7 @@ class Matcher:
         order = [e for f in sorted(lists) for e in lists[f]]
         self.who = np.array([k for k, _ in order], dtype=np.int64)
         self.value = np.array([x for _, x in order])
-        self.known: dict[str, tuple | None] = {}
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}  # landmarks and values
 
     def matrix(self, words: list[str]) -> np.ndarray:
         """len(words) x len(landmarks), 1 for a word that holds the landmark whole."""
@@ -131,7 +131,7 @@ class Matcher:
             for w, row, s in zip(part, k, some):
                 if s:
                     at = np.flatnonzero(row >= FLOOR)
-                    self.known[w] = (at, row[at])
+                    self.known[w] = (at.tobytes(), row[at].tobytes())  # small arrays would scatter over the heap
                 else:
                     self.known[w] = None
 
@@ -148,8 +148,10 @@ class Matcher:
                     self.known.clear()
                     missing = list(words)
                 self.learn(missing)
-            for found in filter(None, map(self.known.__getitem__, words)):
-                np.maximum.at(out[i], found[0], found[1])
+            found = list(filter(None, map(self.known.__getitem__, words)))
+            if found:
+                at, value = (b"".join(v) for v in zip(*found))
+                np.maximum.at(out[i], np.frombuffer(at, dtype=np.intp), np.frombuffer(value))
         return out
 
 
