@@ -4,7 +4,9 @@ import pytest
 
 import __spark_entry__ as E
 from settings import SF_SMALL
+from gearbox.operators import boosting
 from gearbox.plans import queries_io
+from gearbox.plans.training import gbt_run
 from gearbox.sources import fixtures
 
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -44,3 +46,18 @@ def test_listings_are_joined_in_partitions_of_their_size(spark, small_partitions
     n = fixtures.listings_table(spark, SF_SMALL).count()
     assert seen == [(-(-n * fixtures.SORTED_ROW_BYTES // (64 << 10)), "false")]
     assert {n: spark.conf.get(n) for n in (NUMBER, MERGE)} == before
+
+
+def test_boosted_trees_keep_blocks_on_disk_and_no_encoded_rows(spark, small_partitions, monkeypatch):
+    def kept():
+        return {int(i): r.getStorageLevel().useMemory() for i, r in dict(spark.sparkContext._jsc.getPersistentRDDs()).items()}
+
+    before, seen, grow = kept(), [], boosting.grow
+    monkeypatch.setattr(boosting, "grow", lambda *a: (grow(*a), seen.append([m for i, m in kept().items() if i not in before]))[0])
+    spark.conf.set(ADVISORY, "4k")
+    run = gbt_run(fixtures.listings_table(spark, SF_SMALL), {"maxIter": 2, "maxDepth": 2})
+    assert seen == [[False], [False]]  # the blocks alone
+    train = run.data.where("split = 'train'").count()
+    assert run.fitted.train_partitions == -(-train * 64 // (4 << 10)) > spark.sparkContext.defaultParallelism
+    assert run.scored.where("prediction is null").count() == 0
+    assert not [i for i in kept() if i not in before]
