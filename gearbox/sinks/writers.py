@@ -21,14 +21,15 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True,
-              partition_by: Sequence[str] | None = None) -> str:
+              partition_by: Sequence[str] | None = None, compression: str = "none") -> str:
     """K6 (K4 with ``partition_by``): CSV directory with a header line.
 
     Blank and space-only text is written quoted and untrimmed, NULL as an
     empty field, so ``read_csv`` gives back exactly what was written; where
     text holds line breaks, read it with ``multi_line=True``.
+    Files under ``compression`` are read as they are, each by one task: a writing task's rows.
     """
-    w = (df.write.mode(mode).option("header", header)
+    w = (df.write.mode(mode).option("header", header).option("compression", compression)
          .option("ignoreLeadingWhiteSpace", False)
          .option("ignoreTrailingWhiteSpace", False))
     if partition_by:

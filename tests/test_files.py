@@ -112,3 +112,10 @@ def test_rebalance_splits_a_hot_key(spark, tmp_dir):
     sizes = [os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.endswith(".parquet")]
     assert spark.read.parquet(path).count() == 200_000
     assert len(sizes) > 5 and max(sizes) < 2.5 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_compressed_csv_reads_back(spark, tmp_dir):
+    rows = spark.createDataFrame([(1, "a,b", 0.1), (2, "", None), (3, None, -0.0), (4, " \"q\" ", 1e300)], "id long, text string, x double").repartition(2)
+    path = write_csv(rows, os.path.join(tmp_dir, "rows"), compression="snappy")
+    assert all(f.endswith(".csv.snappy") for f in os.listdir(path) if f.startswith("part-"))
+    assert sorted(map(str, read_csv(spark, path, schema=rows.schema).collect())) == sorted(map(str, rows.collect()))

@@ -1,5 +1,8 @@
 """Partitions follow the size of the table: a small advisory size stands for a large table."""
 
+import os
+import time
+
 import pytest
 
 import __spark_entry__ as E
@@ -61,3 +64,38 @@ def test_boosted_trees_keep_blocks_on_disk_and_no_encoded_rows(spark, small_part
     assert run.fitted.train_partitions == -(-train * 64 // (4 << 10)) > spark.sparkContext.defaultParallelism
     assert run.scored.where("prediction is null").count() == 0
     assert not [i for i in kept() if i not in before]
+
+
+def test_listings_leave_no_shuffle_files_beside_the_csv(spark, monkeypatch):
+    folders = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        sizes = {}
+        for path in (os.path.join(d, f) for top in folders for d, _, names in os.walk(top) for f in names if f.startswith("shuffle_")):
+            if os.path.exists(path):  # older ones may go meanwhile
+                sizes[path] = os.path.getsize(path)
+        return sizes
+
+    monkeypatch.setattr(fixtures, "_MATERIALISED", {})
+    clean_up = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before, seen, build = spark.conf.get(clean_up), shuffled(), [], fixtures.listings
+    monkeypatch.setattr(fixtures, "listings", lambda s, d: seen.append(s.conf.get(clean_up)) or build(s, d))
+    spark.conf.set(clean_up, "false")
+    try:
+        n, until = fixtures.listings_table(spark, SF_SMALL).count(), time.time() + 20
+
+        def left():
+            return sum(size for f, size in shuffled().items() if f not in before)
+
+        while left() > 10 * n and time.time() < until:  # Spark deletes them on the side
+            time.sleep(0.2)
+        assert left() <= 10 * n  # a collection of garbage deletes them too, so also:
+        assert seen == ["true"] and spark.conf.get(clean_up) == "false"
+    finally:
+        spark.conf.set(clean_up, setting)
+    files = []
+    write = queries_io.write_csv
+    monkeypatch.setattr(queries_io, "write_csv", lambda df, path, **k: files.append(write(df, path, **k)) or path)
+    assert E.queries()["csv_typed_roundtrip"](spark, SF_SMALL).count() == n
+    sizes = [os.path.getsize(os.path.join(files[0].removeprefix("file:"), f)) for f in os.listdir(files[0].removeprefix("file:")) if f.startswith("part-")]
+    assert sum(sizes) < 100 * n  # 150 bytes a row as plain text
